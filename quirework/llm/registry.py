@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quirework.llm.decontamination import containment_pairs
 from quirework.llm.mixing import pareto_mix
 from quirework.session import table
 
@@ -18,8 +19,13 @@ def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) pair where the document holds 80% of the item's five-word shingles or more."""
+    return containment_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_pareto_mix": op1_pareto_mix}
+    return {f.__name__: f for f in (op1_pareto_mix, op7_benchmark_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,3 +70,27 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 4
             if k == batch.num_rows or part[k] != part[begin]:
                 yield batch.slice(begin, k - begin)
                 begin = k
+
+
+def fixed_bitmap(hashes: DataFrame, col: str, bits: int = 24) -> np.ndarray:
+    """A bitmap of 2**bits places, one set for the top bits of each hash: its size does not grow with the input.
+
+    It only ever lets too much through; an exact join follows wherever it is used.
+    """
+    place = F.shiftrightunsigned(F.col(col), 64 - bits)
+    held = (
+        hashes.select(F.shiftright(place, 6).alias("at"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned({col}, {64 - bits}) & 63 as int))").alias("bit"))
+        .groupBy("at")
+        .agg(F.bit_or("bit").alias("bits"))
+        .toPandas()
+    )
+    out = np.zeros(1 << max(0, bits - 6), np.int64)
+    out[held["at"].to_numpy(np.int64)] = held["bits"].to_numpy(np.int64)
+    return out.view(np.uint64)
+
+
+def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes have their place set."""
+    bits = np.uint64(len(bitmap).bit_length() - 1 + 6)
+    place = hashes >> (np.uint64(64) - bits)
+    return (bitmap[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) != 0

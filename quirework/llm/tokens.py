@@ -12,6 +12,7 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
@@ -29,14 +30,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-_ODD = mix(np.arange(1, 4097, dtype=np.uint64) * _U(0x9E3779B97F4A7C15)) | _U(1)
-
-
-def multipliers(n: int) -> np.ndarray:
-    """One odd multiplier for each place in a word."""
-    if n <= len(_ODD):
-        return _ODD
-    return mix(np.arange(1, n + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15)) | _U(1)
+#: Longer words are hashed one by one.
+_LONG = 256
+_MASKS = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
 
 
 @dataclass
@@ -102,30 +98,38 @@ def spans(text: Text) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return row, start, end, inside
 
 
-def hashed(data: np.ndarray, start: np.ndarray, end: np.ndarray, kept: np.ndarray | None = None) -> np.ndarray:
-    """Hash of each byte range: sum of byte times the multiplier of its place; bytes not ``kept`` take no place."""
+def hashed(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each byte range, read eight bytes at a time."""
+    out = np.full(len(start), 0x632BE59BD9B4E019, np.uint64)
     if not len(start):
-        return np.zeros(0, np.uint64)
-    n = len(data)
-    widths = np.diff(np.append(start, n))
-    if kept is None:
-        kept = np.zeros(n, bool)
-        kept[start[0] :] = np.arange(start[0], n) - np.repeat(start, widths) < np.repeat(end - start, widths)
-    ranks = np.cumsum(kept)
-    base = ranks[start] - kept[start]
-    place = np.zeros(n, np.int64)
-    place[start[0] :] = ranks[start[0] :] - 1 - np.repeat(base, widths)
-    places = multipliers(int(place.max()) + 1)[np.maximum(place, 0)]
-    value = np.where(kept, (data.astype(np.uint64) + _U(1)) * places, _U(0))
-    return mix(np.add.reduceat(value, start) + _U(0x632BE59BD9B4E019))
+        return out
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.lib.stride_tricks.as_strided(padded[:8].view(np.uint64), (len(data) + 1,), (1,))
+    length = end - start
+    out += length.astype(np.uint64)
+    at, left, still = start, length, None
+    for k in range(_LONG // 8):
+        value = eight[at] & _MASKS[np.minimum(left, 8)]
+        if still is None:
+            out = mix(out ^ value)
+        else:
+            out[still] = mix(out[still] * _U(0x9E3779B97F4A7C15) + value)
+        more = left > 8
+        if not more.any():
+            break
+        still = np.flatnonzero(more) if still is None else still[more]
+        at, left = at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(length > _LONG):
+        out[i] = xxhash.xxh3_64_intdigest(data[start[i] : end[i]].tobytes())
+    return out
 
 
 def words(column: pa.Array, fold: bool = True) -> Words:
     """All words of a text column; ``fold`` lower-cases A-Z before hashing."""
     text = Text.of(column)
-    row, start, end, inside = spans(text)
+    row, start, end, _ = spans(text)
     data = _FOLD[text.data] if fold else text.data
-    return Words(text, hashed(data, start, end, inside), row, start, end)
+    return Words(text, hashed(data, start, end), row, start, end)
 
 
 def hash_words(values: list[str], fold: bool = True) -> np.ndarray:
@@ -168,8 +172,13 @@ def sets(w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     if not hashes:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     h, r = np.concatenate(hashes), np.concatenate(rows)
-    order = np.lexsort((h, r))
-    h, r = h[order], r[order]
+    if len(hashes) > 1:
+        order = np.argsort(r, kind="stable")
+        h, r = h[order], r[order]
+    edges = np.searchsorted(r, np.arange(w.text.rows + 1))
+    for begin, stop in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        if stop - begin > 1:
+            h[begin:stop].sort()
     if len(h):
         fresh = np.ones(len(h), bool)
         fresh[1:] = (h[1:] != h[:-1]) | (r[1:] != r[:-1])
@@ -181,3 +190,18 @@ def lists(values: np.ndarray, row: np.ndarray, rows: int, kind: pa.DataType) ->
     """Values sorted by row as one list for each row."""
     offsets = np.searchsorted(row, np.arange(rows + 1)).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
+
+
+def windows(w: Words, size: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, row) of every window of ``size`` words, hashed as ``sets(w, n)`` hashes a row of that many words."""
+    if size >= n:
+        return shingles(w, size)
+    total = len(w.hash) - size + 1
+    if total <= 0:
+        return np.zeros(0, np.uint64), np.zeros(0, w.row.dtype)
+    rolled = np.full(total, size, np.uint64)
+    for k in range(size):
+        rolled = rolled * _U(0x9E3779B97F4A7C15) + w.hash[k : k + total]
+        rolled ^= rolled >> _U(29)
+    whole = w.row[:total] == w.row[size - 1 :]
+    return mix(rolled[whole]), w.row[:total][whole]
