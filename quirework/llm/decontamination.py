@@ -6,7 +6,7 @@ MinHash). An item of size s may miss m = floor((1 - threshold) * s) shingles, so
 leave at least 1 + ``extra`` of them in every document that contains it: no match is lost. Items are partitioned by
 size (powers of two); each partition has a bitmap of fixed size of its sketches, and a document probes only the
 partitions whose items are small enough for it. Hits are joined with the sketches, candidates with enough hits are
-verified by their exact number of shared shingles.
+verified by their exact number of shared shingles. Words are lower-cased (all letters) and split at ASCII blanks.
 
 Defined results: null or blank texts and items have no shingles and match nothing; items of fewer than ``n`` words are
 one shingle of all their words, looked up among windows of that many words; repeated rows of a document or item give
@@ -112,7 +112,7 @@ def containment_pairs(
     extra: int = 3,
 ) -> DataFrame:
     """Pairs (doc_id, item_id, item_size, shared, containment) with containment of at least ``threshold``."""
-    item_rows = items.select(F.col(item_id_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text"))
+    item_rows = items.select(F.col(item_id_col).cast("long").alias("item_id"), F.lower(F.col(item_text_col)).alias("text"))
     sets = stage(
         item_rows.mapInArrow(
             _item_sets(n, threshold, extra),
@@ -126,7 +126,7 @@ def containment_pairs(
     bitmaps = {part: fixed_bitmap(sketch.where(F.col("part") == part), "hash") for part in sorted(lengths)}
     members = fixed_bitmap(sets, "hash")
     rows = docs.select(
-        F.monotonically_increasing_id().alias("at_row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")
+        F.monotonically_increasing_id().alias("at_row"), F.col(id_col).cast("long").alias("doc_id"), F.lower(F.col(text_col)).alias("text")
     )
     found = stage(rows.mapInArrow(_probe(n, threshold, lengths, bitmaps, members), _HITS), "hits")
     hits = found.select("at_row", "doc_id", "size", F.explode("sketch").alias("hit")).select(
