@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quirework.llm.decontamination import containment_pairs
 from quirework.llm.mixing import pareto_mix
+from quirework.llm.quality_rules import quality_rules
+from quirework.llm.toxicity import toxicity_scores
+from quirework.llm.url_filters import link_verdicts
 from quirework.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,13 +22,28 @@ def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages: rules first, then trust and distrust of the host."""
+    return link_verdicts(table(spark, sf_dir, "pages"))
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents: the base counts, the base verdict and the n-gram model's verdict."""
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, scored by trees that learn from the labels of three folds in four."""
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (document, benchmark item) pair where the document holds 80% of the item's five-word shingles or more."""
     return containment_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_pareto_mix, op7_benchmark_decontamination)}
+    return {f.__name__: f for f in (op1_pareto_mix, op2_url_filters, op3_quality_rules, op5_toxicity, op7_benchmark_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
