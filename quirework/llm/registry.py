@@ -11,6 +11,7 @@ from quirework.llm.mixing import pareto_mix
 from quirework.llm.quality_rules import quality_rules
 from quirework.llm.toxicity import toxicity_scores
 from quirework.llm.url_filters import link_verdicts
+from quirework.llm.vertical_join import jaccard_components
 from quirework.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +33,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the component that three-word shingles at a similarity of 0.9 put them in."""
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, scored by trees that learn from the labels of three folds in four."""
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -43,7 +49,7 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_pareto_mix, op2_url_filters, op3_quality_rules, op5_toxicity, op7_benchmark_decontamination)}
+    return {f.__name__: f for f in (op1_pareto_mix, op2_url_filters, op3_quality_rules, op4_ngram_jaccard_join, op5_toxicity, op7_benchmark_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
