@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quirework.llm.decontamination import containment_pairs
+from quirework.llm.line_dedup import removed_lines
 from quirework.llm.mixing import pareto_mix
 from quirework.llm.quality_rules import quality_rules
 from quirework.llm.toxicity import toxicity_scores
@@ -48,8 +49,13 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return containment_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of all documents that an earlier line makes superfluous; ``exact`` if its token set was seen before."""
+    return removed_lines(table(spark, sf_dir, "documents")).select("doc_id", "line_no", "exact")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_pareto_mix, op2_url_filters, op3_quality_rules, op4_ngram_jaccard_join, op5_toxicity, op7_benchmark_decontamination)}
+    return {f.__name__: f for f in (op1_pareto_mix, op2_url_filters, op3_quality_rules, op4_ngram_jaccard_join, op5_toxicity, op7_benchmark_decontamination, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
