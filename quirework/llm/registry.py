@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quirework.llm.class_lm import class_scores
 from quirework.llm.decontamination import containment_pairs
+from quirework.llm.kneser_ney import perplexity_filter
 from quirework.llm.line_dedup import removed_lines
 from quirework.llm.mixing import pareto_mix
+from quirework.llm.pii import personal_spans, span_strings
 from quirework.llm.quality_rules import quality_rules
 from quirework.llm.toxicity import toxicity_scores
 from quirework.llm.url_filters import link_verdicts
@@ -44,18 +48,36 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, scored by a class bigram model of four folds in five."""
+    return class_scores(table(spark, sf_dir, "documents"))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (document, benchmark item) pair where the document holds 80% of the item's five-word shingles or more."""
     return containment_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their perplexity under the model of trusted text and their language's verdict."""
+    return perplexity_filter(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the counts and spans of personal data, and of the terms that give it away."""
+    found = personal_spans(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", span_strings(F.col("base"), F.col("terms")).alias("spans")
+    )
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of all documents that an earlier line makes superfluous; ``exact`` if its token set was seen before."""
     return removed_lines(table(spark, sf_dir, "documents")).select("doc_id", "line_no", "exact")
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_pareto_mix, op2_url_filters, op3_quality_rules, op4_ngram_jaccard_join, op5_toxicity, op7_benchmark_decontamination, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_pareto_mix, op2_url_filters, op3_quality_rules, op4_ngram_jaccard_join, op5_toxicity, op6_class_lm, op7_benchmark_decontamination, op8_quality_classifier, op9_pii, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,9 +1,14 @@
 """Toxicity: gradient-boosted trees over dense features, with isotonic calibration.
 
-Features of a text (all are shares, so length alone does not decide): lexicon words, lexicon words found only after
-undoing substitutions (``1d10t``, ``i.d.i.o.t``), lexicon words within five words of a second-person pronoun,
-second-person pronouns, all-capital words, capital letters, punctuation, exclamation and question marks, doubled marks,
-words that mix letters with digits or symbols, letters held for three or more places, and the log of the word count.
+Two lexicons are used. One is given; the other is learnt, as insults differ by language: of the words and word beginnings
+(four to eight bytes) in ``lexicon_sample`` labelled rows of either class, those that stand in far more toxic than other
+contexts, by likelihood ratio. A context is the word with its neighbours, so copies of a text add nothing.
+
+Features of a text (mostly shares, so length alone does not decide): given lexicon words, their number up to three, those
+found only after undoing substitutions (``1d10t``, ``i.d.i.o.t``), those within five words of a second-person pronoun;
+learnt lexicon words, their number up to five, the highest weight; second-person pronouns, all-capital words, capital
+letters, punctuation, exclamation and question marks, doubled marks, words that mix letters with digits or symbols,
+letters held for three or more places, and the log of the word count.
 
 The trees are fitted on a bounded sample of labelled rows (``sample``); a quarter of it, by hash of the id, is kept from
 the trees and fits the isotonic curve. ``labels``, ``lang``, ``source`` and ``doc_id`` are never inputs of a score.
@@ -16,6 +21,7 @@ of label 1 (0.0 without labels); repeated rows are scored each; empty tables giv
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quirework.llm import tokens
-from quirework.llm.shared import crc_remainder, slices, stage
+from quirework.llm.shared import BLANKS, crc_remainder, slices, stage
 
 LEXICON = (
     "idiot moron stupid dumb loser scum trash garbage clown fool pathetic worthless disgusting ugly filthy vermin pig "
@@ -38,10 +44,11 @@ SECOND_PERSON = (
     "tus vosotros"
 ).split()
 FEATURES = [
-    "lexicon", "lexicon_any", "hidden", "near_second", "second", "capital_words", "capitals", "punctuation", "marks",
+    "lexicon", "lexicon_any", "hidden", "near_second", "learnt", "learnt_any", "learnt_weight", "second", "capital_words", "capitals", "punctuation", "marks",
     "doubled_marks", "mixed", "held_letters", "log_words",
 ]
 _REACH = 5
+_BEGINNINGS = (4, 5, 6, 7, 8)
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
@@ -75,7 +82,91 @@ def _lexicon_hashes(words: list[str]) -> np.ndarray:
     return np.unique(tokens.hash_words(words))
 
 
-def dense_features(column: pa.Array) -> np.ndarray:
+@dataclass
+class Lexicon:
+    """Learnt keys (hashes of words and word beginnings, sorted) and their log odds."""
+
+    key: np.ndarray
+    weight: np.ndarray
+
+    def weights(self, keys: list[np.ndarray]) -> np.ndarray:
+        """The highest weight of each word's keys, 0 without one."""
+        out = np.zeros(len(keys[0]))
+        if len(self.key):
+            for h in keys:
+                place = np.minimum(np.searchsorted(self.key, h), len(self.key) - 1)
+                out = np.maximum(out, np.where(self.key[place] == h, self.weight[place], 0))
+        return out
+
+
+def _lowered(data: np.ndarray) -> np.ndarray:
+    """A-Z and the capital letters of Latin-1 in lower case."""
+    out = _PLAIN[data]
+    if len(out) > 1:
+        accented = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+        out[1:][accented] += 32
+    return out
+
+
+def _keys(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+    """Hashes of each word (letters and digits, lower-cased) and of its beginnings; whole words come first."""
+    keep = _LETTER[data] | _DIGIT[data]
+    held = _lowered(data)[keep]
+    upto = np.concatenate([[0], np.cumsum(keep, dtype=np.int64)])
+    a, b = upto[start], upto[end]
+    whole = tokens.hashed(held, a, b)
+    out = [whole]
+    for n in _BEGINNINGS:
+        long = b - a > n
+        cut = np.where(long, a + n, b)
+        out.append(np.where(long, tokens.mix(tokens.hashed(held, a, cut) + np.uint64(n)), whole))
+    return out
+
+
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, context, label) once for each slice."""
+    for batch in slices(batches):
+        text = tokens.Text.of(batch.column("text"))
+        row, start, end, _ = tokens.spans(text)
+        keys = _keys(text.data, start, end)
+        whole = keys[0]
+        around = np.zeros(len(whole), np.uint64)
+        around[1:] += np.where(row[1:] == row[:-1], whole[:-1], 0)
+        around[:-1] += np.where(row[1:] == row[:-1], tokens.mix(whole[1:]), 0)
+        label = batch.column("label").to_numpy()[row].astype(np.int8)
+        for k, key in enumerate(keys):
+            new = np.ones(len(key), bool) if k == 0 else key != whole
+            found = np.zeros(int(new.sum()), np.dtype([("k", np.uint64), ("c", np.uint64), ("l", np.int8)]))
+            found["k"], found["c"], found["l"] = key[new], tokens.mix(around[new] + whole[new]), label[new]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found["k"].copy().view(np.int64)), pa.array(found["c"].copy().view(np.int64)), pa.array(found["l"].astype(np.int32))],
+                ["key", "context", "label"],
+            )
+
+
+def fit_lexicon(docs: DataFrame, labelled: DataFrame, sample: int, least: float = 25.0, ratio: float = 5.0, size: int = 2048) -> Lexicon:
+    """``labelled``: doc_id, label (0 or 1); at most ``sample`` rows of either label are read, ``size`` keys kept."""
+    by_hash = [F.xxhash64("doc_id"), "doc_id"]
+    chosen = stage(
+        labelled.where("label = 1").orderBy(*by_hash).limit(sample).unionByName(labelled.where("label = 0").orderBy(*by_hash).limit(sample)), "lexicon-rows"
+    )
+    rows = docs.join(F.broadcast(chosen), "doc_id").select("label", "text")
+    seen = rows.mapInArrow(_contexts, "key long, context long, label int").distinct()
+    counts = stage(
+        seen.groupBy("key").agg(F.sum("label").alias("n1"), F.sum(1 - F.col("label")).alias("n0")).where("n1 >= 4"), "lexicon-counts"
+    )
+    totals = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.sum(F.size(F.split("text", BLANKS))).alias("n")).collect()}
+    t1, t0 = float(totals.get(1.0) or 1), float(totals.get(0.0) or 1)
+    n = F.col("n1") + F.col("n0")
+    gain = 2 * (F.col("n1") * F.log(F.col("n1") * (t1 + t0) / (n * t1)) + F.when(F.col("n0") > 0, F.col("n0") * F.log(F.col("n0") * (t1 + t0) / (n * t0))).otherwise(0.0))
+    odds = F.log((F.col("n1") + 0.5) / t1) - F.log((F.col("n0") + 0.5) / t0)
+    top = counts.select("key", odds.alias("odds"), gain.alias("gain")).where((F.col("gain") >= least) & (F.col("odds") >= float(np.log(ratio)))).orderBy(F.desc("gain"), "key").limit(size).toPandas()
+    key = top["key"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(key)
+    return Lexicon(key[order], top["odds"].to_numpy(float)[order])
+
+
+def dense_features(column: pa.Array, learnt: Lexicon) -> np.ndarray:
     """(rows, features) of a text column, in the order of FEATURES."""
     text = tokens.Text.of(column)
     row, start, end, _ = tokens.spans(text)
@@ -101,6 +192,10 @@ def dense_features(column: pa.Array) -> np.ndarray:
         for at in (np.maximum(after - 1, 0), np.minimum(after, len(persons) - 1)):
             near |= (np.abs(persons[at] - hits) <= _REACH) & (row[persons[at]] == row[hits])
 
+    weight = learnt.weights(_keys(data, start, end))
+    heaviest = np.zeros(rows)
+    np.maximum.at(heaviest, row[weight > 0], weight[weight > 0])
+
     def inside(mask: np.ndarray) -> np.ndarray:
         upto = np.concatenate([[0], np.cumsum(mask, dtype=np.int64)])
         return upto[end] - upto[start]
@@ -123,19 +218,23 @@ def dense_features(column: pa.Array) -> np.ndarray:
 
     columns = [
         share(plain), np.minimum(np.bincount(row, plain | hidden, minlength=rows), 3), share(hidden),
-        share(near, row[hits]), share(spoken), share((upper >= 2) & (upper == letters)),
+        share(near, row[hits]), share(weight > 0), np.minimum(np.bincount(row, weight > 0, minlength=rows), 5), heaviest,
+        share(spoken), share((upper >= 2) & (upper == letters)),
         whole(_UPPER[data]) / np.maximum(whole(_LETTER[data]), 1), whole(_PUNCT[data]) / size, whole(mark) / size,
         whole(doubled) / size, share((letters > 0) & (others > 0)), share(inside(same) > 0), np.log1p(n),
     ]
     return np.stack(columns, 1)
 
 
-def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
-        found = dense_features(batch.column("text"))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), *(pa.array(found[:, k]) for k in range(len(FEATURES)))], ["doc_id", *FEATURES]
-        )
+def _extract(lexicon):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = dense_features(batch.column("text"), lexicon.value)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *(pa.array(found[:, k]) for k in range(len(FEATURES)))], ["doc_id", *FEATURES]
+            )
+
+    return run
 
 
 def toxicity_scores(
@@ -145,6 +244,7 @@ def toxicity_scores(
     held_out: Column | None = None,
     threshold: float = 0.3,
     sample: int = 20000,
+    lexicon_sample: int = 2000,
     trees: int = 15,
     depth: int = 3,
 ) -> DataFrame:
@@ -153,16 +253,13 @@ def toxicity_scores(
     ``held_out`` marks rows whose labels are never learnt from (by default crc32 of the id mod 4 is 2).
     """
     fold = crc_remainder(F.col("doc_id"), 4) == 2 if held_out is None else held_out
-    table = stage(
-        docs.select("doc_id", "text").mapInArrow(_extract, "doc_id long, " + ", ".join(f"{x} double" for x in FEATURES)),
-        "toxicity",
-    )
-    chosen = (
-        labels.where(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull() & ~fold)
-        .select("doc_id", F.col(label_col).cast("double").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
-        .limit(sample)
+    rows = docs.select("doc_id", "text")
+    labelled = labels.where(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull() & ~fold).select(
+        "doc_id", F.col(label_col).cast("double").alias("label")
     )
+    lexicon = docs.sparkSession.sparkContext.broadcast(fit_lexicon(rows, labelled, lexicon_sample))
+    table = stage(rows.mapInArrow(_extract(lexicon), "doc_id long, " + ", ".join(f"{x} double" for x in FEATURES)), "toxicity")
+    chosen = labelled.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
     train = stage(
         table.join(F.broadcast(chosen), "doc_id").select(
