@@ -10,9 +10,12 @@ and the parts are summed per pair.
   p - 1 + l lowest hashes of each (``low`` holds them). A set therefore offers all of ``low`` but its l - 1 last in
   (heat, hash): one shared n-gram is left in both offers, whatever their heat.
 * Documents with equal sets form one node from the start.
-* Links are only needed to the extent that they join components. In each list of nodes that offer the same n-gram, all
-  nodes are compared with one hub. Lists within one component are done. What remains is compared in pairs across
-  components if that is little work, otherwise with another hub from outside the list's largest component.
+* Nodes that offer the same n-gram are candidates. Short lists give their pairs. The nodes of long lists are ordered
+  anew, by how many of these nodes hold each n-gram: what is peculiar to a node comes first, so that of large families
+  of copies only those with few changes share n-grams in their prefixes, and the place of the first one bounds the
+  overlap.
+* Links are only needed to the extent that they join components. In each of the new lists, all nodes are compared with
+  the least peculiar one; then nodes of different components are compared in pairs.
 
 Defined results: null, empty and blank texts have no n-grams, size 0 and are their own component; a text of fewer than n
 words has its whole sequence as its one n-gram; a null id takes part and is never the smallest of a component that has
@@ -30,9 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quirework.llm import tokens
+from quirework.llm.set_join import close, enough, first_in_common, rare_prefixes
 from quirework.llm.shared import fixed_bitmap, in_bitmap, slices, stage
 
 _HEAT_BITS, _WARM = 20, 32
+#: Lists of candidates up to this length give all their pairs; longer ones are ordered anew.
+_SHORT = 16
 _U = np.uint64
 
 
@@ -172,36 +178,30 @@ def jaccard_components(
     heat = np.zeros(1 << _HEAT_BITS, np.uint8)
     heat[held["at"].to_numpy(np.int64)] = held["level"].to_numpy(np.uint8)
     offers = real.select("n_shingles", "node", "low").mapInArrow(_offers(spark.sparkContext.broadcast(heat), percent), "token long, node long")
-    hubs = offers.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub <> last").select("token", "hub")
-    listed = stage(offers.join(hubs, "token").distinct(), "lists")
-
-    links = None
-    while True:
-        pairs = listed.where("node <> hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
-        found = _verified(rows, classes, pairs, n, percent, fragments)
-        links = found if links is None else stage(links.unionByName(found), "links")
-        labels = components(links)
-        rest = listed.where("node <> hub").select("token", "node").join(labels, "node", "left")
-        rest = rest.withColumn("label", F.coalesce("label", "node"))
-        parts = rest.groupBy("token", "label").agg(F.count("*").alias("n"), F.min("node").alias("first"))
-        mixed = parts.groupBy("token").agg(
-            F.sum("n").alias("total"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.max(F.struct("n", "label")).alias("largest"), F.count("*").alias("kinds")
-        ).where("kinds > 1")
-        mixed = stage(mixed.select("token", F.col("largest.label").alias("largest"), (F.col("total") * F.col("total") - F.col("squares")).alias("work")), "mixed")
-        work, lists = mixed.agg(F.coalesce(F.sum("work"), F.lit(0)), F.count("*")).first()
-        if not lists:
-            break
-        open_lists = stage(rest.join(mixed.select("token", "largest"), "token"), "lists")
-        if work <= max(400_000, 4 * open_lists.count()):
-            left, right = open_lists.select("token", F.col("node").alias("a"), F.col("label").alias("la")), open_lists.select("token", F.col("node").alias("b"), F.col("label").alias("lb"))
-            pairs = left.join(right, "token").where("a < b and la <> lb").select("a", "b").distinct()
-            found = _verified(rows, classes, pairs, n, percent, fragments)
-            if found.limit(1).count():
-                links = stage(links.unionByName(found), "links")
-                labels = components(links)
-            break
-        hubs = open_lists.where("label <> largest").groupBy("token").agg(F.min("node").alias("hub"))
-        listed = stage(open_lists.select("token", "node").join(hubs, "token"), "lists")
+    lists = offers.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
+    listed = stage(offers.join(lists.select("token", "n"), "token").distinct(), "lists")
+    sizes = classes.select("node", "size")
+    needed = stage(listed.select("node").distinct().join(classes, "node").select("node", F.col("min_id").alias("doc_id")), "needed")
+    pieces = _pieces(rows, needed, n, fragments)
+
+    short = listed.where(F.col("n") <= _SHORT)
+    pairs = short.select("token", F.col("node").alias("a")).join(short.select("token", F.col("node").alias("b")), "token").where("a < b").select("a", "b")
+    crowd = listed.where(F.col("n") > _SHORT).select("node").distinct()
+    again = stage(rare_prefixes(pieces.join(crowd, "node", "left_semi").select("node", "piece"), sizes, percent), "prefixes")
+    hubs = again.groupBy("token").agg(F.min(F.struct("at", "node", "size")).alias("hub")).select("token", F.col("hub.node").alias("b"), F.col("hub.size").alias("size_b"), F.col("hub.at").alias("at_b"))
+    mine = again.select("token", F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("at").alias("at_a"))
+    fits = close(F.col("size_a"), F.col("size_b"), percent) & first_in_common(F.col("size_a"), F.col("at_a"), F.col("size_b"), F.col("at_b"), percent)
+    starred = mine.join(hubs, "token").where((F.col("a") != F.col("b")) & fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    links = _verified(pieces, sizes, pairs.unionByName(starred).distinct(), percent)
+    labels = components(links)
+    held = stage(again.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled")
+    mixed = held.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token")
+    held = held.join(mixed, "token")
+    left, right = (held.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "label", "size", "at"))) for x in ("a", "b"))
+    across = left.join(right, "token").where((F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & fits)
+    found = _verified(pieces, sizes, across.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), percent)
+    if found.limit(1).count():
+        labels = components(links.unionByName(found))
 
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = named.groupBy("label").agg(F.min("min_id").alias("component_id"))
@@ -210,30 +210,32 @@ def jaccard_components(
     return real.select("doc_id", "n_shingles", "node").join(of_node, "node").select("doc_id", "n_shingles", "component_id").unionByName(empty)
 
 
-def _verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int, fragments: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets are similar: overlaps counted by fragment, summed per pair."""
-    a, b = classes.select(F.col("node").alias("a"), F.col("size").alias("size_a")), classes.select(F.col("node").alias("b"), F.col("size").alias("size_b"))
-    close = 100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b")
-    pairs = stage(pairs.join(a, "a").join(b, "b").where(close), "pairs")
-    needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    needed = stage(needed.join(classes, "node").select("node", F.col("min_id").alias("doc_id")), "needed")
+def _pieces(rows: DataFrame, needed: DataFrame, n: int, fragments: int) -> DataFrame:
+    """(node, fragment, piece): the sets of the nodes in ``needed`` (node, doc_id), cut into fragments."""
     hashed = F.xxhash64("doc_id")
     bitmap = rows.sparkSession.sparkContext.broadcast(fixed_bitmap(needed.select(hashed.alias("id_hash")), "id_hash"))
     cut = rows.select("doc_id", hashed.alias("id_hash"), "text").mapInArrow(
         _fragments(n, fragments, bitmap), "doc_id long, node long, fragment int, piece array<long>"
     )
-    same_id = F.col("c.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("c.node") == F.col("w.node"))
-    pieces = stage(cut.alias("c").join(needed.alias("w"), same_id, "left_semi").select("node", "fragment", "piece"), "pieces")
+    # written so that only the node is a join key: repeated rows are then dropped without another shuffle
+    same_id = F.expr("coalesce(c.doc_id = w.doc_id, c.doc_id is null and w.doc_id is null)")
+    return stage(
+        cut.alias("c").join(needed.alias("w"), same_id & (F.col("c.node") == F.col("w.node")), "left_semi").select("node", "fragment", "piece").dropDuplicates(["node", "fragment"]), "pieces"
+    )
+
+
+def _verified(pieces: DataFrame, sizes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets are similar: overlaps counted by fragment, summed per pair."""
+    a, b = (sizes.select(F.col("node").alias(x), F.col("size").alias(f"size_{x}")) for x in ("a", "b"))
+    pairs = stage(pairs.join(a, "a").join(b, "b").where(close(F.col("size_a"), F.col("size_b"), percent)), "pairs")
     part_b = pieces.select(F.col("node").alias("b"), "fragment", F.col("piece").alias("piece_b"))
     part_a = pieces.select(F.col("node").alias("a"), "fragment", F.col("piece").alias("piece_a"))
     overlap = F.size(F.array_intersect("piece_a", "piece_b"))
-    counted = pairs.join(part_b, "b").join(part_a, ["a", "fragment"]).select("a", "b", "fragment", "size_a", "size_b", overlap.alias("shared"))
+    counted = pairs.join(part_b, "b").join(part_a, ["a", "fragment"]).select("a", "b", "size_a", "size_b", overlap.alias("shared"))
     return stage(
-        counted.groupBy("a", "b", "fragment", "size_a", "size_b")
-        .agg(F.max("shared").alias("shared"))
-        .groupBy("a", "b", "size_a", "size_b")
+        counted.groupBy("a", "b", "size_a", "size_b")
         .agg(F.sum("shared").alias("shared"))
-        .where(100 * F.col("shared") >= percent * (F.col("size_a") + F.col("size_b") - F.col("shared")))
+        .where(enough(F.col("shared"), F.col("size_a"), F.col("size_b"), percent))
         .select("a", "b"),
         "links",
     )
