@@ -8,9 +8,11 @@ more; lines without words stay. Steps:
 2. Tokens are ordered by rarity: by the level of how many lines hold them among their lowest hashes (a table of fixed
    size, the same everywhere), then by hash. With p = s - ceil(t * s) + 1, similar sets share at least l tokens among
    the p - 1 + l lowest hashes of each (``low``), so a class offers its prefix: all of ``low`` but the l - 1 most common.
-3. Classes that offer the same token are candidates if length and positions allow the similarity. In each token's list
-   the lines of the earliest document are compared first; classes that match an earlier line are settled. What remains
-   is compared pair by pair if that is little work, otherwise with the next document's lines.
+3. Classes that offer the same token are candidates. Short lists give their pairs. The classes of long lists are ordered
+   anew by how many of them hold each token over their whole sets, which leaves few of them in each new list; there, all
+   are compared with the least peculiar line and with the earliest line of those with few peculiar tokens, then the lines
+   that no comparison has settled with all earlier ones. Lengths and the places of a first common token must allow the
+   similarity.
 4. Candidates are verified by their exact overlap; of a match, the later line goes.
 
 Defined results: null and empty texts have no lines to remove; rows equal in id and text are one document; a null id
@@ -23,9 +25,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quirework.llm.set_join import close, enough, first_in_common, rare_prefixes
 from quirework.llm.shared import BLANKS, stage
 
 _LEVELS, _WARM, _BITS = 1 << 17, 16, 20
+#: Lists of candidates up to this length give all their pairs; longer ones are ordered anew.
+_SHORT = 16
 
 
 def _words(line: Column) -> Column:
@@ -99,12 +104,12 @@ def removed_lines(
     kept = size - _least(size, percent) + 1 + _spare(size, percent)
     held = stage(
         lines.select("doc_id", "doc_hash", "line_no", _tokens(F.col("words"), n).alias("set")).select(
-            "doc_id", "doc_hash", "line_no", F.xxhash64("set").alias("class"), size.alias("size"), F.slice("set", F.lit(1), F.least(kept, size)).alias("low")
+            "doc_id", "doc_hash", "line_no", F.xxhash64("set").alias("node"), size.alias("size"), F.slice("set", F.lit(1), F.least(kept, size)).alias("low")
         ),
         "lines",
     )
     place = F.struct("doc_id", "doc_hash", "line_no")
-    classes = stage(held.groupBy("class").agg(F.min(place).alias("first"), F.max("size").alias("size"), F.count("*").alias("n")), "classes")
+    classes = stage(held.groupBy("node").agg(F.min(place).alias("first"), F.max("size").alias("size"), F.count("*").alias("n")), "classes")
 
     warm = held.select(F.explode("low").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > _WARM)
     levels = _table(
@@ -112,78 +117,59 @@ def removed_lines(
     )
     spare = F.least(_spare(F.col("size"), percent), _spare(_least(F.col("size"), percent), percent))
     ordered = F.array_sort(
-        F.transform("low", lambda t, i: F.struct(F.get(F.col("levels"), F.pmod(t, F.lit(_LEVELS)).cast("int")).alias("level"), t.alias("token"), i.alias("at")))
+        F.transform("low", lambda t: F.struct(F.get(F.col("levels"), F.pmod(t, F.lit(_LEVELS)).cast("int")).alias("level"), t.alias("token")))
     )
     offers = held.withColumn("levels", levels).select(
-        "class", "doc_id", "size", F.explode(F.slice(ordered, F.lit(1), F.size("low") - spare)).alias("o")
-    ).select(F.col("o.token").alias("token"), F.col("o.at").alias("at"), "class", "doc_id", "size")
-    several = offers.groupBy("token").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("token")
-    listed = stage(
-        offers.join(several, "token").groupBy("token", "class", "size", "at").agg(F.min("doc_id").alias("doc_id")), "lists"
-    )
-    gone = None
-    while True:
-        hubs = listed.groupBy("token").agg(F.min("doc_id").alias("hub"))
-        marked = stage(listed.join(hubs, "token").withColumn("is_hub", F.col("doc_id").eqNullSafe(F.col("hub"))), "lists")
-        first = marked.where("is_hub")
-        settled = _verified(rows, classes, _pairs(first, marked, percent), n, percent)
-        gone = stage(settled if gone is None else gone.unionByName(settled).distinct(), "gone")
-        rest = marked.where("not is_hub")
-        unsettled = rest.join(gone, "class", "left_anti")
-        work = unsettled.groupBy("token").agg(F.count("*").alias("u")).join(rest.groupBy("token").agg(F.count("*").alias("n")), "token").where("n > 1")
-        work = stage(work, "work")
-        total, lists = work.agg(F.coalesce(F.sum(F.col("u") * F.col("n")), F.lit(0)), F.count("*")).first()
-        if not lists:
-            break
-        listed = stage(rest.drop("hub", "is_hub").join(work.select("token"), "token"), "lists")
-        if total <= max(400_000, 4 * listed.count()):
-            open_ones = listed.join(gone, "class", "left_anti")
-            settled = _verified(rows, classes, _pairs(open_ones, listed, percent), n, percent)
-            gone = stage(gone.unionByName(settled).distinct(), "gone")
-            break
-    later = held.select("doc_id", "doc_hash", "line_no", "class").join(classes.select("class", "first", "n"), "class")
+        "node", F.explode(F.slice(ordered, F.lit(1), F.size("low") - spare)).alias("o")
+    ).select(F.col("o.token").alias("token"), "node")
+    lists = offers.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
+    listed = stage(offers.join(lists.select("token", "n"), "token").distinct(), "lists")
+    sets = _sets(rows, stage(listed.select("node").distinct().join(classes, "node").select("node", "first.*"), "needed"), n)
+
+    short = listed.where(F.col("n") <= _SHORT)
+    pairs = short.select("token", F.col("node").alias("a")).join(short.select("token", F.col("node").alias("b")), "token").where("a < b").select("a", "b")
+    crowd = listed.where(F.col("n") > _SHORT).select("node").distinct()
+    again = rare_prefixes(sets.join(crowd, "node", "left_semi").select("node", F.col("set").alias("piece")), classes.select("node", "size"), percent)
+    again = stage(again.join(classes.select("node", "first"), "node"), "prefixes")
+    # two lines with at most half the peculiar tokens that a similar pair may have are similar
+    half = F.col("at") <= (F.col("size") - F.ceil(2 * percent * F.col("size") / (100 + percent))) / 2
+    hubs = again.groupBy("token").agg(F.min(F.struct("at", "first", "node", "size")).alias("x"), F.min(F.when(half, F.struct("first", "at", "node", "size"))).alias("y"))
+    hubs = hubs.select("token", F.explode(F.array(F.struct("x.node", "x.size", "x.at"), F.struct("y.node", "y.size", "y.at"))).alias("hub")).where("hub.node is not null")
+    hubs = hubs.select("token", F.col("hub.node").alias("node_b"), F.col("hub.size").alias("size_b"), F.col("hub.at").alias("at_b")).distinct()
+    mine, other = (again.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "size", "at", "first"))) for x in ("a", "b"))
+    fits = close(F.col("size_a"), F.col("size_b"), percent) & first_in_common(F.col("size_a"), F.col("at_a"), F.col("size_b"), F.col("at_b"), percent)
+    starred = mine.join(hubs, "token").where((F.col("node_a") != F.col("node_b")) & fits).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+    gone = _settled(sets, pairs.unionByName(starred).distinct(), percent)
+    unsettled = mine.join(gone, F.col("node_a") == F.col("node"), "left_anti")
+    earlier = unsettled.join(other, "token").where((F.col("first_b") < F.col("first_a")) & fits).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+    gone = gone.unionByName(_settled(sets, earlier.distinct(), percent)).distinct()
+
+    later = held.select("doc_id", "doc_hash", "line_no", "node").join(classes.select("node", "first", "n"), "node")
     not_first = later.where("n > 1").where(F.struct("doc_id", "doc_hash", "line_no") != F.col("first"))
-    matched = classes.join(gone, "class").select("first.*", F.lit(False).alias("exact"))
+    matched = classes.join(gone, "node").select("first.*", F.lit(False).alias("exact"))
     return not_first.select("doc_id", "doc_hash", "line_no", F.lit(True).alias("exact")).unionByName(matched).distinct()
 
 
-def _pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
-    """Classes that share an offered token, as far as lengths and the token's places allow the similarity."""
-    a, b = left.select("token", *(F.col(c).alias(f"a_{c}") for c in ("class", "size", "at"))), right.select("token", *(F.col(c).alias(f"b_{c}") for c in ("class", "size", "at")))
-    by_length = 100 * F.least("a_size", "b_size") >= percent * F.greatest("a_size", "b_size")
-    most = F.least("a_at", "b_at") + 1 + F.least(F.col("a_size") - F.col("a_at") - 1, F.col("b_size") - F.col("b_at") - 1)
-    by_place = (100 + percent) * most >= percent * (F.col("a_size") + F.col("b_size"))
-    return (
-        a.join(b, "token")
-        .where((F.col("a_class") != F.col("b_class")) & by_length & by_place)
-        .select(F.least("a_class", "b_class").alias("a"), F.greatest("a_class", "b_class").alias("b"))
-        .distinct()
-    )
-
-
-def _verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The classes (``class``) of ``pairs`` (a, b) that are similar to the other and come later."""
-    pairs = stage(pairs, "pairs")
-    needed = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
-    needed = stage(needed.join(classes, "class").select("class", "first.*"), "needed")
+def _sets(rows: DataFrame, needed: DataFrame, n: int) -> DataFrame:
+    """(node, first, set) of the lines in ``needed`` (node and place)."""
     mask = _mask(needed.select(F.xxhash64("doc_id").alias("h")), "h")
     lines = _lines(rows.where(_in_mask(mask, F.xxhash64("doc_id"))), "doc_id", "text")
     same = F.col("l.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("l.doc_hash") == F.col("w.doc_hash")) & (F.col("l.line_no") == F.col("w.line_no"))
-    found = lines.alias("l").join(needed.alias("w"), same).select("w.class", "w.doc_id", "w.doc_hash", "w.line_no", "l.line").distinct()
-    sets = stage(
-        found.withColumn("words", _words(F.col("line"))).select("class", F.struct("doc_id", "doc_hash", "line_no").alias("first"), _tokens(F.col("words"), n).alias("set")),
+    found = lines.alias("l").join(needed.alias("w"), same).select("w.node", "w.doc_id", "w.doc_hash", "w.line_no", "l.line").dropDuplicates(["doc_id", "doc_hash", "line_no"])
+    return stage(
+        found.withColumn("words", _words(F.col("line"))).select(
+            "node", F.struct("doc_id", "doc_hash", "line_no").alias("first"), _tokens(F.col("words"), n).alias("set")
+        ),
         "sets",
     )
-    a, b = (sets.select(F.col("class").alias(x), F.col("first").alias(f"first_{x}"), F.col("set").alias(f"set_{x}")) for x in ("a", "b"))
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    return (
-        pairs.join(a, "a")
-        .join(b, "b")
-        .withColumn("shared", shared)
-        .where(100 * F.col("shared") >= percent * (F.size("set_a") + F.size("set_b") - F.col("shared")))
-        .select(F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a")).alias("class"))
-        .distinct()
-    )
+
+
+def _settled(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The nodes of ``pairs`` (a, b) that are similar to the other and come later."""
+    a, b = (sets.select(F.col("node").alias(x), F.col("first").alias(f"first_{x}"), F.col("set").alias(f"set_{x}")) for x in ("a", "b"))
+    both = stage(pairs, "pairs").join(a, "a").join(b, "b").where(close(F.size("set_a"), F.size("set_b"), percent))
+    matched = both.where(enough(F.size(F.array_intersect("set_a", "set_b")), F.size("set_a"), F.size("set_b"), percent))
+    return stage(matched.select(F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a")).alias("node")).distinct(), "gone")
 
 
 def dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

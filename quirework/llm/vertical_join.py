@@ -49,7 +49,7 @@ def _prefix(size: np.ndarray, percent: int) -> np.ndarray:
 def _reach(size: np.ndarray, percent: int) -> np.ndarray:
     """l: how many shared n-grams the low pieces of two similar sets hold, at least."""
     p = _prefix(size, percent)
-    return np.minimum(p // 2 + 1, size - p + 1)
+    return np.minimum(2 * p + 1, size - p + 1)
 
 
 def _nodes(w: tokens.Words, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -181,12 +181,14 @@ def jaccard_components(
     lists = offers.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
     listed = stage(offers.join(lists.select("token", "n"), "token").distinct(), "lists")
     sizes = classes.select("node", "size")
-    needed = stage(listed.select("node").distinct().join(classes, "node").select("node", F.col("min_id").alias("doc_id")), "needed")
-    pieces = _pieces(rows, needed, n, fragments)
-
-    short = listed.where(F.col("n") <= _SHORT)
-    pairs = short.select("token", F.col("node").alias("a")).join(short.select("token", F.col("node").alias("b")), "token").where("a < b").select("a", "b")
-    crowd = listed.where(F.col("n") > _SHORT).select("node").distinct()
+    short = listed.where(F.col("n") <= _SHORT).join(sizes, "node")
+    left, right = (short.select("token", F.col("node").alias(x), F.col("size").alias(f"size_{x}")) for x in ("a", "b"))
+    pairs = stage(
+        left.join(right, "token").where((F.col("a") < F.col("b")) & close(F.col("size_a"), F.col("size_b"), percent)).select("a", "b").distinct(), "pairs"
+    )
+    crowd = stage(listed.where(F.col("n") > _SHORT).select("node").distinct(), "crowd")
+    needed = crowd.unionByName(pairs.select(F.col("a").alias("node"))).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    pieces = _pieces(rows, stage(needed.join(classes, "node").select("node", F.col("min_id").alias("doc_id")), "needed"), n, fragments)
     again = stage(rare_prefixes(pieces.join(crowd, "node", "left_semi").select("node", "piece"), sizes, percent), "prefixes")
     hubs = again.groupBy("token").agg(F.min(F.struct("at", "node", "size")).alias("hub")).select("token", F.col("hub.node").alias("b"), F.col("hub.size").alias("size_b"), F.col("hub.at").alias("at_b"))
     mine = again.select("token", F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("at").alias("at_a"))
