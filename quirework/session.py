@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
+_ROOT = str(Path(__file__).resolve().parents[1])
+
 
 def build_session(app: str = "quirework", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators rely on: UTC, AQE and skew-join handling."""
@@ -23,5 +27,10 @@ def build_session(app: str = "quirework", master: str | None = None, **conf: str
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One input table, read lazily so that pruning and pushdown reach the scan."""
+    """One input table, read lazily so that pruning and pushdown reach the scan.
+
+    Python workers of a session that was started elsewhere find this package by the path set here; on a cluster, install
+    it or ship it with ``--py-files``.
+    """
+    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
