@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quirework.llm import tokens
-from quirework.llm.shared import fixed_bitmap, in_bitmap, slices, stage
+from quirework.llm.shared import fixed_bitmap, in_bitmap, slices, stage, without_ids
 
 _HITS = "at_row long, doc_id long, size long, sketch array<struct<part:int,hash:long>>, shared array<long>"
 
@@ -153,7 +153,6 @@ def containment_pairs(
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """``docs`` without those that contain an item; all columns stay. Ids that are null are kept."""
-    id_col = options.get("id_col", "doc_id")
-    bad = containment_pairs(docs, items, **options).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(bad, docs[id_col].cast("long") == F.col("_found"), "left_anti")
+    """``docs`` without those that contain an item; all columns stay. Rows with a null id go together if one of them does."""
+    bad = containment_pairs(docs, items, **options).select(F.col("doc_id").alias("id"))
+    return without_ids(docs, bad, options.get("id_col", "doc_id"))

@@ -26,9 +26,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quirework.llm.set_join import close, enough, first_in_common, rare_prefixes
-from quirework.llm.shared import BLANKS, stage
+from quirework.llm.shared import BLANKS, fixed_table, id_mask, in_id_mask, stage
 
-_LEVELS, _WARM, _BITS = 1 << 17, 16, 20
+_LEVELS, _WARM = 1 << 17, 16
 #: Lists of candidates up to this length give all their pairs; longer ones are ordered anew.
 _SHORT = 16
 
@@ -63,33 +63,6 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _bit(place: Column) -> Column:
-    return F.element_at(F.array(*(F.lit(1 << k).cast("long") for k in range(32))), (F.pmod(place, F.lit(32)) + 1).cast("int"))
-
-
-def _mask(ids: DataFrame, col: str) -> Column:
-    """A subquery with a bitmap of 2**20 places of the hashes in ``col``: fixed size, lets too much through at worst."""
-    place = F.shiftrightunsigned(F.col(col), 64 - _BITS)
-    held = ids.groupBy(F.shiftright(place, 5).alias("at")).agg(
-        F.bit_or(_bit(place)).alias("bits")
-    )
-    return _table(held, "bits", 1 << (_BITS - 5), "long")
-
-
-def _in_mask(mask: Column, value: Column) -> Column:
-    place = F.shiftrightunsigned(value, 64 - _BITS)
-    return F.get(mask, F.shiftright(place, 5).cast("int")).bitwiseAND(_bit(place)) != 0
-
-
-def _table(rows: DataFrame, value: str, size: int, kind: str) -> Column:
-    """Rows (at, value) as one array of ``size`` places, 0 where there is no row."""
-    pairs = rows.select(F.struct(F.col("at").cast("int").alias("at"), F.col(value).cast(kind).alias("v")).alias("p"))
-    full = rows.sparkSession.range(size).select(F.struct(F.col("id").cast("int").alias("at"), F.lit(0).cast(kind).alias("v")).alias("p"))
-    top = pairs.unionByName(full).groupBy("p.at").agg(F.max("p.v").alias("v"))
-    out = top.agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "v"))), lambda x: x["v"]).alias("t"))
-    return stage(out, "table").scalar()
-
-
 def removed_lines(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -112,7 +85,7 @@ def removed_lines(
     classes = stage(held.groupBy("node").agg(F.min(place).alias("first"), F.max("size").alias("size"), F.count("*").alias("n")), "classes")
 
     warm = held.select(F.explode("low").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > _WARM)
-    levels = _table(
+    levels = fixed_table(
         warm.groupBy(F.pmod("token", F.lit(_LEVELS)).alias("at")).agg(F.max(F.log2("n").cast("int")).alias("level")), "level", _LEVELS, "byte"
     )
     spare = F.least(_spare(F.col("size"), percent), _spare(_least(F.col("size"), percent), percent))
@@ -152,8 +125,8 @@ def removed_lines(
 
 def _sets(rows: DataFrame, needed: DataFrame, n: int) -> DataFrame:
     """(node, first, set) of the lines in ``needed`` (node and place)."""
-    mask = _mask(needed.select(F.xxhash64("doc_id").alias("h")), "h")
-    lines = _lines(rows.where(_in_mask(mask, F.xxhash64("doc_id"))), "doc_id", "text")
+    mask = id_mask(needed.select(F.xxhash64("doc_id").alias("h")), "h")
+    lines = _lines(rows.where(in_id_mask(mask, F.xxhash64("doc_id"))), "doc_id", "text")
     same = F.col("l.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("l.doc_hash") == F.col("w.doc_hash")) & (F.col("l.line_no") == F.col("w.line_no"))
     found = lines.alias("l").join(needed.alias("w"), same).select("w.node", "w.doc_id", "w.doc_hash", "w.line_no", "l.line").dropDuplicates(["doc_id", "doc_hash", "line_no"])
     return stage(
@@ -176,21 +149,21 @@ def dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``docs`` without the lines of ``removed_lines``; texts left without words go, all columns stay."""
     cut = stage(
         removed_lines(docs, id_col, text_col, **options)
-        .groupBy(F.col("doc_id").alias("_id"), F.col("doc_hash").alias("_hash"))
-        .agg(F.collect_list("line_no").alias("_cut")),
+        .groupBy(F.col("doc_id").alias("_quirework_id"), F.col("doc_hash").alias("_quirework_hash"))
+        .agg(F.collect_list("line_no").alias("_quirework_cut")),
         "cut",
     )
-    mask = _mask(cut.select(F.xxhash64("_id").alias("h")), "h")
-    touched = _in_mask(mask, F.xxhash64(id_col)) & F.col(text_col).isNotNull()
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_hash"))
-    kept = F.filter(F.split(text_col, "\n"), lambda line, i: ~F.array_contains("_cut", i))
-    text = F.when(F.col("_cut").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    mask = id_mask(cut.select(F.xxhash64("_quirework_id").alias("h")), "h")
+    touched = in_id_mask(mask, F.xxhash64(id_col)) & F.col(text_col).isNotNull()
+    same = F.col(id_col).eqNullSafe(F.col("_quirework_id")) & (F.xxhash64(text_col) == F.col("_quirework_hash"))
+    kept = F.filter(F.split(text_col, "\n"), lambda line, i: ~F.array_contains("_quirework_cut", i))
+    text = F.when(F.col("_quirework_cut").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
     names = docs.columns
     changed = (
         docs.where(touched)
         .join(cut, same, "left")
         .withColumn(text_col, text)
-        .where(F.col("_cut").isNull() | F.col(text_col).rlike(r"[^\x20\x09-\x0D]"))
+        .where(F.col("_quirework_cut").isNull() | F.col(text_col).rlike(r"[^\x20\x09-\x0D]"))
         .select(*names)
     )
     if "n_chars" in names:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from quirework.llm.class_lm import class_scores
 from quirework.llm.decontamination import containment_pairs
 from quirework.llm.kneser_ney import perplexity_filter
@@ -76,8 +77,22 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed_lines(table(spark, sf_dir, "documents")).select("doc_id", "line_no", "exact")
 
 
+_OPERATORS = (
+    op1_pareto_mix,
+    op2_url_filters,
+    op3_quality_rules,
+    op4_ngram_jaccard_join,
+    op5_toxicity,
+    op6_class_lm,
+    op7_benchmark_decontamination,
+    op8_quality_classifier,
+    op9_pii,
+    op10_line_dedup,
+)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_pareto_mix, op2_url_filters, op3_quality_rules, op4_ngram_jaccard_join, op5_toxicity, op6_class_lm, op7_benchmark_decontamination, op8_quality_classifier, op9_pii, op10_line_dedup)}
+    return {f.__name__: f for f in _OPERATORS} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -94,3 +94,46 @@ def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     bits = np.uint64(len(bitmap).bit_length() - 1 + 6)
     place = hashes >> (np.uint64(64) - bits)
     return (bitmap[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) != 0
+
+
+def without_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows whose id is in ``ids`` (one column, ``id``); null ids compare as equal.
+
+    Ids go into a bitmap of fixed size first, so only rows that may be in ``ids`` are joined: their texts are shuffled,
+    the others pass by.
+    """
+    listed = stage(ids.select(F.col("id").alias("_quirework_gone")).distinct(), "ids")
+    hashed = F.xxhash64(F.col(id_col).cast(listed.schema["_quirework_gone"].dataType))
+    bitmap = id_mask(listed.select(F.xxhash64("_quirework_gone").alias("h")), "h")
+    suspect = in_id_mask(bitmap, hashed)
+    same = F.col(id_col).cast(listed.schema["_quirework_gone"].dataType).eqNullSafe(F.col("_quirework_gone"))
+    return docs.where(~suspect).unionByName(docs.where(suspect).join(listed, same, "left_anti"))
+
+
+_MASK_BITS = 20
+
+
+def _bit(place: Column) -> Column:
+    return F.element_at(F.array(*(F.lit(1 << k).cast("long") for k in range(32))), (F.pmod(place, F.lit(32)) + 1).cast("int"))
+
+
+def id_mask(ids: DataFrame, col: str) -> Column:
+    """A subquery with a bitmap of 2**20 places of the hashes in ``col``: fixed size, lets too much through at worst."""
+    place = F.shiftrightunsigned(F.col(col), 64 - _MASK_BITS)
+    held = ids.groupBy(F.shiftright(place, 5).alias("at")).agg(F.bit_or(_bit(place)).alias("bits"))
+    return fixed_table(held, "bits", 1 << (_MASK_BITS - 5), "long")
+
+
+def in_id_mask(mask: Column, value: Column) -> Column:
+    """Whether the hash's place in the bitmap of ``id_mask`` is set."""
+    place = F.shiftrightunsigned(value, 64 - _MASK_BITS)
+    return F.get(mask, F.shiftright(place, 5).cast("int")).bitwiseAND(_bit(place)) != 0
+
+
+def fixed_table(rows: DataFrame, value: str, size: int, kind: str) -> Column:
+    """Rows (at, value) as one array of ``size`` places, 0 where there is no row."""
+    pairs = rows.select(F.struct(F.col("at").cast("int").alias("at"), F.col(value).cast(kind).alias("v")).alias("p"))
+    full = rows.sparkSession.range(size).select(F.struct(F.col("id").cast("int").alias("at"), F.lit(0).cast(kind).alias("v")).alias("p"))
+    top = pairs.unionByName(full).groupBy("p.at").agg(F.max("p.v").alias("v"))
+    out = top.agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "v"))), lambda x: x["v"]).alias("t"))
+    return stage(out, "table").scalar()

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quirework.llm import tokens
-from quirework.llm.shared import BLANKS, crc_remainder, slices, stage
+from quirework.llm.shared import BLANKS, crc_remainder, slices, stage, without_ids
 
 LEXICON = (
     "idiot moron stupid dumb loser scum trash garbage clown fool pathetic worthless disgusting ugly filthy vermin pig "
@@ -289,3 +289,9 @@ def toxicity_scores(
     return scored.select("doc_id", "held_out", score.alias("score")).withColumn(
         "predicted", (F.col("score") >= threshold).cast("int")
     )
+
+
+def reject_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """``docs`` without the rows that ``toxicity_scores`` calls toxic; all columns stay. Rows that share an id go together."""
+    bad = toxicity_scores(docs, labels, **options).where("predicted = 1").select(F.col("doc_id").alias("id"))
+    return without_ids(docs, bad)

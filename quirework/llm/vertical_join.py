@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from quirework.llm import tokens
 from quirework.llm.set_join import close, enough, first_in_common, rare_prefixes
-from quirework.llm.shared import fixed_bitmap, in_bitmap, slices, stage
+from quirework.llm.shared import fixed_bitmap, in_bitmap, slices, stage, without_ids
 
 _HEAT_BITS, _WARM = 20, 32
 #: Lists of candidates up to this length give all their pairs; longer ones are ordered anew.
@@ -212,6 +212,23 @@ def jaccard_components(
     return real.select("doc_id", "n_shingles", "node").join(of_node, "node").select("doc_id", "n_shingles", "component_id").unionByName(empty)
 
 
+def drop_near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, **options) -> DataFrame:
+    """``docs`` with one document of each component: the smallest id stays, of repeated rows one; all columns stay.
+
+    Documents without words are in no group and stay. Rows that share an id but not a text go or stay by their id.
+    """
+    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
+    groups = stage(jaccard_components(docs, n=n, percent=percent, **options), "groups")
+    later = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("id"))
+    repeated = stage(groups.where("n_shingles > 0").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("_quirework_id")), "repeated")
+    kept = without_ids(docs, later, id_col)
+    if not repeated.limit(1).count():
+        return kept
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("_quirework_id"))
+    once = kept.join(repeated, same, "left_semi").dropDuplicates([id_col, text_col])
+    return kept.join(repeated, same, "left_anti").unionByName(once)
+
+
 def _pieces(rows: DataFrame, needed: DataFrame, n: int, fragments: int) -> DataFrame:
     """(node, fragment, piece): the sets of the nodes in ``needed`` (node, doc_id), cut into fragments."""
     hashed = F.xxhash64("doc_id")
