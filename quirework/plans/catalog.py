@@ -1,69 +1,8 @@
-"""Registry of core queries and their DuckDB oracles."""
+"""All core queries: importing the plan modules registers them."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from quirework.plans import annotated, passages, relations, served  # noqa: F401
+from quirework.plans.registry import oracle_sql, queries, register
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from quirework.session import table
-
-Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-_ORACLES: dict[str, str] = {}
-
-
-def register(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under ``name``; ``oracle`` is the same result as DuckDB SQL."""
-
-    def add(fn: Query) -> Query:
-        if name in _QUERIES:
-            raise ValueError(f"query {name} is registered twice")
-        _QUERIES[name] = fn
-        if oracle is not None:
-            _ORACLES[name] = oracle
-        return fn
-
-    return add
-
-
-def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
-
-
-@register(
-    "passage_length_stats",
-    """
-    SELECT lang, count(*)::BIGINT AS n_passages, min(length(text))::BIGINT AS len_min,
-      quantile_disc(length(text), 0.5)::BIGINT AS len_p50, quantile_disc(length(text), 0.9)::BIGINT AS len_p90,
-      quantile_disc(length(text), 0.95)::BIGINT AS len_p95, max(length(text))::BIGINT AS len_max,
-      sum(length(text))::BIGINT AS len_sum,
-      count(*) FILTER (WHERE length(text) < 12)::BIGINT AS n_short,
-      count(*) FILTER (WHERE length(text) > 3000)::BIGINT AS n_long
-    FROM documents GROUP BY lang
-    """,
-)
-def passage_length_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Length profile per language: count, extremes, nearest-rank percentiles, short and long passages."""
-    n = F.length("text")
-    return (
-        table(spark, sf_dir, "documents")
-        .groupBy("lang")
-        .agg(
-            F.count("*").alias("n_passages"),
-            F.min(n).cast("long").alias("len_min"),
-            *(
-                F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY length(text))").cast("long").alias(f"len_p{k}")
-                for k, p in ((50, 0.5), (90, 0.9), (95, 0.95))
-            ),
-            F.max(n).cast("long").alias("len_max"),
-            F.sum(n).cast("long").alias("len_sum"),
-            F.count_if(n < 12).alias("n_short"),
-            F.count_if(n > 3000).alias("n_long"),
-        )
-    )
+__all__ = ["oracle_sql", "queries", "register"]
