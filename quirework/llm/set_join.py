@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quirework.llm.shared import id_mask, in_id_mask, stage
+
 
 def rare_prefixes(sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """(token, node, size, at): the tokens that other sets hold too within each set's prefix, with their place.
@@ -13,8 +15,9 @@ def rare_prefixes(sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     (number of sets that hold the token, token). Tokens of one set only come first, so they take places but no row.
     """
     token = sets.select("node", F.explode("piece").alias("token"))
-    several = token.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
-    shared = token.join(several, "token")
+    several = stage(token.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "several")
+    mask = id_mask(several, "token", bits=23)
+    shared = token.where(in_id_mask(mask, F.col("token"), bits=23)).join(several, "token")
     each = Window.partitionBy("node")
     placed = shared.withColumn("rank", F.row_number().over(each.orderBy("n", "token"))).withColumn("shared", F.count("*").over(each))
     least = F.ceil(F.col("size") * percent / 100)

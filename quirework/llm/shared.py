@@ -110,23 +110,22 @@ def without_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> Data
     return docs.where(~suspect).unionByName(docs.where(suspect).join(listed, same, "left_anti"))
 
 
-_MASK_BITS = 20
 
 
 def _bit(place: Column) -> Column:
     return F.element_at(F.array(*(F.lit(1 << k).cast("long") for k in range(32))), (F.pmod(place, F.lit(32)) + 1).cast("int"))
 
 
-def id_mask(ids: DataFrame, col: str) -> Column:
-    """A subquery with a bitmap of 2**20 places of the hashes in ``col``: fixed size, lets too much through at worst."""
-    place = F.shiftrightunsigned(F.col(col), 64 - _MASK_BITS)
+def id_mask(ids: DataFrame, col: str, bits: int = 20) -> Column:
+    """A subquery with a bitmap of 2**``bits`` places of the hashes in ``col``: fixed size, lets too much through at worst."""
+    place = F.shiftrightunsigned(F.col(col), 64 - bits)
     held = ids.groupBy(F.shiftright(place, 5).alias("at")).agg(F.bit_or(_bit(place)).alias("bits"))
-    return fixed_table(held, "bits", 1 << (_MASK_BITS - 5), "long")
+    return fixed_table(held, "bits", 1 << (bits - 5), "long")
 
 
-def in_id_mask(mask: Column, value: Column) -> Column:
+def in_id_mask(mask: Column, value: Column, bits: int = 20) -> Column:
     """Whether the hash's place in the bitmap of ``id_mask`` is set."""
-    place = F.shiftrightunsigned(value, 64 - _MASK_BITS)
+    place = F.shiftrightunsigned(value, 64 - bits)
     return F.get(mask, F.shiftright(place, 5).cast("int")).bitwiseAND(_bit(place)) != 0
 
 
