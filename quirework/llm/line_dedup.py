@@ -95,8 +95,11 @@ def removed_lines(
     offers = held.withColumn("levels", levels).select(
         "node", F.explode(F.slice(ordered, F.lit(1), F.size("low") - spare)).alias("o")
     ).select(F.col("o.token").alias("token"), "node")
-    lists = offers.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
-    listed = stage(offers.join(lists.select("token", "n"), "token").distinct(), "lists")
+    lists = stage(
+        offers.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("token", "n"), "tokens"
+    )
+    several = id_mask(lists, "token", bits=23)
+    listed = stage(offers.where(in_id_mask(several, F.col("token"), bits=23)).join(lists, "token").distinct(), "lists")
     sets = _sets(rows, stage(listed.select("node").distinct().join(classes, "node").select("node", "first.*"), "needed"), n)
 
     short = listed.where(F.col("n") <= _SHORT)
@@ -126,7 +129,9 @@ def removed_lines(
 def _sets(rows: DataFrame, needed: DataFrame, n: int) -> DataFrame:
     """(node, first, set) of the lines in ``needed`` (node and place)."""
     mask = id_mask(needed.select(F.xxhash64("doc_id").alias("h")), "h")
-    lines = _lines(rows.where(in_id_mask(mask, F.xxhash64("doc_id"))), "doc_id", "text")
+    place = F.xxhash64("doc_id", "doc_hash", F.col("line_no").cast("long"))
+    exact = id_mask(needed.select(place.alias("h")), "h", bits=23)
+    lines = _lines(rows.where(in_id_mask(mask, F.xxhash64("doc_id"))), "doc_id", "text").where(in_id_mask(exact, place, bits=23))
     same = F.col("l.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("l.doc_hash") == F.col("w.doc_hash")) & (F.col("l.line_no") == F.col("w.line_no"))
     found = lines.alias("l").join(needed.alias("w"), same).select("w.node", "w.doc_id", "w.doc_hash", "w.line_no", "l.line").dropDuplicates(["doc_id", "doc_hash", "line_no"])
     return stage(
@@ -139,8 +144,14 @@ def _sets(rows: DataFrame, needed: DataFrame, n: int) -> DataFrame:
 
 def _settled(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The nodes of ``pairs`` (a, b) that are similar to the other and come later."""
-    a, b = (sets.select(F.col("node").alias(x), F.col("first").alias(f"first_{x}"), F.col("set").alias(f"set_{x}")) for x in ("a", "b"))
-    both = stage(pairs, "pairs").join(a, "a").join(b, "b").where(close(F.size("set_a"), F.size("set_b"), percent))
+    pairs = stage(pairs, "pairs")
+
+    def side(x: str) -> DataFrame:
+        """The sets of the lines that stand on this side of a pair; a bitmap keeps most others out of the shuffle."""
+        here = in_id_mask(id_mask(pairs.select(F.col(x).alias("h")), "h"), F.col("node"))
+        return sets.where(here).select(F.col("node").alias(x), F.col("first").alias(f"first_{x}"), F.col("set").alias(f"set_{x}"))
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b").where(close(F.size("set_a"), F.size("set_b"), percent))
     matched = both.where(enough(F.size(F.array_intersect("set_a", "set_b")), F.size("set_a"), F.size("set_b"), percent))
     return stage(matched.select(F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a")).alias("node")).distinct(), "gone")
 
