@@ -30,10 +30,7 @@ def body_lines(lines: DataFrame, key: str, order: str, line: str, fence: str = "
     """Lines outside the front matter: the first two fences enclose it, later ones are text."""
     seen = F.sum((F.col(line) == fence).cast("int")).over(Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
     closing = (F.col("_fences") == 2) & (F.col(line) == fence)
-    opened = F.max(F.col("_fences")).over(Window.partitionBy(key)) >= 2
-    return lines.withColumn("_fences", seen).withColumn("_closed", opened).where(
-        (F.col("_fences") == 0) | ((F.col("_fences") >= 2) & ~(closing & (F.lag("_fences").over(Window.partitionBy(key).orderBy(order)) == 1)))
-    ).drop("_fences", "_closed")
+    return lines.withColumn("_fences", seen).where((F.col("_fences") == 0) | ((F.col("_fences") >= 2) & ~closing)).drop("_fences")
 
 
 def segments(lines: DataFrame, key: str, order: str, line: str, directive: str, heading: str = "^#{1,6} ") -> DataFrame:
