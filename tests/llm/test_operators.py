@@ -1,0 +1,319 @@
+"""The training-data operators against brute-force versions on the smallest input, and on awkward rows."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from quirework.llm import registry
+from quirework.llm.class_lm import exchange
+from quirework.llm.decontamination import containment_pairs, decontaminate
+from quirework.llm.line_dedup import dedup_documents, removed_lines
+from quirework.llm.mixing import pareto_mix
+from quirework.llm.pii import personal_spans
+from quirework.llm.quality_rules import quality_rules
+from quirework.llm.toxicity import reject_toxic, toxicity_scores
+from quirework.llm.url_filters import link_verdicts
+from quirework.llm.vertical_join import drop_near_duplicates, jaccard_components
+
+BLANK = re.compile(r"[\x20\x09-\x0D]+")
+FOLD = {i: i + 32 for i in range(65, 91)}
+
+
+def words(text):
+    return [w for w in BLANK.split(text or "") if w]
+
+
+def shingles(ws, n):
+    return {tuple(ws[i : i + n]) for i in range(len(ws) - n + 1)} if len(ws) >= n else ({tuple(ws)} if ws else set())
+
+
+def crc(doc_id, m):
+    return zlib.crc32(str(doc_id).encode()) % m
+
+
+@pytest.fixture(scope="module")
+def docs(spark, small):
+    return [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()]
+
+
+@pytest.fixture(scope="module")
+def result(spark, small):
+    held = {}
+
+    def get(name):
+        if name not in held:
+            held[name] = registry.queries()[name](spark, small).collect()
+        return held[name]
+
+    return get
+
+
+def components(rows, n, percent):
+    sets = {d: shingles(words((t or "").translate(FOLD)), n) for d, t in rows}
+    parent = {d: d for d in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[:i]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return {d: (len(sets[d]), find(d)) for d in sets}
+
+
+def test_op1_targets_and_taken_words(spark, small, result):
+    rows = {r["doc_id"]: r for r in result("op1_pareto_mix")}
+    source = {r["doc_id"]: r["source"] for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "source").collect()}
+    size = Counter()
+    for d, r in rows.items():
+        size[source[d]] += r["size"]
+        assert r["taken"] == r["copies"] * r["size"] and 0 <= r["copies"] <= 3
+    names = sorted(size)
+    weight = {s: (1, 2, 3)[i % 3] for i, s in enumerate(names)}
+    target, open_, left = {}, set(names), float(sum(size.values()))
+    while True:
+        share = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        over = {s for s in open_ if share[s] > 3 * size[s]}
+        if not over:
+            target |= share
+            break
+        for s in over:
+            target[s] = 3.0 * size[s]
+            left -= target[s]
+        open_ -= over
+    taken = Counter()
+    for d, r in rows.items():
+        taken[source[d]] += r["taken"]
+        assert math.isclose(r["target"], target[source[d]], rel_tol=1e-9) and r["source_size"] == size[source[d]]
+    # whole documents: a source of few, large ones can miss its target by less than its largest
+    largest = {s: max(r["size"] for d, r in rows.items() if source[d] == s) for s in names}
+    assert all(target[s] - largest[s] < taken[s] <= target[s] + 1e-6 for s in names)
+    again = {r["doc_id"]: r["copies"] for r in registry.queries()["op1_pareto_mix"](spark, small).collect()}
+    assert again == {d: r["copies"] for d, r in rows.items()}
+
+
+def test_op2_rules(spark, small, result):
+    rules = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+    urls = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{small}/pages.parquet").select("page_id", "url").collect()}
+    for r in result("op2_url_filters"):
+        rest = (urls[r["page_id"]] or "").partition("://")[2]
+        host = re.match(r"[^/?#]*", rest)[0]
+        path = re.match(r"[^?#]*", rest[len(host) :])[0]
+        host = host.translate(FOLD)
+        fits = [(len(p), p, v) for v, p in rules if (host == p.split("/")[0] or host.endswith("." + p.split("/")[0])) and path.startswith(p[p.index("/") :])]
+        assert (r["host"], r["path"]) == (host, path)
+        assert r["rule"] == (max(fits)[1] if fits else None) and r["verdict"] in ("allow", "block")
+        if fits:
+            assert r["verdict"] == max(fits)[2]
+
+
+def test_op2_trust_and_distrust_travel_over_links(spark):
+    pages = spark.createDataFrame(
+        [(1, "http://good.org/a", '<a href="http://x.net/">'), (2, "http://x.net/", None), (3, "http://y.net/", '<a href="http://bad.com/de/1">'), (4, "http://bad.com/de/1", ""), (5, None, None)],
+        "page_id long, url string, html string",
+    )
+    got = {r["page_id"]: r["verdict"] for r in link_verdicts(pages).collect()}
+    assert got == {1: "allow", 2: "allow", 3: "block", 4: "block", 5: "allow"}
+
+
+def test_op3_base_counts(docs, result):
+    rows = {r["doc_id"]: r for r in result("op3_quality_rules")}
+    for d, text in docs:
+        text, ws, seen, dup = text or "", words(text), set(), 0
+        for line in text.split("\n"):
+            if words(line):
+                dup += line in seen
+                seen.add(line)
+        grams = [tuple(ws[i : i + 5]) for i in range(len(ws) - 4)]
+        n = Counter(grams)
+        inside = {i + k for i, g in enumerate(grams) if n[g] > 1 for k in range(5)}
+        r = rows[d]
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == (
+            len(ws), sum(map(len, ws)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(inside),
+        )
+        assert r["base_failed"] == (len(ws) < 10 or 100 * len(inside) > 20 * len(ws)) and not (r["base_failed"] and r["kept"])
+
+
+def test_op4_components(docs, result):
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in result("op4_ngram_jaccard_join")} == components(docs, 3, 90)
+
+
+def test_op4_large_families_of_copies(spark):
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*base[: i % 50], f"x{i}", *base[i % 50 + 1 :]])) for i in range(120)]
+    rows += [(500 + i, " ".join(base)) for i in range(40)] + [(900, None), (901, ""), (902, "A b"), (903, "a B")]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = components(rows, 3, 90)
+    assert got == want
+
+
+def test_op5_held_out_accuracy(spark, small):
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{small}/labels.parquet").collect()}
+    rows = registry.op5_toxicity(spark, small).collect()
+    for r in rows:
+        assert 0 <= r["score"] <= 1 and r["held_out"] == (crc(r["doc_id"], 4) == 2) and r["predicted"] == int(r["score"] >= 0.3)
+    held = [(r["score"], labels[r["doc_id"]]) for r in rows if r["held_out"] and labels.get(r["doc_id"]) is not None]
+    good, bad = [s for s, y in held if y == 1], [s for s, y in held if y == 0]
+    if good and bad:
+        assert np.mean([(a > b) + 0.5 * (a == b) for a in good for b in bad]) > 0.7
+
+
+def test_op6_base_scores(docs, result):
+    train = Counter()
+    for d, text in docs:
+        if crc(d, 5) != 1:
+            train.update([*words((text or "").translate(FOLD)), None])
+    total, kinds = sum(train.values()), len(train)
+    rows = {r["doc_id"]: r for r in result("op6_class_lm")}
+    for d, text in docs:
+        ts, r = [*words((text or "").translate(FOLD)), None], rows[d]
+        base = sum(math.log10((train[t] + 0.5) / (total + 0.5 * (kinds + 1))) for t in ts)
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (crc(d, 5) == 1, len(ts), sum(train[t] > 0 for t in ts), total)
+        assert math.isclose(r["base_score"], base, rel_tol=1e-9, abs_tol=1e-9)
+    held = [r for r in rows.values() if r["held_out"]]
+    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+def test_op6_exchange_finds_the_classes():
+    pairs = np.zeros((7, 7))  # ids 0, 2, 4 are followed by 1, 3, 5 and the other way round; 6 is the end
+    for a in (0, 2, 4):
+        for b in (1, 3, 5):
+            pairs[a, b] = pairs[b, a] = 10
+    group = exchange(pairs, 6, 2)
+    assert len({group[0], group[2], group[4]}) == 1 and len({group[1], group[3], group[5]}) == 1 and group[0] != group[1]
+
+
+def test_op7_containment(spark, small, docs, result):
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()]
+    want = set()
+    for d, text in docs:
+        have = shingles(words((text or "").lower()), 5)
+        for k, item in items:
+            need = shingles(words(item.lower()), 5)
+            if need and len(have & need) >= 0.8 * len(need):
+                want.add((d, k))
+    assert {(r["doc_id"], r["item_id"]) for r in result("op7_benchmark_decontamination")} == want and want
+
+
+def test_op8_perplexity(docs, result):
+    rows = {r["doc_id"]: r for r in result("op8_quality_classifier")}
+    assert set(rows) == {d for d, _ in docs}
+    for d, text in docs:
+        assert rows[d]["n_words"] == len(words(text)) and (rows[d]["perplexity"] is None) == (not words(text))
+        assert words(text) or not rows[d]["kept"]
+    assert all(r["perplexity"] > 1 for r in rows.values() if r["perplexity"] is not None)
+
+
+def luhn(digits):
+    return sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed(digits))) % 10 == 0
+
+
+def test_op9_base_spans(docs, result):
+    kinds = [
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m.split("."))),
+        ("card", r"[0-9]([\x20-]?[0-9])+", lambda m: 13 <= len(re.sub(r"\D", "", m)) <= 19 and luhn(re.sub(r"\D", "", m))),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 9 <= len(re.sub(r"\D", "", m)) <= 15),
+    ]
+    rows = {r["doc_id"]: r for r in result("op9_pii")}
+    for d, text in docs:
+        found = [(k, m.start(), m.end()) for k, p, ok in kinds for m in re.finditer(p, text or "", re.ASCII) if ok(m[0])]
+        n, r = Counter(k for k, _, _ in found), rows[d]
+        assert [r[f"n_{k}"] for k, _, _ in kinds] == [n[k] for k, _, _ in kinds]
+        digest = hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in found).encode()).hexdigest()
+        assert r["base_sha256"] == digest and all(f"{k}:{a}:{b}" in r["spans"].split(",") for k, a, b in found)
+
+
+def superfluous(rows, n=5, percent=80):
+    kept, gone = [], set()
+    for d, text in sorted(set(rows), key=lambda x: x[0]):
+        for i, line in enumerate((text or "").split("\n")):
+            s = shingles(words(line.lower()), n)
+            if s and any(100 * len(s & o) >= percent * len(s | o) for o in kept):
+                gone.add((d, i))
+            if s:
+                kept.append(s)
+    return gone
+
+
+def test_op10_lines(docs, result):
+    assert {(r["doc_id"], r["line_no"]) for r in result("op10_line_dedup")} == superfluous(docs)
+
+
+def test_op10_families_of_near_equal_lines(spark):
+    base = [f"w{i}" for i in range(40)]
+    rows = [(i, "\n".join([" ".join([*base[: i % 30], f"x{i}", *base[i % 30 + 1 :]]), f"own line {i} a b c d"])) for i in range(60)]
+    got = {(r["doc_id"], r["line_no"]) for r in removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == superfluous(rows)
+
+
+def test_stages_of_the_pipeline(spark, small):
+    documents = spark.read.parquet(f"{small}/documents.parquet")
+    labels = spark.read.parquet(f"{small}/labels.parquet")
+    toxic = {r["doc_id"] for r in toxicity_scores(documents, labels).where("predicted = 1").select("doc_id").collect()}
+    kept = {r["doc_id"]: r["text"] for r in documents.collect() if r["doc_id"] not in toxic}
+    gone = superfluous(list(kept.items()))
+    cut = {}
+    for d, text in kept.items():
+        lines = (text or "").split("\n")
+        left = "\n".join(line for i, line in enumerate(lines) if (d, i) not in gone)
+        if not any((d, i) in gone for i in range(len(lines))):
+            cut[d] = text
+        elif words(left):
+            cut[d] = left
+    groups = components(list(cut.items()), 5, 80)
+    once = {d: t for d, t in cut.items() if groups[d][1] == d}
+    items = [shingles(words(r["text"].lower()), 5) for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()]
+    clean = {d: t for d, t in once.items() if not any(len(shingles(words((t or "").lower()), 5) & s) >= 0.8 * len(s) for s in items if s)}
+    mixed = corpus_pipeline.run(spark, small).collect()
+    assert {r["doc_id"] for r in mixed} <= set(clean)
+    assert all(r["size"] == len(words(clean[r["doc_id"]])) for r in mixed)
+    source = {r["doc_id"]: r["source"] for r in documents.select("doc_id", "source").collect()}
+    size, taken, largest, target = Counter(), Counter(), Counter(), {}
+    for d, t in clean.items():
+        size[source[d]] += len(words(t))
+        largest[source[d]] = max(largest[source[d]], len(words(t)))
+    for r in mixed:
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+        assert r["source_size"] == size[r["source"]] and r["taken"] <= 3 * r["size"]
+    assert all(target[s] - largest[s] < taken[s] <= target[s] + 1e-6 for s in target)
+
+
+AWKWARD = [(1, "a b c d e f", "en", "s", 11, 7), (1, "a b c d e f", "en", "s", 11, 7), (2, None, None, None, None, 7), (3, "", "en", None, 0, 7), (None, "x y\nx y", "de", "t", 7, 7), (4, "word " * 30_000, "en", "s", 150_000, 7)]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, label int"
+
+
+@pytest.mark.parametrize("rows", [AWKWARD, []], ids=["awkward", "empty"])
+def test_awkward_and_empty_tables(spark, rows):
+    documents = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(1, 1, 0), (4, 0, 1), (None, 1, 1), (9, None, None)][: len(rows)], "doc_id long, quality int, toxic int")
+    items = spark.createDataFrame([(1, "a b c d e f"), (2, None), (3, "")][: len(rows)], "item_id long, text string")
+    n = len(rows)
+    assert pareto_mix(documents).count() == n
+    assert quality_rules(documents, labels).count() == n
+    assert jaccard_components(documents).count() == n
+    assert toxicity_scores(documents, labels).count() == n
+    assert personal_spans(documents).count() == n
+    assert containment_pairs(documents, items).count() == (1 if n else 0)
+    kept = decontaminate(documents, items)
+    assert kept.columns == documents.columns and kept.count() == max(0, n - 2)
+    assert reject_toxic(documents, labels).columns == documents.columns
+    once = drop_near_duplicates(documents)
+    assert once.columns == documents.columns and once.count() == max(0, n - 1)
+    lines = dedup_documents(documents)
+    assert lines.columns == documents.columns and lines.count() == n
