@@ -1,7 +1,8 @@
 """Quality classifier: an interpolated modified Kneser-Ney model of trusted text.
 
-The model is trained on a bounded sample of trusted documents (label 1; the ``sample`` with the smallest hash of their
-id). Its counts are tables keyed by 64-bit n-gram hash: raw counts for the highest order, continuation counts below, with
+Trusted documents (label 1) with words fall into two folds by hash of their text, so equal texts stay together: about one
+in ``folds`` sets thresholds, and of the others the ``sample`` with the smallest hash train the model. Each language has
+a trusted document among those that set thresholds, and one that trains if it has two different ones. The model's counts are tables keyed by 64-bit n-gram hash: raw counts for the highest order, continuation counts below, with
 the three discounts of each order from its counts of counts; joins of those tables, sharded by hash, give every n-gram's
 probability. As interpolation is P(w | uv) = max(c(uvw) - D, 0) / c(uv) + g(uv) P(w | v), the log probability of a text
 is a sum with one term for each n-gram in it that the model knows:
@@ -10,8 +11,8 @@ is a sum with one term for each n-gram in it that the model knows:
     + [uvw known] (log P(w|uv) - log g(uv) P(w|v))
 
 so each table is used by itself: unigrams, bigrams and trigrams are sorted arrays of bounded size, which the scoring tasks
-search in Arrow batches. A document is kept when its perplexity is at most the ``quantile`` of the trusted documents of
-its language that the model was not trained on (of all such documents where the language has none).
+search in Arrow batches. A document is kept when its perplexity is at most the ``quantile`` of the threshold fold's
+documents of its language (of the whole threshold fold where the language has no trusted document).
 
 Defined results: null and blank texts have no perplexity and are not kept; a null language is a language of its own;
 without trusted documents every document has perplexity by the uniform model, no threshold and is kept; repeated rows are
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quirework.llm import tokens
-from quirework.llm.shared import fixed_bitmap, in_bitmap, slices, stage
+from quirework.llm.shared import fixed_bitmap, in_bitmap, slices, stage, word_count
 
 
 @dataclass
@@ -185,15 +186,24 @@ def perplexity_filter(
     label_col: str = "quality",
     sample: int = 3000,
     quantile: float = 0.995,
+    folds: int = 5,
 ) -> DataFrame:
     """doc_id, lang, n_words, perplexity, threshold (of the language) and kept for each document."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
     good = labels.where((F.col(label_col) == 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    chosen = stage(good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "trusted")
+    trusted = stage(rows.join(good, "doc_id", "left_semi").where(word_count(F.col("text")) > 0).select("doc_id", "lang", F.xxhash64("text").alias("h")), "trusted")
+    ends = trusted.groupBy(F.col("lang").alias("_lang")).agg(F.min("h").alias("low"), F.max("h").alias("high"))
+    sets = (F.pmod("h", F.lit(folds)) == 0) | (F.col("h") == F.col("low"))
+    # the fold of a text: a language's smallest hash sets thresholds, its largest trains
+    fold = stage(
+        trusted.join(F.broadcast(ends), F.col("lang").eqNullSafe(F.col("_lang"))).select("doc_id", "lang", "h", (sets & ((F.col("h") != F.col("high")) | (F.col("low") == F.col("high")))).alias("sets")),
+        "fold",
+    )
+    chosen = stage(fold.where("not sets").select("doc_id", "h").distinct().orderBy(F.xxhash64("h"), "doc_id").limit(sample).select("doc_id"), "chosen")
     model = train(rows.join(F.broadcast(chosen), "doc_id", "left_semi").select("text"))
     scored = stage(rows.mapInArrow(_perplexity(spark.sparkContext.broadcast(model)), "doc_id long, lang string, n_words long, perplexity double"), "perplexity")
-    fresh = scored.where("perplexity is not null").join(good.join(F.broadcast(chosen), "doc_id", "left_anti"), "doc_id", "left_semi")
+    fresh = scored.where("perplexity is not null").join(fold.where("sets").select("doc_id").distinct(), "doc_id", "left_semi")
     limits = fresh.rollup("lang").agg(F.percentile_approx("perplexity", quantile, 10000).alias("threshold"), F.grouping_id().alias("level"))
     limits = stage(limits, "limits")
     overall = limits.where("level = 1").select("threshold").limit(1).collect()

@@ -15,6 +15,7 @@ import corpus_pipeline
 from quirework.llm import registry
 from quirework.llm.class_lm import exchange
 from quirework.llm.decontamination import containment_pairs, decontaminate
+from quirework.llm.kneser_ney import perplexity_filter
 from quirework.llm.line_dedup import dedup_documents, removed_lines
 from quirework.llm.mixing import pareto_mix
 from quirework.llm.pii import personal_spans
@@ -218,6 +219,16 @@ def test_op8_perplexity(docs, result):
     assert all(r["perplexity"] > 1 for r in rows.values() if r["perplexity"] is not None)
 
 
+def test_op8_thresholds_reject_junk_on_the_small_input(spark, small, result):
+    got = result("op8_quality_classifier")
+    assert all(r["threshold"] is not None for r in got)
+    documents = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "lang", "text")
+    junk = spark.createDataFrame([(-1, "en", " ".join(f"zq{i * 7919 % 1009}x" for i in range(300)))], "doc_id long, lang string, text string")
+    rows = {r["doc_id"]: r for r in perplexity_filter(documents.unionByName(junk), spark.read.parquet(f"{small}/labels.parquet")).collect()}
+    assert rows[-1]["perplexity"] > rows[-1]["threshold"] and not rows[-1]["kept"]
+    assert sum(r["kept"] for r in rows.values()) > len(rows) / 2
+
+
 def luhn(digits):
     return sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed(digits))) % 10 == 0
 
