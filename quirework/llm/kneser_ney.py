@@ -1,18 +1,22 @@
 """Quality classifier: an interpolated modified Kneser-Ney model of trusted text.
 
 Trusted documents (label 1) with words fall into two folds by hash of their text, so equal texts stay together: about one
-in ``folds`` sets thresholds, and of the others the ``sample`` with the smallest hash train the model. Each language has
-a trusted document among those that set thresholds, and one that trains if it has two different ones. The model's counts are tables keyed by 64-bit n-gram hash: raw counts for the highest order, continuation counts below, with
-the three discounts of each order from its counts of counts; joins of those tables, sharded by hash, give every n-gram's
-probability. As interpolation is P(w | uv) = max(c(uvw) - D, 0) / c(uv) + g(uv) P(w | v), the log probability of a text
-is a sum with one term for each n-gram in it that the model knows:
+in ``folds`` sets thresholds, all others train the model. Each language has a trusted document among those that set
+thresholds, and one that trains if it has two different ones. The model's counts are tables keyed by 64-bit n-gram hash:
+raw counts for the highest order, continuation counts below, with the three discounts of each order from its counts of
+counts; joins of those tables, sharded by hash, give every n-gram's probability. As interpolation is
+P(w | uv) = max(c(uvw) - D, 0) / c(uv) + g(uv) P(w | v), the log probability of a text is a sum with one term for each
+n-gram in it that the model knows:
 
     base(w) + [v known] log g(v) + [vw known] (log P(w|v) - log g(v) P(w)) + [uv known] log g(uv)
     + [uvw known] (log P(w|uv) - log g(uv) P(w|v))
 
-so each table is used by itself: unigrams, bigrams and trigrams are sorted arrays of bounded size, which the scoring tasks
-search in Arrow batches. A document is kept when its perplexity is at most the ``quantile`` of the threshold fold's
-documents of its language (of the whole threshold fold where the language has no trusted document).
+so each n-gram has two terms, its own and the one it gives as a context. The table of terms grows with the trusted text
+and stays in shared storage; each document's n-grams are counted and joined with it by hash. Only what has a fixed size
+is sent around: the ``head`` most frequent n-grams, whose terms are added without a join, and a bitmap that keeps most
+n-grams the model does not know out of the shuffle. Terms are whole multiples of 2**-30, so sums do not depend on order.
+A document is kept when its perplexity is at most the ``quantile`` of the threshold fold's documents of its language (of
+the whole threshold fold where the language has no trusted document).
 
 Defined results: null and blank texts have no perplexity and are not kept; a null language is a language of its own;
 without trusted documents every document has perplexity by the uniform model, no threshold and is kept; repeated rows are
@@ -30,30 +34,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quirework.llm import tokens
-from quirework.llm.shared import fixed_bitmap, in_bitmap, slices, stage, word_count
+from quirework.llm.shared import fixed_bitmap, id_mask, in_bitmap, in_id_mask, slices, stage
+
+
+#: Terms are held as whole multiples of 1 / UNIT.
+UNIT = 1 << 30
+#: Places of the bitmap, as a power of 2.
+BITS = 27
 
 
 @dataclass
 class Model:
-    """Sorted hashes and two values each: the term of the n-gram itself, and the weight it gives as a context."""
-
-    tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
-    bitmaps: list[np.ndarray | None]
-    unseen: float
-
-    def terms(self, order: int, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(own, context) of each n-gram hash, 0 where the model does not know it."""
-        key, own, context = self.tables[order]
-        a, b = np.full(len(h), self.unseen if order == 0 else 0.0), np.zeros(len(h))
-        if not len(key):
-            return a, b
-        bitmap = self.bitmaps[order]
-        at = np.arange(len(h)) if bitmap is None else np.flatnonzero(in_bitmap(bitmap, h))
-        place = np.minimum(np.searchsorted(key, h[at]), len(key) - 1)
-        hit = key[place] == h[at]
-        a[at[hit]] = own[place[hit]]
-        b[at[hit]] = context[place[hit]]
-        return a, b
+    """``terms``: key, own and context of every n-gram but the head's; the head as sorted arrays; ``bitmap`` of the keys."""
+
+    terms: DataFrame
+    head: tuple[np.ndarray, np.ndarray, np.ndarray]
+    bitmap: np.ndarray
+    unseen: int
 
 
 def _grams(w: tokens.Words) -> list[np.ndarray]:
@@ -106,8 +103,8 @@ def _minus(count: str, d: list[float]):
     return F.when(F.col(count) == 1, d[0]).when(F.col(count) == 2, d[1]).otherwise(d[2])
 
 
-def train(trusted: DataFrame) -> Model:
-    """Model of the texts of ``trusted``: every table is a count, grouped or joined by n-gram hash."""
+def train(trusted: DataFrame, head: int = 1 << 18) -> Model:
+    """Model of all texts of ``trusted``: every table is a count, grouped or joined by n-gram hash."""
     grams = stage(
         trusted.mapInArrow(_trigrams, "w long, v long, vw long, uv long, uvw long, n long")
         .groupBy("w", "v", "vw", "uv", "uvw")
@@ -124,67 +121,123 @@ def train(trusted: DataFrame) -> Model:
     kinds = int(mass["v"]) + 1
     whole = float(mass["s"]) or 1.0
     gamma = float(mass["left"]) / whole if mass["s"] else 1.0
-    p1 = one.select("w", ((F.col("n") - _minus("n", d1)) / whole + gamma / kinds).alias("p1"))
+    p1 = one.select("w", "n", ((F.col("n") - _minus("n", d1)) / whole + gamma / kinds).alias("p1"))
     context1 = two.groupBy("v").agg(F.sum("n").alias("s"), F.sum(_minus("n", d2)).alias("left")).select("v", "s", (F.col("left") / F.col("s")).alias("g"))
     p2 = stage(
-        two.join(context1, "v").join(p1, "w").select(
-            "v", "vw", F.col("g").alias("g1"), "p1", ((F.col("n") - _minus("n", d2)) / F.col("s") + F.col("g") * F.col("p1")).alias("p2")
+        two.join(context1, "v").join(p1.select("w", "p1"), "w").select(
+            "vw", "n", F.col("g").alias("g1"), "p1", ((F.col("n") - _minus("n", d2)) / F.col("s") + F.col("g") * F.col("p1")).alias("p2")
         ),
         "p2",
     )
     context2 = three.groupBy("uv").agg(F.sum("n").alias("s"), F.sum(_minus("n", d3)).alias("left")).select("uv", "s", (F.col("left") / F.col("s")).alias("g"))
     p3 = three.join(context2, "uv").join(p2.select("vw", "p2"), "vw").select(
-        "uvw", (F.log((F.col("n") - _minus("n", d3)) / F.col("s") + F.col("g") * F.col("p2")) - F.log(F.col("g") * F.col("p2"))).alias("own")
+        "uvw", "n", (F.log((F.col("n") - _minus("n", d3)) / F.col("s") + F.col("g") * F.col("p2")) - F.log(F.col("g") * F.col("p2"))).alias("own")
     )
+    # an unknown word has the term ``unseen``, which every word of a text gets; the unigrams' own terms are what they add
+    unseen = float(np.log(gamma / kinds))
     zero = F.lit(0.0)
     unigrams = p1.join(context1.select(F.col("v").alias("w"), "g"), "w", "left").select(
-        F.col("w").alias("key"), F.log("p1").alias("own"), F.coalesce(F.log("g"), zero).alias("context")
+        F.col("w").alias("key"), "n", (F.log("p1") - unseen).alias("own"), F.coalesce(F.log("g"), zero).alias("context")
     )
     bigrams = p2.join(context2.select(F.col("uv").alias("vw"), "g"), "vw", "left").select(
-        F.col("vw").alias("key"), (F.log("p2") - F.log(F.col("g1") * F.col("p1"))).alias("own"), F.coalesce(F.log("g"), zero).alias("context")
+        F.col("vw").alias("key"), "n", (F.log("p2") - F.log(F.col("g1") * F.col("p1"))).alias("own"), F.coalesce(F.log("g"), zero).alias("context")
     )
-    trigrams = p3.select(F.col("uvw").alias("key"), "own", zero.alias("context"))
-    tables, bitmaps = [], []
-    for k, table in enumerate((unigrams, bigrams, trigrams)):
-        table = stage(table.select("key", F.col("own").cast("float").alias("own"), F.col("context").cast("float").alias("context")), "model")
-        held = table.toArrow()
-        key = held.column("key").to_numpy().view(np.uint64)
-        order = np.argsort(key)
-        tables.append((key[order], held.column("own").to_numpy()[order], held.column("context").to_numpy()[order]))
-        bitmaps.append(fixed_bitmap(table, "key") if k else None)
-    return Model(tables, bitmaps, float(np.log(gamma / kinds)))
-
-
-def _perplexity(model):
+    trigrams = p3.select(F.col("uvw").alias("key"), "n", "own", zero.alias("context"))
+    fixed = lambda c: F.round(F.col(c) * UNIT).cast("long").alias(c)
+    table = stage(unigrams.unionByName(bigrams).unionByName(trigrams).select("key", "n", fixed("own"), fixed("context")), "model")
+    top = table.orderBy(F.desc("n"), "key").limit(head).toArrow()
+    key = top.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(key)
+    held = (key[order], top.column("own").to_numpy()[order], top.column("context").to_numpy()[order])
+    return Model(table.select("key", "own", "context"), held, fixed_bitmap(table, "key", BITS), round(unseen * UNIT))
+
+
+def _counted(w: tokens.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, hash, own, context): how often each n-gram stands in each row, and how often as the context of a longer one."""
+    grams = _grams(w)
+    rows, hashes, contexts = [], [], []
+    for k, h in enumerate(grams):
+        after = np.zeros(len(h), np.int64)
+        if k < 2 and len(h):
+            after[:-1] = grams[k + 1][1:] != 0
+        real = h != 0
+        rows.append(w.row[real])
+        hashes.append(h[real])
+        contexts.append(after[real])
+    row, h, context = np.concatenate(rows), np.concatenate(hashes), np.concatenate(contexts)
+    order = np.lexsort((h, row))
+    row, h, context = row[order], h[order], context[order]
+    fresh = np.ones(len(h), bool)
+    fresh[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
+    begin = np.flatnonzero(fresh)
+    own = np.diff(np.append(begin, len(h)))
+    return row[begin], h[begin], own, np.add.reduceat(context, begin) if len(begin) else context
+
+
+_ENTRIES = "at_row long, key long, own int, context int, doc_id long, lang_key long, n_words long, part long"
+
+
+def _entries(model):
+    """One row a document with what the head gives, and one for each other n-gram that the model may know."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
+        (keys, head_own, head_context), bitmap, unseen = model.value
         for batch in slices(batches):
             w = tokens.words(batch.column("text"))
-            total = np.zeros(len(w.hash))
-            after = None
-            for order, h in enumerate(_grams(w)):
-                own, context = m.terms(order, h)
-                real = h != 0
-                total += np.where(real, own, 0)
-                if after is not None:  # the shorter n-gram before this word is its context
-                    total += np.where(real, after, 0)
-                after = np.concatenate([[0.0], context[:-1]]) if len(context) else context
-            n = w.counts
-            logs = np.bincount(w.row, total, minlength=batch.num_rows)
-            value = np.exp(np.minimum(-logs / np.maximum(n, 1), 700))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("lang"), pa.array(n.astype(np.int64)), pa.array(value, mask=n == 0)],
-                ["doc_id", "lang", "n_words", "perplexity"],
-            )
+            row, h, own, context = _counted(w)
+            n = w.counts.astype(np.int64)
+            part = n * unseen
+            rest = in_bitmap(bitmap, h)
+            if len(keys):
+                place = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+                hit = keys[place] == h
+                np.add.at(part, row[hit], own[hit] * head_own[place[hit]] + context[hit] * head_context[place[hit]])
+                rest &= ~hit
+            at_row = batch.column("at_row").to_numpy()
+            row, k, m = row[rest], int(rest.sum()), batch.num_rows
+            no = pa.nulls(k, pa.int64())
+            none = np.zeros(m, np.int32)
+            # a document's own row meets no n-gram: any key will do, and these spread
+            spread = tokens.mix(at_row.astype(np.uint64))
+            columns = [
+                pa.array(np.concatenate([at_row, at_row[row]])),
+                pa.array(np.concatenate([spread, h[rest]]).view(np.int64)),
+                pa.array(np.concatenate([none, own[rest]]).astype(np.int32)),
+                pa.array(np.concatenate([none, context[rest]]).astype(np.int32)),
+                pa.concat_arrays([batch.column("doc_id"), no]),
+                pa.concat_arrays([batch.column("lang_key"), no]),
+                pa.concat_arrays([pa.array(n), no]),
+                pa.concat_arrays([pa.array(part), no]),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["at_row", "key", "own", "context", "doc_id", "lang_key", "n_words", "part"])
 
     return run
 
 
+def perplexities(rows: DataFrame, model: Model) -> DataFrame:
+    """doc_id, lang, n_words and perplexity of each of ``rows`` (doc_id, lang, text)."""
+    sent = rows.sparkSession.sparkContext.broadcast((model.head, model.bitmap, model.unseen))
+    keyed = rows.select("doc_id", F.xxhash64("lang").alias("lang_key"), "text", F.monotonically_increasing_id().alias("at_row"))
+    terms = model.terms.select("key", F.col("own").alias("own_term"), F.col("context").alias("context_term"))
+    zero = F.lit(0).cast("long")
+    value = F.coalesce("part", zero) + F.coalesce(F.col("own") * F.col("own_term") + F.col("context") * F.col("context_term"), zero)
+    sums = (
+        keyed.mapInArrow(_entries(sent), _ENTRIES)
+        .join(terms, "key", "left")
+        .groupBy("at_row")
+        .agg(F.max("doc_id").alias("doc_id"), F.max("lang_key").alias("lang_key"), F.max("n_words").alias("n_words"), F.sum(value).alias("logs"))
+    )
+    langs = stage(rows.select("lang").distinct().select("lang", F.xxhash64("lang").alias("lang_key")), "languages")
+    per_word = -F.col("logs") / UNIT / F.col("n_words")
+    return sums.join(langs, "lang_key").select(
+        "doc_id", "lang", "n_words", F.when(F.col("n_words") > 0, F.exp(F.least(per_word, F.lit(700.0)))).alias("perplexity")
+    )
+
+
 def perplexity_filter(
     docs: DataFrame,
     labels: DataFrame,
     label_col: str = "quality",
-    sample: int = 3000,
     quantile: float = 0.995,
     folds: int = 5,
 ) -> DataFrame:
@@ -192,7 +245,8 @@ def perplexity_filter(
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
     good = labels.where((F.col(label_col) == 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    trusted = stage(rows.join(good, "doc_id", "left_semi").where(word_count(F.col("text")) > 0).select("doc_id", "lang", F.xxhash64("text").alias("h")), "trusted")
+    hashed = rows.select("doc_id", "lang", F.xxhash64("text").alias("h"), F.col("text").rlike(r"[^\x20\x09-\x0D]").alias("has_words"))
+    trusted = stage(hashed.where("has_words").join(good, "doc_id", "left_semi").select("doc_id", "lang", "h"), "trusted")
     ends = trusted.groupBy(F.col("lang").alias("_lang")).agg(F.min("h").alias("low"), F.max("h").alias("high"))
     sets = (F.pmod("h", F.lit(folds)) == 0) | (F.col("h") == F.col("low"))
     # the fold of a text: a language's smallest hash sets thresholds, its largest trains
@@ -200,9 +254,11 @@ def perplexity_filter(
         trusted.join(F.broadcast(ends), F.col("lang").eqNullSafe(F.col("_lang"))).select("doc_id", "lang", "h", (sets & ((F.col("h") != F.col("high")) | (F.col("low") == F.col("high")))).alias("sets")),
         "fold",
     )
-    chosen = stage(fold.where("not sets").select("doc_id", "h").distinct().orderBy(F.xxhash64("h"), "doc_id").limit(sample).select("doc_id"), "chosen")
-    model = train(rows.join(F.broadcast(chosen), "doc_id", "left_semi").select("text"))
-    scored = stage(rows.mapInArrow(_perplexity(spark.sparkContext.broadcast(model)), "doc_id long, lang string, n_words long, perplexity double"), "perplexity")
+    learnt = fold.where("not sets").select("doc_id", "h")
+    # only texts that may be learnt from are shuffled
+    suspect = in_id_mask(id_mask(learnt.select(F.xxhash64("doc_id", "h").alias("k")), "k", bits=23), F.xxhash64("doc_id", F.xxhash64("text")), bits=23)
+    model = train(rows.where(suspect).withColumn("h", F.xxhash64("text")).join(learnt, ["doc_id", "h"], "left_semi").select("text"))
+    scored = stage(perplexities(rows, model), "perplexity")
     fresh = scored.where("perplexity is not null").join(fold.where("sets").select("doc_id").distinct(), "doc_id", "left_semi")
     limits = fresh.rollup("lang").agg(F.percentile_approx("perplexity", quantile, 10000).alias("threshold"), F.grouping_id().alias("level"))
     limits = stage(limits, "limits")

@@ -229,6 +229,17 @@ def test_op8_thresholds_reject_junk_on_the_small_input(spark, small, result):
     assert sum(r["kept"] for r in rows.values()) > len(rows) / 2
 
 
+def test_op8_learns_from_every_trusted_text_of_the_training_fold(spark):
+    rows = [(i, f"tok{i} tok{i} tok{i}", "en") for i in range(4200)] + [(-1, "new new new", "en")]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(4200)], "doc_id long, quality int")
+    got = {r["doc_id"]: r["perplexity"] for r in perplexity_filter(documents, labels).collect()}
+    hashes = documents.where("doc_id >= 0").selectExpr("pmod(xxhash64(text), 5) = 0 as sets", "doc_id").collect()
+    train = {r["doc_id"] for r in hashes if not r["sets"]}
+    known = {d for d, p in got.items() if p < got[-1] * 0.99}
+    assert len(train) > 3000 and len(train ^ known) <= 2  # the language's ends by hash may change their fold
+
+
 def luhn(digits):
     return sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed(digits))) % 10 == 0
 
