@@ -2,8 +2,8 @@
 
 Each source gets a target in words. A document's expected number of copies grows with a power of its size; the whole
 part is certain, the fraction is its inclusion probability p in a sample without replacement. The sample ranks the
-documents of a source by (u / (1 - u)) / (p / (1 - p)), u uniform by hash of the id, and takes the first of them until
-the words left to the target are used up; one more document, the largest that still fits, fills the rest.
+documents of a source by (u / (1 - u)) / (p / (1 - p)), u uniform by hash of the id, and goes down that order: a document
+that fits into the words left to the target is taken, one that does not is passed over, until none fits.
 
 Defined results: null text has size 0 and is never taken; a null source is a source of its own, ordered last; repeated
 rows are documents of their own; an empty table gives an empty result; sources of size 0 get target 0. Columns of the
@@ -12,6 +12,8 @@ input besides id, text and source are ignored.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -87,7 +89,8 @@ def pareto_mix(
     """One row per document: doc_id, source, size, source_size, target, copies, taken.
 
     ``cells`` is the number of ranges of the Pareto rank for which words are summed per source; only documents of the
-    range in which a source's target is reached are ordered one by one, so no source is gathered in one task.
+    range in which the room of a source ends are ordered one by one, so no source is gathered in one task. Each round
+    goes on to the next document that does not fit, with those behind it that are small enough for the room then left.
     """
     same: Column = F.col("d.source").eqNullSafe(F.col("s.source"))
     sized = stage(
@@ -121,49 +124,62 @@ def pareto_mix(
         .withColumn("q", F.when(F.col("p") > 1e-9, odds))
         .withColumn("cell", F.floor(F.col("q") / (1 + F.col("q")) * cells))
     )
-    # words already certain, then words by range of the rank: where each source's target is reached
-    at_cells = drawn.groupBy("source", "target", "cell").agg(
-        F.sum(F.when(F.col("q").isNotNull(), F.col("size"))).alias("words"),
-        F.sum(F.col("whole") * F.col("size")).alias("certain"),
-    )
-    each = Window.partitionBy("source")
-    running = each.orderBy(F.col("cell").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    edges = stage(
-        at_cells.withColumn("left", F.col("target") - F.sum("certain").over(each))
-        .withColumn("upto", F.sum(F.coalesce("words", F.lit(0))).over(running))
-        .where(F.col("cell").isNotNull())
-        .groupBy("source")
-        .agg(
-            F.min(F.when(F.col("upto") > F.col("left"), F.col("cell"))).alias("edge"),
-            F.max("left").alias("left"),
-            F.max(F.when(F.col("upto") <= F.col("left"), F.col("upto"))).alias("before"),
-        ),
-        "mix-edges",
-    )
-    placed = (
-        drawn.alias("d")
-        .join(edges.alias("s"), same, "left")
-        .select("d.*", "s.edge", (F.col("s.left") - F.coalesce("s.before", F.lit(0))).alias("room"))
-    )
-    inner = Window.partitionBy("source").orderBy("q", "doc_id", "size", "at_row").rowsBetween(Window.unboundedPreceding, 0)
-    edge = placed.where(F.col("cell") == F.col("edge")).withColumn("extra", (F.sum("size").over(inner) <= F.col("room")).cast("int"))
-    rest = placed.where(F.col("cell").isNull() | F.col("edge").isNull() | (F.col("cell") != F.col("edge"))).withColumn(
-        "extra", F.when(F.col("cell").isNotNull() & (F.col("edge").isNull() | (F.col("cell") < F.col("edge"))), 1).otherwise(0)
+    certain = drawn.groupBy("source", "target").agg(F.sum(F.col("whole") * F.col("size")).alias("certain"))
+    room = certain.select("source", (F.col("target") - F.col("certain")).alias("room"))
+    place = F.struct("d.q", "d.doc_id", "d.size", "d.at_row").alias("place")
+    left = stage(
+        drawn.where(F.col("q").isNotNull()).alias("d").join(stage(room, "mix-room").alias("s"), same & (F.col("d.size") <= F.col("s.room"))).select("d.source", "d.size", "d.cell", place, "s.room"),
+        "mix-left",
     )
-    chosen = stage(edge.unionByName(rest).select("doc_id", "source", "size", "at_row", "source_size", "target", "whole", "p", "q", "extra"), "mix-chosen")
-    # the largest document that still fits takes what the last one left open
-    short = chosen.groupBy("source").agg((F.max("target") - F.sum((F.col("whole") + F.col("extra")) * F.col("size"))).alias("short"))
-    fits = (
-        chosen.where((F.col("extra") == 0) & (F.col("p") > 0))
-        .alias("d")
-        .join(stage(short, "mix-short").alias("s"), same & (F.col("d.size") <= F.col("s.short")))
-        .groupBy("d.source")
-        .agg(F.max(F.struct("d.size", (-F.col("d.q")).alias("q"), (-F.col("d.at_row")).alias("at"))).alias("best"))
-        .select("source", (-F.col("best.at")).alias("fill_row"))
-    )
-    return (
-        chosen.alias("d")
-        .join(stage(fits, "mix-fill").alias("s"), same & (F.col("d.at_row") == F.col("s.fill_row")), "left")
-        .withColumn("copies", (F.col("d.whole") + F.col("d.extra") + F.when(F.col("s.fill_row").isNotNull(), 1).otherwise(0)).cast("long"))
-        .select("d.doc_id", "d.source", "d.size", "d.source_size", "d.target", "copies", (F.col("copies") * F.col("d.size")).alias("taken"))
+    since = left.select("source", F.col("place").alias("since")).limit(0)  # where each source's round begins
+    rounds = []
+    while not left.isEmpty():
+        running = Window.partitionBy("source").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
+        edges = stage(
+            left.groupBy("source", "room", "cell")
+            .agg(F.sum("size").alias("words"))
+            .withColumn("upto", F.sum("words").over(running))
+            .groupBy("source", "room")
+            .agg(
+                F.min(F.when(F.col("upto") > F.col("room"), F.col("cell"))).alias("edge"),
+                F.coalesce(F.max(F.when(F.col("upto") <= F.col("room"), F.col("upto"))), F.lit(0)).alias("before"),
+            ),
+            "mix-edges",
+        )
+        inner = Window.partitionBy("source").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+        at_edge = (
+            left.alias("d")
+            .join(edges.alias("s"), same & (F.col("d.cell") == F.col("s.edge")))
+            .select("d.source", "d.size", "d.place", "s.room", "s.before")
+            .withColumn("upto", F.col("before") + F.sum("size").over(inner))
+        )
+        # the first document that does not fit, and the room left before it
+        stops = stage(
+            at_edge.groupBy("source").agg(
+                F.min(F.when(F.col("upto") > F.col("room"), F.col("place"))).alias("stop"),
+                (F.max("room") - F.coalesce(F.max(F.when(F.col("upto") <= F.col("room"), F.col("upto"))), F.max("before"))).alias("room"),
+            ),
+            "mix-stops",
+        )
+        done = edges.alias("d").join(stops.alias("s"), same, "left").select("d.source", "d.room", "s.stop")
+        done = done.alias("d").join(since.alias("s"), same, "left").select("d.source", F.struct("d.room", "s.since", "d.stop").alias("round"))
+        rounds.append(stage(done, "mix-round"))
+        since = stops.select("source", F.col("stop").alias("since"))
+        behind = (F.col("d.place") > F.col("s.stop")) & (F.col("d.size") <= F.col("s.room"))
+        left = stage(left.alias("d").join(stops.alias("s"), same & behind).select("d.source", "d.size", "d.cell", "d.place", "s.room"), "mix-left")
+    drawn = drawn.alias("d")
+    if not rounds:
+        extra = F.lit(0)
+    else:
+        took = functools.reduce(DataFrame.unionByName, rounds).groupBy("source").agg(F.collect_list("round").alias("rounds"))
+        drawn = drawn.join(stage(took, "mix-took").alias("s"), same, "left")
+        fits = F.exists(
+            "s.rounds",
+            lambda r: (F.col("d.size") <= r["room"])
+            & (r["since"].isNull() | (F.struct("d.q", "d.doc_id", "d.size", "d.at_row") > r["since"]))
+            & (r["stop"].isNull() | (F.struct("d.q", "d.doc_id", "d.size", "d.at_row") < r["stop"])),
+        )
+        extra = F.when(F.col("d.q").isNotNull() & fits, 1).otherwise(0)
+    return drawn.withColumn("copies", (F.col("d.whole") + extra).cast("long")).select(
+        "d.doc_id", "d.source", "d.size", "d.source_size", "d.target", "copies", (F.col("copies") * F.col("d.size")).alias("taken")
     )
