@@ -117,19 +117,28 @@ def chunks(rows: DataFrame, key: str, text: str, limit: int = 1000) -> DataFrame
 def grounded(docs: DataFrame, quotes: DataFrame, doc_key: str = "doc_id", quote_key: str = "item_id", text: str = "text") -> DataFrame:
     """(doc, quote, start, end): first exact occurrence of each quote in each text.
 
-    Quotes and texts meet on a quote's first six words, so only texts that hold these are searched; quotes of fewer words
-    are too common to locate and give no row. Words are parted by single spaces or line breaks.
+    Words are parted by any blanks. A quote's first and last word may be part of longer words in a text, those between
+    stand there as they are: quotes and texts meet on the first six of them, or all if there are fewer. Quotes of one or
+    two words have none and are searched in every text; blank quotes give no row.
     """
     lead = 6
-    words = F.split(F.col(text), " ")
-    begin = lambda ws: F.array_join(F.slice(ws, 1, lead), " ")
-    keyed = quotes.select(quote_key, F.col(text).alias("_quote"), begin(words).alias("_lead"), F.least(F.size(words), F.lit(lead)).alias("_size"))
-    long = keyed.where(F.col("_size") == lead)
-    at = F.sequence(F.lit(1), F.greatest(F.size("_ws") - lead + 1, F.lit(1)))
-    probes = docs.select(doc_key, F.split(F.col(text), "[ \\n]").alias("_ws")).select(
-        doc_key, F.explode(F.array_distinct(F.transform(at, lambda i: F.array_join(F.slice("_ws", i, lead), " ")))).alias("_lead")
-    )
-    pairs = probes.join(long, "_lead").select(doc_key, quote_key, "_quote").distinct()
+    blanks = r"\s+"
+    words = F.split(F.col(text), blanks)
+    keyed = quotes.where(F.col(text).rlike(r"\S")).select(quote_key, F.col(text).alias("_quote"), F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0))).alias("_inner"))
+    keyed = keyed.select(quote_key, "_quote", F.array_join(F.slice("_inner", 1, lead), " ").alias("_lead"), F.least(F.size("_inner"), F.lit(lead)).alias("_size"))
+    sizes = sorted(r["_size"] for r in keyed.select("_size").distinct().collect() if r["_size"])
+
+    def windows(n: int) -> Column:
+        at = F.sequence(F.lit(1), F.greatest(F.size("_ws") - n + 1, F.lit(1)))
+        return F.transform(at, lambda i: F.array_join(F.slice("_ws", i, n), " "))
+
+    grams = [windows(n) for n in sizes]
+    bare = docs.select(doc_key).crossJoin(keyed.where("_size = 0").select(quote_key, "_quote"))
+    pairs = bare
+    if grams:
+        probes = docs.select(doc_key, F.split(F.col(text), blanks).alias("_ws")).select(doc_key, F.explode(F.array_distinct(F.concat(*grams))).alias("_lead"))
+        pairs = probes.join(keyed.where("_size > 0"), "_lead").select(doc_key, quote_key, "_quote").unionByName(bare)
+    pairs = pairs.distinct()
     found = pairs.join(docs.select(doc_key, F.col(text).alias("_text")), doc_key)
     start = F.instr(F.col("_text"), F.col("_quote"))
     return found.where(start > 0).select(doc_key, quote_key, (start - 1).cast("long").alias("start"), (start - 1 + F.length("_quote")).cast("long").alias("end"))

@@ -90,8 +90,9 @@ def pattern_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def span_grounding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where benchmark items stand in documents, word for word."""
-    return spans.grounded(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    """Where benchmark items of six words or more stand in documents, word for word."""
+    items = table(spark, sf_dir, "benchmark").where(F.size(F.split("text", " ")) >= 6)
+    return spans.grounded(table(spark, sf_dir, "documents").select("doc_id", "text"), items)
 
 
 @register(

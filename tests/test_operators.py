@@ -102,3 +102,13 @@ def test_tolerant_reader_and_stream(spark, tmp_path):
     query = ingest.append_batches(ingest.stream_jsonl(spark, str(tmp_path / "in"), schema), str(tmp_path / "out"), str(tmp_path / "cp"))
     query.awaitTermination(60)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_grounded_finds_every_word_for_word_occurrence(spark):
+    texts = ['He said: "The old man went to sea.', "x\tone two three four five six", "l1 l2\nl3 l4 l5 l6 l7", "so be it.", "none", None]
+    quotes = ["The old man went to sea", "one two three four five six", "l1 l2\nl3 l4 l5 l6 l7", "be it", "so be it", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame(list(enumerate(quotes)), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"], r["start"], r["end"]) for r in spans.grounded(docs, items).collect()}
+    assert got == {(d, q, t.find(x), t.find(x) + len(x)) for d, t in enumerate(texts) for q, x in enumerate(quotes) if t and x and x in t}
+    assert len(got) == 5
