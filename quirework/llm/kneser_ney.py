@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quirework.llm import tokens
-from quirework.llm.shared import fixed_bitmap, id_mask, in_bitmap, in_id_mask, slices, stage
+from quirework.llm.shared import fixed_bitmap, id_mask, in_bitmap, slices, stage
 
 
 #: Terms are held as whole multiples of 1 / UNIT.
@@ -256,7 +256,8 @@ def perplexity_filter(
     )
     learnt = fold.where("not sets").select("doc_id", "h")
     # only texts that may be learnt from are shuffled
-    suspect = in_id_mask(id_mask(learnt.select(F.xxhash64("doc_id", "h").alias("k")), "k", bits=23), F.xxhash64("doc_id", F.xxhash64("text")), bits=23)
+    listed = id_mask(learnt.select(F.xxhash64("doc_id", "h").alias("k")), "k", learnt.count())
+    suspect = listed(F.xxhash64("doc_id", F.xxhash64("text")))
     model = train(rows.where(suspect).withColumn("h", F.xxhash64("text")).join(learnt, ["doc_id", "h"], "left_semi").select("text"))
     scored = stage(perplexities(rows, model), "perplexity")
     fresh = scored.where("perplexity is not null").join(fold.where("sets").select("doc_id").distinct(), "doc_id", "left_semi")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quirework.llm.shared import id_mask, in_id_mask, stage
+from quirework.llm.shared import id_mask, stage
 
 
 def rare_prefixes(sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
@@ -16,8 +16,8 @@ def rare_prefixes(sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """
     token = sets.select("node", F.explode("piece").alias("token"))
     several = stage(token.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "several")
-    mask = id_mask(several, "token", bits=23)
-    shared = token.where(in_id_mask(mask, F.col("token"), bits=23)).join(several, "token")
+    listed = id_mask(several, "token", several.count())
+    shared = token.where(listed(F.col("token"))).join(several, "token")
     each = Window.partitionBy("node")
     placed = shared.withColumn("rank", F.row_number().over(each.orderBy("n", "token"))).withColumn("shared", F.count("*").over(each))
     least = F.ceil(F.col("size") * percent / 100)

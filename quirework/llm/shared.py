@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 #: Where one split needs more than one word separator: ASCII space and \t \n \v \f \r.
 BLANKS = r"[\x20\x09-\x0D]+"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -32,12 +33,28 @@ def scratch_dir(spark: SparkSession) -> str:
 def stage(df: DataFrame, what: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
-    Later steps then start from files instead of recomputing, or depending on blocks of executors that may be lost.
+    Later steps then start from files instead of recomputing, or depending on blocks of executors that may be lost. The
+    shuffle files of the write are deleted with its end, as nothing reads them again.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/quirework/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that ``stage`` wrote, once all that reads them is written itself."""
+    for held in tables:
+        spark = held.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(held.staged_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ascii_lower(col: Column) -> Column:
@@ -82,10 +99,10 @@ def fixed_bitmap(hashes: DataFrame, col: str, bits: int = 24) -> np.ndarray:
         hashes.select(F.shiftright(place, 6).alias("at"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned({col}, {64 - bits}) & 63 as int))").alias("bit"))
         .groupBy("at")
         .agg(F.bit_or("bit").alias("bits"))
-        .toPandas()
+        .toArrow()
     )
     out = np.zeros(1 << max(0, bits - 6), np.int64)
-    out[held["at"].to_numpy(np.int64)] = held["bits"].to_numpy(np.int64)
+    out[held.column("at").to_numpy()] = held.column("bits").to_numpy()
     return out.view(np.uint64)
 
 
@@ -99,38 +116,40 @@ def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 def without_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``docs`` without the rows whose id is in ``ids`` (one column, ``id``); null ids compare as equal.
 
-    Ids go into a bitmap of fixed size first, so only rows that may be in ``ids`` are joined: their texts are shuffled,
-    the others pass by.
+    Ids go into a bitmap first, so only rows that may be in ``ids`` are joined: their texts are shuffled, the others
+    pass by.
     """
     listed = stage(ids.select(F.col("id").alias("_quirework_gone")).distinct(), "ids")
-    hashed = F.xxhash64(F.col(id_col).cast(listed.schema["_quirework_gone"].dataType))
-    bitmap = id_mask(listed.select(F.xxhash64("_quirework_gone").alias("h")), "h")
-    suspect = in_id_mask(bitmap, hashed)
-    same = F.col(id_col).cast(listed.schema["_quirework_gone"].dataType).eqNullSafe(F.col("_quirework_gone"))
+    kind = listed.schema["_quirework_gone"].dataType
+    listed_id = id_mask(listed.select(F.xxhash64("_quirework_gone").alias("h")), "h", listed.count())
+    suspect = listed_id(F.xxhash64(F.col(id_col).cast(kind)))
+    same = F.col(id_col).cast(kind).eqNullSafe(F.col("_quirework_gone"))
     return docs.where(~suspect).unionByName(docs.where(suspect).join(listed, same, "left_anti"))
 
 
+def id_mask(ids: DataFrame, col: str, count: int) -> Callable[[Column], Column]:
+    """A test whether a 64-bit hash may be among those in ``col``, by a bitmap: it only ever lets too much through.
 
-
-def _bit(place: Column) -> Column:
-    return F.element_at(F.array(*(F.lit(1 << k).cast("long") for k in range(32))), (F.pmod(place, F.lit(32)) + 1).cast("int"))
-
-
-def id_mask(ids: DataFrame, col: str, bits: int = 20) -> Column:
-    """A subquery with a bitmap of 2**``bits`` places of the hashes in ``col``: fixed size, lets too much through at worst."""
+    The bitmap has about 16 places for each of ``count`` hashes, 2**26 (16 MB) at most.
+    """
+    bits = min(26, max(12, (16 * count).bit_length()))
     place = F.shiftrightunsigned(F.col(col), 64 - bits)
     held = ids.groupBy(F.shiftright(place, 5).alias("at")).agg(F.bit_or(_bit(place)).alias("bits"))
-    return fixed_table(held, "bits", 1 << (bits - 5), "long")
+    mask = fixed_table(held, "bits", 1 << (bits - 5), "long")
+
+    def among(value: Column) -> Column:
+        place = F.shiftrightunsigned(value, 64 - bits)
+        return F.get(mask, F.shiftright(place, 5).cast("int")).bitwiseAND(_bit(place)) != 0
 
+    return among
 
-def in_id_mask(mask: Column, value: Column, bits: int = 20) -> Column:
-    """Whether the hash's place in the bitmap of ``id_mask`` is set."""
-    place = F.shiftrightunsigned(value, 64 - bits)
-    return F.get(mask, F.shiftright(place, 5).cast("int")).bitwiseAND(_bit(place)) != 0
+
+def _bit(place: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(31).cast("long")).cast("int"))
 
 
 def fixed_table(rows: DataFrame, value: str, size: int, kind: str) -> Column:
-    """Rows (at, value) as one array of ``size`` places, 0 where there is no row."""
+    """Rows (at, value) as one array of ``size`` places, 0 where there is no row; values are positive."""
     pairs = rows.select(F.struct(F.col("at").cast("int").alias("at"), F.col(value).cast(kind).alias("v")).alias("p"))
     full = rows.sparkSession.range(size).select(F.struct(F.col("id").cast("int").alias("at"), F.lit(0).cast(kind).alias("v")).alias("p"))
     top = pairs.unionByName(full).groupBy("p.at").agg(F.max("p.v").alias("v"))

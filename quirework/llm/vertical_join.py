@@ -10,7 +10,9 @@ and the parts are summed per pair.
   p - 1 + l lowest hashes of each (``low`` holds them). A set therefore offers all of ``low`` but its l - 1 last in
   (heat, hash): one shared n-gram is left in both offers, whatever their heat.
 * Documents with equal sets form one node from the start.
-* Nodes that offer the same n-gram are candidates. Short lists give their pairs. The nodes of long lists are ordered
+* Nodes that offer the same n-gram are candidates if the lengths of their fragments allow it: the overlap within a
+  fragment is at most the length of the shorter part, and these bounds are summed per pair over ``_CELLS`` fine fragments
+  before any set is moved. Short lists give their pairs. The nodes of long lists are ordered
   anew, by how many of these nodes hold each n-gram: what is peculiar to a node comes first, so that of large families
   of copies only those with few changes share n-grams in their prefixes, and the place of the first one bounds the
   overlap.
@@ -34,9 +36,11 @@ from pyspark.sql import functions as F
 
 from quirework.llm import tokens
 from quirework.llm.set_join import close, enough, first_in_common, rare_prefixes
-from quirework.llm.shared import fixed_bitmap, id_mask, in_bitmap, in_id_mask, slices, stage, without_ids
+from quirework.llm.shared import fixed_bitmap, id_mask, in_bitmap, release, slices, stage, without_ids
 
 _HEAT_BITS, _WARM = 20, 5
+#: Fine fragments (a power of 2) whose lengths bound the overlap of a pair.
+_CELLS = 64
 #: Lists of candidates up to this length give all their pairs; longer ones are ordered anew.
 _SHORT = 16
 #: Halves of p by which the low piece exceeds the prefix: it holds about three tenths of a set at 90 and at 80 percent.
@@ -72,14 +76,18 @@ def _low(n: int, percent: int):
             held = np.minimum(_prefix(size, percent) - 1 + _reach(size, percent), size)
             rank = np.arange(len(row)) - np.concatenate([[0], np.cumsum(size)])[row]
             low = rank < held[row]
+            cell = (h >> _U(64 - _CELLS.bit_length() + 1)).astype(np.int64)
+            lengths = np.bincount(row * _CELLS + cell, minlength=batch.num_rows * _CELLS).astype(np.int32)
+            edges = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * _CELLS)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array(size.astype(np.int64)),
                     pa.array(node.view(np.int64)),
                     tokens.lists(h[low].view(np.int64), row[low], batch.num_rows, pa.int64()),
+                    pa.ListArray.from_arrays(edges, pa.array(lengths)),
                 ],
-                ["doc_id", "n_shingles", "node", "low"],
+                ["doc_id", "n_shingles", "node", "low", "lengths"],
             )
 
     return run
@@ -142,9 +150,8 @@ def components(links: DataFrame) -> DataFrame:
     Every round takes the smallest label among the neighbours and then the label of that label, so paths halve.
     """
     edges = stage(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = edges.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("label")).withColumnRenamed("a", "node")
+    labels = stage(edges.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("label")).withColumnRenamed("a", "node"), "labels")
     while True:
-        labels = stage(labels, "labels")
         near = (
             edges.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("label").alias("near")).withColumnRenamed("a", "node")
         )
@@ -154,8 +161,10 @@ def components(links: DataFrame) -> DataFrame:
             lower.join(jump, "next", "left").select("node", "label", F.least("next", F.coalesce("jump", "next")).alias("next")), "labels"
         )
         if not moved.where("next <> label").limit(1).count():
+            release(edges, moved)
             return labels
-        labels = moved.select("node", F.col("next").alias("label"))
+        before, labels = labels, stage(moved.select("node", F.col("next").alias("label")), "labels")
+        release(before, moved)
 
 
 def jaccard_components(
@@ -172,17 +181,17 @@ def jaccard_components(
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    base = stage(rows.mapInArrow(_low(n, percent), "doc_id long, n_shingles long, node long, low array<long>"), "low")
+    base = stage(rows.mapInArrow(_low(n, percent), "doc_id long, n_shingles long, node long, low array<long>, lengths array<int>"), "low")
     real = base.where("n_shingles > 0")
-    classes = stage(real.groupBy("node").agg(F.min("doc_id").alias("min_id"), F.max("n_shingles").alias("size")), "classes")
+    classes = stage(real.groupBy("node").agg(F.min("doc_id").alias("min_id"), F.max("n_shingles").alias("size"), F.first("lengths").alias("lengths")), "classes")
 
     warm = real.select(F.explode("low").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > _WARM)
     level = (F.log2(F.col("n") / _WARM) + 1).cast("int")
     held = (
-        warm.groupBy(F.shiftrightunsigned("token", 64 - _HEAT_BITS).alias("at")).agg(F.max(level).alias("level")).toPandas()
+        warm.groupBy(F.shiftrightunsigned("token", 64 - _HEAT_BITS).alias("at")).agg(F.max(level).alias("level")).toArrow()
     )  # one row for each of 2**20 places at most
     heat = np.zeros(1 << _HEAT_BITS, np.uint8)
-    heat[held["at"].to_numpy(np.int64)] = held["level"].to_numpy(np.uint8)
+    heat[held.column("at").to_numpy()] = held.column("level").to_numpy()
     sent, low = spark.sparkContext.broadcast(heat), real.select("n_shingles", "node", "low")
     offers = low.mapInArrow(_offers(sent, percent), "token long, node long")
     lists = stage(
@@ -191,36 +200,49 @@ def jaccard_components(
     several = spark.sparkContext.broadcast(fixed_bitmap(lists, "token"))
     offers = low.mapInArrow(_offers(sent, percent, several), "token long, node long")
     listed = stage(offers.join(lists, "token").distinct(), "lists")
+    members = stage(base.select("doc_id", "n_shingles", "node"), "members")
+    release(base, lists)
     sizes = classes.select("node", "size")
     short = listed.where(F.col("n") <= _SHORT).join(sizes, "node")
     left, right = (short.select("token", F.col("node").alias(x), F.col("size").alias(f"size_{x}")) for x in ("a", "b"))
-    pairs = stage(
-        left.join(right, "token").where((F.col("a") < F.col("b")) & close(F.col("size_a"), F.col("size_b"), percent)).select("a", "b").distinct(), "pairs"
-    )
+    met = left.join(right, "token").where((F.col("a") < F.col("b")) & close(F.col("size_a"), F.col("size_b"), percent)).select("a", "b")
+    pairs = _possible(stage(met.distinct(), "met"), classes, percent)
     crowd = stage(listed.where(F.col("n") > _SHORT).select("node").distinct(), "crowd")
+    release(listed)
     needed = crowd.unionByName(pairs.select(F.col("a").alias("node"))).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    pieces = _pieces(rows, stage(needed.join(classes, "node").select("node", F.col("min_id").alias("doc_id")), "needed"), n, fragments)
+    needed = stage(needed.join(classes, "node").select("node", F.col("min_id").alias("doc_id")), "needed")
+    pieces = _pieces(rows, needed, n, fragments)
     again = stage(rare_prefixes(pieces.join(crowd, "node", "left_semi").select("node", "piece"), sizes, percent), "prefixes")
+    release(needed, crowd)
     hubs = again.groupBy("token").agg(F.min(F.struct("at", "node", "size")).alias("hub")).select("token", F.col("hub.node").alias("b"), F.col("hub.size").alias("size_b"), F.col("hub.at").alias("at_b"))
     mine = again.select("token", F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("at").alias("at_a"))
     fits = close(F.col("size_a"), F.col("size_b"), percent) & first_in_common(F.col("size_a"), F.col("at_a"), F.col("size_b"), F.col("at_b"), percent)
     starred = mine.join(hubs, "token").where((F.col("a") != F.col("b")) & fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    starred = _possible(stage(starred.distinct(), "starred"), classes, percent)
     links = _verified(pieces, sizes, pairs.unionByName(starred).distinct(), percent)
+    release(pairs, starred)
     labels = components(links)
     held = stage(again.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled")
+    release(again)
     mixed = held.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token")
-    held = held.join(mixed, "token")
-    left, right = (held.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "label", "size", "at"))) for x in ("a", "b"))
+    several = held.join(mixed, "token")
+    left, right = (several.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "label", "size", "at"))) for x in ("a", "b"))
     across = left.join(right, "token").where((F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & fits)
-    found = _verified(pieces, sizes, across.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), percent)
-    if found.limit(1).count():
+    across = stage(across.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "across")
+    across = _possible(across, classes, percent)
+    found = _verified(pieces, sizes, across, percent)
+    release(pieces, held, across)
+    if not found.isEmpty():
+        release(labels)
         labels = components(links.unionByName(found))
+    release(links, found)
 
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = named.groupBy("label").agg(F.min("min_id").alias("component_id"))
     of_node = stage(named.join(smallest, "label").select("node", "component_id"), "components")
-    empty = base.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return real.select("doc_id", "n_shingles", "node").join(of_node, "node").select("doc_id", "n_shingles", "component_id").unionByName(empty)
+    release(classes, labels)
+    empty = members.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return members.where("n_shingles > 0").join(of_node, "node").select("doc_id", "n_shingles", "component_id").unionByName(empty)
 
 
 def drop_near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, **options) -> DataFrame:
@@ -254,23 +276,35 @@ def _pieces(rows: DataFrame, needed: DataFrame, n: int, fragments: int) -> DataF
     )
 
 
+def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose fragments are long enough for the overlap that similarity takes; ``pairs`` is used up."""
+    a, b = (classes.select(F.col("node").alias(x), F.col("size").alias(f"size_{x}"), F.col("lengths").alias(f"lengths_{x}")) for x in ("a", "b"))
+    most = F.aggregate(F.zip_with("lengths_a", "lengths_b", lambda x, y: F.least(x, y)), F.lit(0), lambda total, part: total + part)
+    out = stage(pairs.join(a, "a").join(b, "b").where(enough(most, F.col("size_a"), F.col("size_b"), percent)).select("a", "b"), "possible")
+    release(pairs)
+    return out
+
+
 def _verified(pieces: DataFrame, sizes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose sets are similar: overlaps counted by fragment, summed per pair."""
     a, b = (sizes.select(F.col("node").alias(x), F.col("size").alias(f"size_{x}")) for x in ("a", "b"))
     pairs = stage(pairs.join(a, "a").join(b, "b").where(close(F.col("size_a"), F.col("size_b"), percent)), "pairs")
+    n_pairs = pairs.count()
 
     def side(x: str) -> DataFrame:
         """The pieces of the nodes that stand on this side of a pair; a bitmap keeps most others out of the shuffle."""
-        here = in_id_mask(id_mask(pairs.select(F.col(x).alias("h")), "h"), F.col("node"))
-        return pieces.where(here).select(F.col("node").alias(x), "fragment", F.col("piece").alias(f"piece_{x}"))
+        here = id_mask(pairs.select(F.col(x).alias("h")), "h", n_pairs)
+        return pieces.where(here(F.col("node"))).select(F.col("node").alias(x), "fragment", F.col("piece").alias(f"piece_{x}"))
 
     part_a, part_b = side("a"), side("b")
     overlap = F.size(F.array_intersect("piece_a", "piece_b"))
     counted = pairs.join(part_b, "b").join(part_a, ["a", "fragment"]).select("a", "b", "size_a", "size_b", overlap.alias("shared"))
-    return stage(
+    links = stage(
         counted.groupBy("a", "b", "size_a", "size_b")
         .agg(F.sum("shared").alias("shared"))
         .where(enough(F.col("shared"), F.col("size_a"), F.col("size_b"), percent))
         .select("a", "b"),
         "links",
     )
+    release(pairs)
+    return links
