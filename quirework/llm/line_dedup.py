@@ -1,159 +1,173 @@
 """Line deduplication by an exact set-similarity join, with DataFrame operations only.
 
-A line's tokens are its distinct word shingles (five words, lower-cased; a line with fewer words is one shingle). A line
-is removed when an earlier line (by doc_id, then line number) has a token set of Jaccard similarity ``percent`` / 100 or
-more; lines without words stay. Steps:
-
-1. Lines with equal sets form one class; only the first of a class can stay.
-2. Tokens are ordered by rarity: by the level of how many lines hold them among their lowest hashes (a table of fixed
-   size, the same everywhere), then by hash. With p = s - ceil(t * s) + 1, similar sets share at least l tokens among
-   the p - 1 + l lowest hashes of each (``low``), so a class offers its prefix: all of ``low`` but the l - 1 most common.
-3. Classes that offer the same token are candidates. Short lists give their pairs. The classes of long lists are ordered
-   anew by how many of them hold each token over their whole sets, which leaves few of them in each new list; there, all
-   are compared with the least peculiar line and with the earliest line of those with few peculiar tokens, then the lines
-   that no comparison has settled with all earlier ones. Lengths and the places of a first common token must allow the
-   similarity.
-4. Candidates are verified by their exact overlap; of a match, the later line goes.
+A line's tokens are its distinct words, lower-cased. A line is removed when an earlier line (by doc_id, then line number)
+has a token set of Jaccard similarity ``percent`` / 100 or more; lines without words stay. Steps:
+
+1. Words are counted over all lines. Tokens are ordered by rarity: by the logarithm of their count, then by hash. The
+   logarithms come from a table by hash that is sized by the number of frequent words, so the order is the same for equal
+   tokens everywhere, and no token is shuffled to be ordered.
+2. Lines with equal sets form one class; only the first of a class can stay.
+3. Classes whose prefixes (the s - ceil(t * s) + 1 rarest of s tokens) share a token are candidates, if their lengths,
+   the places of that token and bitmaps of their sets (the popcount of the difference bounds the overlap) allow the
+   similarity. Tokens are joined in ``passes`` ranges one after the other, which bounds the scratch space.
+4. Of the classes that share a token, all are compared with the earliest one first, in some of the ranges. Lines that
+   this settles (copies of one line with changes here and there, mostly) take no part as later lines in the join that
+   follows over all ranges.
+5. Candidates are verified by their exact overlap; of a match, the later line goes.
 
 Defined results: null and empty texts have no lines to remove; rows equal in id and text are one document; a null id
-sorts first; a text that loses all its words by removal leaves the corpus in ``dedup_documents``; empty tables give empty
-results; ``dedup_documents`` keeps all other columns and recomputes ``n_chars`` where there is one.
+sorts first; lines of equal ids and numbers in different texts are ordered by the hash of their set; a line of any length
+is one row, its words one array; words are equal if 58 bits of their hashes are, sets if 128 bits of theirs are; a text
+that loses all its words by removal leaves the corpus in ``dedup_documents``; empty tables give empty results;
+``dedup_documents`` keeps all other columns and recomputes ``n_chars`` where there is one.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quirework.llm.set_join import close, enough, first_in_common, rare_prefixes
-from quirework.llm.shared import BLANKS, fixed_table, id_mask, in_id_mask, stage
+from quirework.llm.set_join import close, enough, first_in_common
+from quirework.llm.shared import BLANKS, fixed_table, id_mask, release, stage
 
-_LEVELS, _WARM = 1 << 17, 16
-#: Lists of candidates up to this length give all their pairs; longer ones are ordered anew.
-_SHORT = 16
+#: Words seen up to this often are all equally rare.
+_WARM = 16
 
 
 def _words(line: Column) -> Column:
-    return F.filter(F.split(F.lower(line), BLANKS), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(line), BLANKS), "")
 
 
-def _tokens(words: Column, n: int) -> Column:
-    """Hashes of the distinct shingles of a word array, ascending."""
-    rolled = F.transform(
-        F.sequence(F.lit(0), F.size(words) - n), lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(n)))
+def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Every line that has a word."""
+    text = F.col(text_col)
+    lines = docs.where(text.isNotNull()).select(
+        F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("doc_hash"), F.posexplode(F.split(text, "\n")).alias("line_no", "line")
     )
-    whole = F.array(F.xxhash64(F.array_join(words, " ")))
-    return F.sort_array(F.array_distinct(F.when(F.size(words) >= n, rolled).otherwise(whole)))
+    return lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
 
 
-def _least(size: Column, percent: int) -> Column:
-    return ((size * percent + 99) / 100).cast("long").cast("int")
+def _rarity(lines: DataFrame) -> tuple[Column, int]:
+    """A table by word hash (the level of the most frequent word of each place) and its number of places."""
+    words = lines.select(F.explode(_words(F.col("line"))).alias("word")).groupBy(F.xxhash64("word").alias("token")).agg(F.count("*").alias("n"))
+    common = stage(words.where(F.col("n") > _WARM), "common")
+    places = 1 << min(22, max(10, (4 * common.count()).bit_length()))
+    level = F.least(F.log2("n").cast("int"), F.lit(30))
+    table = fixed_table(common.groupBy(F.pmod("token", F.lit(places)).alias("at")).agg(F.max(level).alias("level")), "level", places, "byte")
+    release(common)
+    return table, places
 
 
-def _spare(size: Column, percent: int) -> Column:
-    """l - 1, where sets of this size share at least l tokens in their low pieces."""
-    p = size - _least(size, percent) + 1
-    return F.least((p / 2).cast("int"), size - p)
+def _with_tokens(lines: DataFrame, rarity: tuple[Column, int]) -> DataFrame:
+    """``lines`` with their sets as ``set``: tokens in order of rarity, a token being its level and 58 bits of its hash."""
+    table, places = rarity
+    hashes = F.array_distinct(F.transform(_words(F.col("line")), lambda word: F.xxhash64(word)))
+    level = lambda t: F.get(F.col("levels"), F.pmod(t, F.lit(places)).cast("int")).cast("long")
+    token = lambda t: F.shiftleft(level(t), 58).bitwiseOR(F.shiftrightunsigned(t, 6))
+    return lines.withColumn("hashes", hashes).withColumn("levels", table).withColumn("set", F.sort_array(F.transform("hashes", token))).drop("hashes", "levels", "line")
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = F.col(text_col)
-    return docs.where(text.isNotNull()).select(
-        F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("doc_hash"), F.posexplode(F.split(text, "\n")).alias("line_no", "line")
-    )
+def _bitmap(tokens: str, half: int) -> Column:
+    """64 of the 128 places of a set's bitmap."""
+    one = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda held, t: F.when(F.getbit(t, F.lit(6)) == half, held.bitwiseOR(one(t))).otherwise(held))
 
 
 def removed_lines(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    n: int = 5,
     percent: int = 80,
+    passes: int = 3,
 ) -> DataFrame:
     """(doc_id, doc_hash, line_no, exact) of every line to remove; ``exact``: an earlier line has the same set."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    lines = _lines(rows, "doc_id", "text").withColumn("words", _words(F.col("line"))).where(F.size("words") > 0)
+    rarity = _rarity(_lines(rows, "doc_id", "text"))
     size = F.size("set")
-    kept = size - _least(size, percent) + 1 + _spare(size, percent)
-    held = stage(
-        lines.select("doc_id", "doc_hash", "line_no", _tokens(F.col("words"), n).alias("set")).select(
-            "doc_id", "doc_hash", "line_no", F.xxhash64("set").alias("node"), size.alias("size"), F.slice("set", F.lit(1), F.least(kept, size)).alias("low")
+    lines = stage(
+        _with_tokens(_lines(rows, "doc_id", "text"), rarity).select(
+            F.struct("doc_id", "line_no", "doc_hash").alias("place"),
+            F.xxhash64("set").alias("node"),
+            F.xxhash64(F.lit(percent), "set").alias("check"),
+            size.alias("size"),
+            F.slice("set", F.lit(1), size - F.ceil(size * percent / 100).cast("int") + 1).alias("prefix"),
+            _bitmap("set", 0).alias("low"),
+            _bitmap("set", 1).alias("high"),
         ),
         "lines",
     )
-    place = F.struct("doc_id", "doc_hash", "line_no")
-    classes = stage(held.groupBy("node").agg(F.min(place).alias("first"), F.max("size").alias("size"), F.count("*").alias("n")), "classes")
-
-    warm = held.select(F.explode("low").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > _WARM)
-    levels = fixed_table(
-        warm.groupBy(F.pmod("token", F.lit(_LEVELS)).alias("at")).agg(F.max(F.log2("n").cast("int")).alias("level")), "level", _LEVELS, "byte"
+    first = [F.first(c).alias(c) for c in ("size", "prefix", "low", "high")]
+    classes = stage(lines.groupBy("node", "check").agg(F.min("place").alias("place"), F.count("*").alias("n"), *first), "classes")
+    held = stage(lines.select("place", "node", "check"), "places")
+    release(lines)
+
+    fits = (
+        (F.col("a.place") != F.col("b.place"))
+        & close(F.col("a.size"), F.col("b.size"), percent)
+        & first_in_common(F.col("a.size"), F.col("a.at"), F.col("b.size"), F.col("b.at"), percent)
+        & ((100 + percent) * (_both("size") - _unequal("low") - _unequal("high")) >= 2 * percent * _both("size"))
     )
-    spare = F.least(_spare(F.col("size"), percent), _spare(_least(F.col("size"), percent), percent))
-    ordered = F.array_sort(
-        F.transform("low", lambda t: F.struct(F.get(F.col("levels"), F.pmod(t, F.lit(_LEVELS)).cast("int")).alias("level"), t.alias("token")))
-    )
-    offers = held.withColumn("levels", levels).select(
-        "node", F.explode(F.slice(ordered, F.lit(1), F.size("low") - spare)).alias("o")
-    ).select(F.col("o.token").alias("token"), "node")
-    lists = stage(
-        offers.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("token", "n"), "tokens"
-    )
-    several = id_mask(lists, "token", bits=23)
-    listed = stage(offers.where(in_id_mask(several, F.col("token"), bits=23)).join(lists, "token").distinct(), "lists")
-    sets = _sets(rows, stage(listed.select("node").distinct().join(classes, "node").select("node", "first.*"), "needed"), n)
-
-    short = listed.where(F.col("n") <= _SHORT)
-    pairs = short.select("token", F.col("node").alias("a")).join(short.select("token", F.col("node").alias("b")), "token").where("a < b").select("a", "b")
-    crowd = listed.where(F.col("n") > _SHORT).select("node").distinct()
-    again = rare_prefixes(sets.join(crowd, "node", "left_semi").select("node", F.col("set").alias("piece")), classes.select("node", "size"), percent)
-    again = stage(again.join(classes.select("node", "first"), "node"), "prefixes")
-    # two lines with at most half the peculiar tokens that a similar pair may have are similar
-    half = F.col("at") <= (F.col("size") - F.ceil(2 * percent * F.col("size") / (100 + percent))) / 2
-    hubs = again.groupBy("token").agg(F.min(F.struct("at", "first", "node", "size")).alias("x"), F.min(F.when(half, F.struct("first", "at", "node", "size"))).alias("y"))
-    hubs = hubs.select("token", F.explode(F.array(F.struct("x.node", "x.size", "x.at"), F.struct("y.node", "y.size", "y.at"))).alias("hub")).where("hub.node is not null")
-    hubs = hubs.select("token", F.col("hub.node").alias("node_b"), F.col("hub.size").alias("size_b"), F.col("hub.at").alias("at_b")).distinct()
-    mine, other = (again.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "size", "at", "first"))) for x in ("a", "b"))
-    fits = close(F.col("size_a"), F.col("size_b"), percent) & first_in_common(F.col("size_a"), F.col("at_a"), F.col("size_b"), F.col("at_b"), percent)
-    starred = mine.join(hubs, "token").where((F.col("node_a") != F.col("node_b")) & fits).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
-    gone = _settled(sets, pairs.unionByName(starred).distinct(), percent)
-    unsettled = mine.join(gone, F.col("node_a") == F.col("node"), "left_anti")
-    earlier = unsettled.join(other, "token").where((F.col("first_b") < F.col("first_a")) & fits).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
-    gone = gone.unionByName(_settled(sets, earlier.distinct(), percent)).distinct()
-
-    later = held.select("doc_id", "doc_hash", "line_no", "node").join(classes.select("node", "first", "n"), "node")
-    not_first = later.where("n > 1").where(F.struct("doc_id", "doc_hash", "line_no") != F.col("first"))
-    matched = classes.join(gone, "node").select("first.*", F.lit(False).alias("exact"))
-    return not_first.select("doc_id", "doc_hash", "line_no", F.lit(True).alias("exact")).unionByName(matched).distinct()
-
-
-def _sets(rows: DataFrame, needed: DataFrame, n: int) -> DataFrame:
-    """(node, first, set) of the lines in ``needed`` (node and place)."""
-    mask = id_mask(needed.select(F.xxhash64("doc_id").alias("h")), "h")
+    starred, rest = [], []
+    for k in range(passes // 2 + 1):  # of the words that copies of a line share, these ranges have some
+        part = _listed(classes, passes, k).repartition("token")  # once for both sides
+        each = F.min(F.struct("place", "size", "at", "low", "high")).alias("x")
+        hubs = part.groupBy("token").agg(each, F.count("*").alias("n")).where("n > 1").select("token", "x.*")
+        pairs = part.alias("a").join(hubs.alias("b").hint("shuffle_hash"), "token").where(fits)
+        starred.append(stage(pairs.select(F.greatest("a.place", "b.place").alias("later"), F.least("a.place", "b.place").alias("earlier")).distinct(), "starred"))
+    gone = _verified(rows, rarity, classes, starred, percent)
+    settled = stage(classes.join(gone.withColumn("gone", F.lit(True)), "node", "left"), "settled")
+    release(classes, gone)
+    for k in range(passes):
+        part = _listed(settled, passes, k)
+        pairs = part.where("gone is null").alias("a").join(part.alias("b"), "token").where(fits & (F.col("b.place") < F.col("a.place")))
+        rest.append(stage(pairs.select(F.col("a.place").alias("later"), F.col("b.place").alias("earlier")).distinct(), "rest"))
+    more = _verified(rows, rarity, settled, rest, percent)
+
+    ends = stage(settled.join(more.withColumn("more", F.lit(True)), "node", "left").select("node", "check", "place", "n", (F.col("gone").isNotNull() | F.col("more").isNotNull()).alias("matched")), "ends")
+    release(settled, more)
+    later = held.join(ends.where("n > 1").select("node", "check", F.col("place").alias("first")), ["node", "check"]).where(F.col("place") != F.col("first"))
+    matched = ends.where("matched").select("place.*", F.lit(False).alias("exact"))
+    return later.select("place.*", F.lit(True).alias("exact")).unionByName(matched).select("doc_id", "doc_hash", "line_no", "exact").distinct()
+
+
+def _both(c: str) -> Column:
+    return F.col(f"a.{c}") + F.col(f"b.{c}")
+
+
+def _unequal(c: str) -> Column:
+    return F.bit_count(F.col(f"a.{c}").bitwiseXOR(F.col(f"b.{c}")))
+
+
+def _listed(classes: DataFrame, passes: int, k: int) -> DataFrame:
+    """The prefix tokens of one range, with what the filters need of their class."""
+    place = F.struct("place.doc_id", "place.line_no", "node").alias("place")
+    kept = classes.select(place, "size", "low", "high", *(["gone"] if "gone" in classes.columns else []), F.posexplode("prefix").alias("at", "token"))
+    return kept.where(F.pmod("token", F.lit(passes)) == k)
+
+
+def _verified(rows: DataFrame, rarity: tuple[Column, int], classes: DataFrame, candidates: list[DataFrame], percent: int) -> DataFrame:
+    """(node): the later of each of ``candidates`` (later, earlier) whose sets, read again from the texts, are similar."""
+    pairs = stage(functools.reduce(DataFrame.unionByName, candidates).distinct(), "pairs")
+    release(*candidates)
+    wanted = pairs.select(F.col("later.node").alias("node")).unionByName(pairs.select(F.col("earlier.node").alias("node"))).distinct()
+    needed = stage(wanted.join(classes, "node").select("node", "place.*"), "needed")
+    count = needed.count()
     place = F.xxhash64("doc_id", "doc_hash", F.col("line_no").cast("long"))
-    exact = id_mask(needed.select(place.alias("h")), "h", bits=23)
-    lines = _lines(rows.where(in_id_mask(mask, F.xxhash64("doc_id"))), "doc_id", "text").where(in_id_mask(exact, place, bits=23))
+    of_doc, of_line = id_mask(needed.select(F.xxhash64("doc_id").alias("h")), "h", count), id_mask(needed.select(place.alias("h")), "h", count)
+    lines = _lines(rows.where(of_doc(F.xxhash64("doc_id"))), "doc_id", "text").where(of_line(place))
     same = F.col("l.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("l.doc_hash") == F.col("w.doc_hash")) & (F.col("l.line_no") == F.col("w.line_no"))
-    found = lines.alias("l").join(needed.alias("w"), same).select("w.node", "w.doc_id", "w.doc_hash", "w.line_no", "l.line").dropDuplicates(["doc_id", "doc_hash", "line_no"])
-    return stage(
-        found.withColumn("words", _words(F.col("line"))).select(
-            "node", F.struct("doc_id", "doc_hash", "line_no").alias("first"), _tokens(F.col("words"), n).alias("set")
-        ),
-        "sets",
-    )
-
-
-def _settled(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The nodes of ``pairs`` (a, b) that are similar to the other and come later."""
-    pairs = stage(pairs, "pairs")
-
-    def side(x: str) -> DataFrame:
-        """The sets of the lines that stand on this side of a pair; a bitmap keeps most others out of the shuffle."""
-        here = in_id_mask(id_mask(pairs.select(F.col(x).alias("h")), "h"), F.col("node"))
-        return sets.where(here).select(F.col("node").alias(x), F.col("first").alias(f"first_{x}"), F.col("set").alias(f"set_{x}"))
-
-    both = pairs.join(side("a"), "a").join(side("b"), "b").where(close(F.size("set_a"), F.size("set_b"), percent))
-    matched = both.where(enough(F.size(F.array_intersect("set_a", "set_b")), F.size("set_a"), F.size("set_b"), percent))
-    return stage(matched.select(F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a")).alias("node")).distinct(), "gone")
+    texts = lines.alias("l").join(needed.alias("w"), same).select("w.node", "l.line").dropDuplicates(["node"])
+    sets = stage(_with_tokens(texts, rarity), "sets")
+    release(needed)
+    a, b = (sets.select(F.col("node").alias(f"{x}_node"), F.col("set").alias(f"{x}_set")) for x in ("later", "earlier"))
+    flat = pairs.select(F.col("later.node").alias("later_node"), F.col("earlier.node").alias("earlier_node"))
+    both = flat.join(a, "later_node").join(b, "earlier_node")
+    shared = F.size(F.array_intersect("later_set", "earlier_set"))
+    out = stage(both.where(enough(shared, F.size("later_set"), F.size("earlier_set"), percent)).select(F.col("later_node").alias("node")).distinct(), "gone")
+    release(pairs, sets)
+    return out
 
 
 def dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -164,8 +178,8 @@ def dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .agg(F.collect_list("line_no").alias("_quirework_cut")),
         "cut",
     )
-    mask = id_mask(cut.select(F.xxhash64("_quirework_id").alias("h")), "h")
-    touched = in_id_mask(mask, F.xxhash64(id_col)) & F.col(text_col).isNotNull()
+    listed = id_mask(cut.select(F.xxhash64("_quirework_id").alias("h")), "h", cut.count())
+    touched = listed(F.xxhash64(id_col)) & F.col(text_col).isNotNull()
     same = F.col(id_col).eqNullSafe(F.col("_quirework_id")) & (F.xxhash64(text_col) == F.col("_quirework_hash"))
     kept = F.filter(F.split(text_col, "\n"), lambda line, i: ~F.array_contains("_quirework_cut", i))
     text = F.when(F.col("_quirework_cut").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
