@@ -87,18 +87,18 @@ def duplicate_lines(w: tokens.Words) -> np.ndarray:
 
 
 def _hashed_features(w: tokens.Words) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(place, row) of every n-gram, for one word, two words and three bytes."""
+    """(place, row) of every n-gram, for one word, two words and three characters."""
     shift = _U(64 - _BITS)
     pair, pair_row = tokens.shingles(w, 2)
-    data = w.text.data.astype(np.uint32)
-    three = (data[:-2] << 16 | data[1:-1] << 8 | data[2:]) if len(data) > 2 else np.zeros(0, np.uint32)
-    byte_row = np.repeat(np.arange(w.text.rows, dtype=np.int32), np.diff(w.text.offsets))
-    inside = byte_row[: len(three)] == byte_row[2:] if len(three) else np.zeros(0, bool)
-    chars = (three[inside] * np.uint32(0x9E3779B1)) >> np.uint32(32 - _BITS)
+    char, char_row = tokens.characters(w.text)
+    factor = np.uint32(0x9E3779B1)
+    three = (char[:-2] * factor + char[1:-1]) * factor + char[2:]
+    inside = char_row[: len(three)] == char_row[2:]
+    chars = (three[inside] * factor) >> np.uint32(32 - _BITS)
     return [
         ((w.hash >> shift).astype(np.int64), w.row),
         ((pair >> shift).astype(np.int64) + (1 << _BITS), pair_row),
-        (chars.astype(np.int64) + (2 << _BITS), byte_row[: len(three)][inside]),
+        (chars.astype(np.int64) + (2 << _BITS), char_row[: len(three)][inside]),
     ]
 
 

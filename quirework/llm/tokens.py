@@ -98,6 +98,18 @@ def spans(text: Text) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return row, start, end, inside
 
 
+def characters(text: Text) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes as a number, row) of every character (code point)."""
+    start = np.flatnonzero((text.data & 0xC0) != 0x80)
+    length = np.diff(np.append(start, len(text.data)))
+    value = text.data[start].astype(np.uint32)
+    for k in range(1, 4):
+        longer = np.flatnonzero(length > k)
+        value[longer] |= text.data[start[longer] + k].astype(np.uint32) << np.uint32(8 * k)
+    row = np.repeat(np.arange(text.rows, dtype=np.int32), np.diff(np.searchsorted(start, text.offsets)))
+    return value, row
+
+
 def hashed(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of each byte range, read eight bytes at a time."""
     out = np.full(len(start), 0x632BE59BD9B4E019, np.uint64)
