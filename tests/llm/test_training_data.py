@@ -9,17 +9,20 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quirework.llm import registry
+from quirework.llm import class_lm, registry, tokens
 from quirework.llm.class_lm import exchange
 from quirework.llm.decontamination import containment_pairs, decontaminate
 from quirework.llm.kneser_ney import perplexity_filter
 from quirework.llm.line_dedup import dedup_documents, removed_lines
 from quirework.llm.mixing import pareto_mix
-from quirework.llm.pii import personal_spans
+from quirework.llm.pii import form_spans, personal_spans, sanitise
 from quirework.llm.quality_rules import quality_rules
+from quirework.llm.shared import stage
 from quirework.llm.toxicity import reject_toxic, toxicity_scores
 from quirework.llm.url_filters import link_verdicts
 from quirework.llm.vertical_join import drop_near_duplicates, jaccard_components
@@ -200,8 +203,50 @@ def test_op6_base_scores(docs, result):
         base = sum(math.log10((train[t] + 0.5) / (total + 0.5 * (kinds + 1))) for t in ts)
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (crc(d, 5) == 1, len(ts), sum(train[t] > 0 for t in ts), total)
         assert math.isclose(r["base_score"], base, rel_tol=1e-9, abs_tol=1e-9)
-    held = [r for r in rows.values() if r["held_out"]]
-    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+def test_op6_scores_equal_a_plain_class_model(spark, small, docs, result):
+    rows = spark.createDataFrame([(t or "",) for d, t in docs if crc(d, 5) != 1], "text string")
+    counts = stage(rows.mapInArrow(class_lm._count_words, "word long, form int, n long").groupBy("word", "form").agg(F.sum("n").alias("c")), "counts")
+    found, _ = class_lm.cluster(rows, counts, 1 << 11, None, 3, 1)
+    kinds = sorted({w for _, t in docs for w in words((t or "").translate(FOLD))})
+    w = tokens.words(pa.array(kinds))
+    group = dict(zip(kinds, found.of(w).tolist()))
+    train = [[*words((t or "").translate(FOLD)), None] for d, t in docs if crc(d, 5) != 1]
+    end, size = found.size - 1, found.size
+    of = lambda x: end if x is None else group[x]
+    count = Counter(x for text in train for x in text)
+    steps = Counter((of(a), of(b)) for text in train for a, b in zip([None, *text], text))
+    into, out, after = Counter(), Counter(), Counter()
+    for (a, b), n in steps.items():
+        into[b] += n
+        out[a] += n
+        after[a] += 1
+    once, twice = (Counter(of(x) for x, c in count.items() if c == k and x is not None) for k in (1, 2))
+    total = sum(into.values())
+
+    def log_p(a, x):
+        b = of(x)
+        p = (steps[a, b] + (after[a] + 1) * (into[b] + 0.5) / (total + 0.5 * size)) / (out[a] + after[a] + 1)
+        if x is None:
+            return math.log10(p)
+        mass = min(max(max(once[b], 0.5) / into[b], 0), 0.9) if into[b] else 1.0
+        unseen = mass / max(1.0, once[b] * (once[b] - 1) / (2 * (twice[b] + 1)))
+        return math.log10(p) + math.log10((1 - mass) * count[x] / into[b] if count[x] else unseen)
+
+    rows = {r["doc_id"]: r["score"] for r in result("op6_class_lm")}
+    for d, t in docs:
+        text = [*words((t or "").translate(FOLD)), None]
+        assert math.isclose(rows[d], sum(log_p(of(a), x) for a, x in zip([None, *text], text)), rel_tol=1e-9, abs_tol=1e-9)
+    learnt = [r for r in result("op6_class_lm") if not r["held_out"]]
+    assert sum(r["score"] for r in learnt) > sum(r["base_score"] for r in learnt)
+    assert len({group[x] for x in kinds if count[x] >= 3} - {group[x] for x, _ in count.most_common(40) if x}) > 0
+
+
+@pytest.mark.parametrize("rows", [[(1, None), (2, "")], [(1, "  \n")], [], [(1, "a b"), (3, "zz yy"), (3, "zz yy"), (None, "q " * 50_000)]])
+def test_op6_awkward_texts(spark, rows):
+    got = class_lm.class_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows) and all(r["score"] <= 0 and r["base_score"] <= 0 for r in got)
 
 
 def test_op6_exchange_finds_the_classes():
@@ -275,11 +320,68 @@ def test_op9_base_spans(docs, result):
         assert r["base_sha256"] == digest and all(f"{k}:{a}:{b}" in r["spans"].split(",") for k, a, b in found)
 
 
-def superfluous(rows, n=5, percent=80):
+def telling(rows, support, disclosure):
+    """The terms that give entities away, by (entity, word), and each row's spans of them, counted plainly."""
+    bare = lambda w: re.sub(r"[\x00-\x7f]", lambda m: m[0].lower() if m[0].isalnum() else "", w)
+    held = []
+    for _, text in rows:
+        spans = form_spans(text or "")
+        ws = [(bare(m[0]), *m.span()) for m in re.finditer(r"[^\x20\x09-\x0D]+", text or "")]
+        free = [(i, w) for i, (w, a, b) in enumerate(ws) if len(w.encode()) > 2 and not any(x < b and a < y for _, x, y in spans)]
+        entities = {k for k, _, _ in spans} | {(k, re.sub(r"\D", "", text[a:b]) if k in ("card", "phone") else text[a:b].lower()) for k, a, b in spans}
+        held.append((entities, ws, free))
+    n, df_t, df_e, joint, contexts = len(rows), Counter(), Counter(), Counter(), {}
+    for entities, ws, free in held:
+        first = {}
+        for i, w in free:
+            first.setdefault(w, (ws[i - 1][0] if i else "", ws[i + 1][0] if i + 1 < len(ws) else ""))
+        df_t.update({w for w, _, _ in ws if w})
+        df_e.update(entities)
+        for e in entities:
+            joint.update((e, w) for w in first)
+            for w, c in first.items():
+                contexts.setdefault((e, w), set()).add(c)
+    found = {
+        (e, w)
+        for (e, w), c in joint.items()
+        if len(contexts[e, w]) >= support and n > df_e[e] and math.log2(n * c / (df_t[w] * df_e[e])) >= disclosure * math.log2(n / df_e[e]) - 1e-12
+    }
+    spans = [sorted({ws[i][1:] for i, w in free for e in entities if (e, w) in found}) for entities, ws, free in held]
+    return found, spans
+
+
+def _leaky():
+    rows = [(i, f"plain words number {i} of the day and more {i * i}") for i in range(60)]
+    for k in range(8):
+        rows.append((100 + k, f"v{k} Anna y{k} writes a lot and z{k} again and then at last, b{k} anna! c{k} to mail{k}@x.org, room4711 q{k}"))
+        rows.append((200 + k, f"u{k} Bertram's t{k} list r{k} room4711 s{k} goes to boss@y.org"))
+    return rows + [(300 + k, "copy of one text with rareword before 10.0.0.1") for k in range(9)] + [(400, None), (401, "")]
+
+
+def test_op9_telling_terms_equal_plain_counts(spark, docs):
+    for rows, support in ((_leaky(), 5), (docs, 2)):
+        _, want = telling(rows, support, 0.75)
+        got = {r["doc_id"]: [(t["start"], t["end"]) for t in r["terms"]] for r in personal_spans(spark.createDataFrame(rows, "doc_id long, text string"), support=support).collect()}
+        assert got == {d: spans for (d, _), spans in zip(rows, want)} and any(want)
+
+
+def test_op9_sanitise_generalises_and_removes(spark):
+    names = ["_id", "_hash", "_base", "_terms", "doc_hash", "entities"]
+    table = spark.createDataFrame([(d, t, *names) for d, t in _leaky()], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    out = sanitise(table)
+    assert out.columns == table.columns
+    got = {r["doc_id"]: r["text"] for r in out.collect()}
+    for k in range(8):
+        assert "nna" not in got[100 + k] and "[email]" in got[100 + k] and "@" not in got[100 + k] and "[number]" in got[100 + k]
+        assert "Bertram" not in got[200 + k] and got[200 + k].endswith("[email]")
+    assert got[300].endswith("rareword before [ip]") and got[400] is None and got[401] == "" and got[3] == dict(_leaky())[3]
+
+
+def superfluous(rows, percent=80):
     kept, gone = [], set()
     for d, text in sorted(set(rows), key=lambda x: x[0]):
         for i, line in enumerate((text or "").split("\n")):
-            s = shingles(words(line.lower()), n)
+            s = set(words(line.lower()))
             if s and any(100 * len(s & o) >= percent * len(s | o) for o in kept):
                 gone.add((d, i))
             if s:
