@@ -21,7 +21,6 @@ JOINED_MARK = "\\x{064B}-\\x{065F}\\x{0670}"
 ARABIC_DIGITS, DIGITS = "٠١٢٣٤٥٦٧٨٩", "0123456789"
 STOPS = "،؛:؟.!"
 RUNTIME_ERROR = "(?i)runtime\\s+(?:VBScript|Script)|Microsoft.*error|Subscript.*out\\s+of\\s+range|/Tafseer/"
-PRINT_MARKER = "(?:^|[\\s،.؛:])-?ط\\([،.]?\\)?-?"
 
 
 def replace_all(text: Column, steps: list[tuple[str, str]]) -> Column:
@@ -76,10 +75,10 @@ def truncate(text: Column, limit: int, suffix: str = "…") -> Column:
 
 
 def replace_stars(text: Column) -> tuple[Column, Column]:
-    """(text, runs): runs of stars become an Arabic comma; a text of stars only becomes empty."""
+    """(text, runs): runs of stars become an Arabic comma; a text that is one run becomes empty."""
     runs = F.regexp_count(text, F.lit("\\*+"))
-    tidy = replace_all(text, [(f"{SPACE}*\\*+{SPACE}*", "، "), ("(?:، *){2,}", "، "), (f"{SPACE}+،", "،")])
-    return F.when(text.rlike(f"^{SPACE}*\\*[*{SPACE[1:-1]}]*$"), "").when(runs > 0, F.trim(tidy)).otherwise(text), runs
+    tidy = replace_all(text, [(f"{SPACE}*\\*+{SPACE}*", "، "), (f"(?:،{SPACE}*){{2,}}", "، "), (f"{SPACE}+،", "،")])
+    return F.when(runs == 0, text).when(text.rlike(f"^{SPACE}*\\*+{SPACE}*$"), "").otherwise(strip(tidy)), runs
 
 
 def count_pattern(text: Column, pattern: str, literal: bool = False) -> Column:
@@ -88,8 +87,8 @@ def count_pattern(text: Column, pattern: str, literal: bool = False) -> Column:
 
 
 def is_noise(text: Column) -> Column:
-    """Digits, blanks and punctuation only."""
-    return to_ascii_digits(text).rlike("^[0-9\\s.,:;()\\[\\]{}/\\\\|*_+=~-]+$")
+    """Digits and punctuation only, once spaces are left out; a text without anything else is none."""
+    return to_ascii_digits(F.replace(text, F.lit(" "), F.lit(""))).rlike("^[0-9.()،؛:؟!\\-ـ]+$")
 
 
 def has_page_noise(text: Column, y0: Column, y1: Column, page_height: Column, head: float = 38, foot: float = 36) -> Column:
@@ -119,7 +118,14 @@ def slug(text: Column) -> Column:
 
 
 def length_ratio(target: Column, source: Column) -> Column:
-    return F.length(target) / F.greatest(F.length(source), F.lit(1))
+    return F.round(F.length(target) / F.greatest(F.length(source), F.lit(1)), 2)
+
+
+def length_outlier(target: Column, source: Column) -> Column:
+    """Too short or too long for its source: below 0.25 or above 4 times, or above 400 characters for a source under 80."""
+    n, m = F.length(source), F.length(target)
+    ratio = m / F.greatest(n, F.lit(1))
+    return F.when(n >= 80, (ratio < 0.25) | (ratio > 4.0)).otherwise(m > 400)
 
 
 def salvage_json(text: Column) -> Column:
@@ -143,37 +149,3 @@ def strip_title(text: Column) -> Column:
 def word_tokens(text: Column) -> Column:
     """Runs of letters and digits of any script."""
     return F.regexp_extract_all(text, F.lit("[\\p{L}\\p{N}_]+"), 0)
-
-
-#: Counters of ``clean_line``: each is reported even at 0. Fixed patterns: (name, pattern, replacement).
-CLEANING = [
-    ("bidi_control", BIDI, ""),
-    ("nbsp", "\\x{A0}", " "),
-    ("bad_glyph", BAD_GLYPH, ""),
-    ("tatweel", TATWEEL, ""),
-    ("detached_mark", f"([{ARABIC_LETTER}]) +([{JOINED_MARK}])", "$1$2"),
-    ("split_marks", f"([{JOINED_MARK}]) +([{JOINED_MARK}])", "$1$2"),
-    ("space_before_stop", f" +([{STOPS}])", "$1"),
-    ("paren_open", "\\( +", "("),
-    ("paren_close", " +\\)", ")"),
-    ("space_runs", "[ \\t]{2,}", " "),
-]
-
-
-def clean_line(text: Column, drop: str | None = RUNTIME_ERROR) -> Column:
-    """struct(text, counts): the cleaned line, and a map with the number of changes of every kind.
-
-    A line that matches ``drop`` becomes empty at once. Every step counts on the text that the steps before it left.
-    """
-    counts, current = [], text
-    current, stars = replace_stars(current)
-    counts.append(("stars", stars.cast("long")))
-    for name, pattern, new in CLEANING:
-        counts.append((name, F.regexp_count(current, F.lit(pattern)).cast("long")))
-        current = F.regexp_replace(current, pattern, new)
-    dropped = F.coalesce(text.rlike(drop), F.lit(False)) if drop else F.lit(False)
-    entries = [x for name, n in counts for x in (F.lit(name), F.when(dropped, F.lit(0)).otherwise(n).cast("long"))]
-    return F.struct(
-        F.when(dropped, "").otherwise(F.trim(current)).alias("text"),
-        F.create_map(*entries, F.lit("dropped_lines"), dropped.cast("long")).alias("counts"),
-    )

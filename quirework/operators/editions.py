@@ -33,11 +33,10 @@ def on_page(pages: DataFrame) -> DataFrame:
     return pages.groupBy("edition", "page").agg(F.array_join(F.array_sort(F.collect_list("id")), ",").alias("ids"), F.count("*").alias("n"))
 
 
-def translation_findings(translations: DataFrame, passages: DataFrame, low: float = 0.35, high: float = 2.8) -> DataFrame:
+def translation_findings(translations: DataFrame, passages: DataFrame) -> DataFrame:
     """Findings on translations (id, source_id, lang, status, text, source_sequence) against passages (id, sequence, text)."""
     source = passages.select(F.col("id").alias("source_id"), F.col("text").alias("_text"), F.col("sequence").alias("_sequence"), F.lit(True).alias("_known"))
     rows = translations.join(source, "source_id", "left")
-    ratio = T.length_ratio(F.col("text"), F.col("_text"))
     known = F.col("_known").isNotNull()
     return findings(
         rows,
@@ -49,7 +48,7 @@ def translation_findings(translations: DataFrame, passages: DataFrame, low: floa
             Rule("sequence_drift", "warn", known & ~F.col("source_sequence").eqNullSafe(F.col("_sequence"))),
             Rule("id_shape", "warn", F.col("id") != F.concat_ws(".", "source_id", "lang")),
             Rule("source_letters_left", "warn", (F.col("lang") != "ar") & (T.arabic_letters(F.col("text")) > 0)),
-            Rule("length_ratio", "warn", known & ~is_blank(F.col("text")) & ((ratio < low) | (ratio > high))),
+            Rule("length_ratio", "warn", known & ~is_blank(F.col("text")) & T.length_outlier(F.col("text"), F.col("_text"))),
         ],
     )
 

@@ -16,7 +16,7 @@ SEVERITIES = ("info", "warn", "fail")
 class Rule:
     """A row breaks the rule when ``broken`` holds; null counts as not broken."""
 
-    code: str
+    code: str | Column
     severity: str
     broken: Column
     sample: Column | None = None
@@ -27,19 +27,21 @@ def is_blank(col: Column) -> Column:
     return col.isNull() | (T.strip(col.cast("string")) == "")
 
 
-def findings(rows: DataFrame, key: str, rules: list[Rule]) -> DataFrame:
+def findings(rows: DataFrame, key: str | list[str], rules: list[Rule]) -> DataFrame:
     """(key, code, severity, sample): one row for each broken rule of a row, from one scan without a shuffle."""
+    keys = [key] if isinstance(key, str) else key
     none = F.lit(None).cast("string")
+    code = lambda r: F.lit(r.code) if isinstance(r.code, str) else r.code
     hits = F.array(
         *(
             F.when(
                 r.broken,
-                F.struct(F.lit(r.code).alias("code"), F.lit(r.severity).alias("severity"), (none if r.sample is None else r.sample).alias("sample")),
+                F.struct(code(r).alias("code"), F.lit(r.severity).alias("severity"), (none if r.sample is None else r.sample).alias("sample")),
             )
             for r in rules
         )
     )
-    return rows.select(key, F.explode(F.array_compact(hits)).alias("f")).select(key, "f.*")
+    return rows.select(*keys, F.explode(F.array_compact(hits)).alias("f")).select(*keys, "f.*")
 
 
 def rank(severity: Column) -> Column:

@@ -112,20 +112,6 @@ def text_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", F.length(text).cast("long").alias("n_chars"), (fits & (text == F.col("text"))).alias("whole"))
 
 
-@register(
-    "draft_annotations",
-    """
-    WITH l AS (SELECT doc_id, text, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\s]')) AS ls FROM documents),
-    v AS (SELECT doc_id, len(ls) >= 2 AND list_max(list_transform(ls, lambda x: length(x))) <= 90 AND len(list_filter(ls, lambda x: contains(trim(x), ' '))) >= 2 AND length(text) <= 1200 AS verse FROM l)
-    SELECT doc_id, CASE WHEN verse THEN 'poem' ELSE 'body' END AS kind, CASE WHEN verse THEN 0.64 ELSE 0.52 END::DOUBLE AS confidence,
-      CASE WHEN verse THEN 'verse_lines' ELSE 'default' END AS signals FROM v
-    """,
-)
-def draft_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Kind, confidence and signals of every document by rule."""
-    return annotations.draft(table(spark, sf_dir, "documents").select("doc_id", "text"))
-
-
 @register(
     "merge_gate",
     """
@@ -144,51 +130,6 @@ def merge_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return annotations.merge_gate(labels, proposals, found)
 
 
-@register(
-    "review_queue",
-    """
-    WITH f AS (SELECT doc_id, 'long_passage' AS code, 'info' AS severity FROM documents WHERE length(text) > 3000 UNION ALL SELECT doc_id, 'short_passage', 'info' FROM documents WHERE length(text) < 12
-      UNION ALL SELECT doc_id, 'star_leftover', 'warn' FROM documents WHERE contains(text, '*')),
-    q AS (SELECT *, CASE code WHEN 'star_leftover' THEN 'cleaning' ELSE 'length' END AS task_type, CASE code WHEN 'star_leftover' THEN 'normal' ELSE 'low' END AS priority,
-      CASE code WHEN 'star_leftover' THEN 'clean' WHEN 'long_passage' THEN 'split' ELSE 'merge' END AS action, CASE code WHEN 'star_leftover' THEN 1 ELSE 2 END AS priority_rank FROM f)
-    SELECT doc_id, code, severity, task_type, priority, action, priority_rank::BIGINT AS priority_rank,
-      'corpus__' || task_type || '__' || substring(sha1('corpus:' || task_type || ':' || doc_id || ':' || code), 1, 16) AS task_id FROM q
-    """,
-)
-def review_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Findings as review tasks with type, priority, action and a stable id."""
-    from quirework.operators import quality
-
-    rules = [r for r in quality.passage_rules() if r.code in {"short_passage", "long_passage", "star_leftover"}]
-    found = quality.findings(table(spark, sf_dir, "documents"), "doc_id", rules).drop("sample")
-    return annotations.review_tasks(annotations.review_queue(found, "doc_id"), "doc_id", F.lit("corpus"))
-
-
-@register(
-    "proposal_findings",
-    """
-    WITH p AS (SELECT doc_id AS id, CASE WHEN doc_id % 9 = 0 THEN 'unknown' ELSE 'quote' END AS kind, CASE WHEN doc_id % 11 = 0 THEN 1.5 ELSE 0.5 END AS confidence,
-      substring(text, 1, 5) AS seg, CASE WHEN doc_id % 13 = 0 THEN 2 ELSE 0 END AS a, text FROM documents WHERE length(text) >= 20),
-    f AS (SELECT 'invalid_primary_kind' AS code FROM p WHERE kind = 'unknown' UNION ALL SELECT 'invalid_confidence' FROM p WHERE confidence > 1
-      UNION ALL SELECT 'source_span_text_mismatch' FROM p WHERE substring(text, a + 1, 5) <> seg)
-    SELECT code, count(*)::BIGINT AS n FROM f GROUP BY code
-    """,
-)
-def proposal_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Proposals made from documents, some of them wrong, held against their source."""
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text").where(F.length("text") >= 20)
-    start = F.when(F.col("id") % 13 == 0, 2).otherwise(0)
-    segment = F.struct(F.lit("quote").alias("kind"), start.alias("start"), (start + 5).alias("end"), F.substring("text", 1, 5).alias("text"), F.lit(True).alias("review"))
-    proposals = docs.select(
-        "id",
-        F.when(F.col("id") % 9 == 0, "unknown").otherwise("quote").alias("kind"),
-        F.lit("quote_block").alias("layout"),
-        F.when(F.col("id") % 11 == 0, 1.5).otherwise(0.5).alias("confidence"),
-        F.array(segment).alias("segments"),
-    )
-    return annotations.proposal_findings(proposals, docs).groupBy("code").agg(F.count("*").alias("n"))
-
-
 @register(
     "citation_structs",
     """
@@ -223,7 +164,7 @@ def page_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     "translation_findings",
     """
     WITH t AS (SELECT a.conv_id, a.turn, a.text AS src, b.text AS tgt, b.turn AS bt FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1 WHERE a.role = 'user' AND b.role = 'assistant'),
-    f AS (SELECT 'length_ratio' AS code FROM t WHERE trim(tgt) <> '' AND (length(tgt) < 0.35 * greatest(length(src), 1) OR length(tgt) > 2.8 * greatest(length(src), 1))
+    f AS (SELECT 'length_ratio' AS code FROM t WHERE trim(tgt) <> '' AND CASE WHEN length(src) >= 80 THEN length(tgt) < 0.25 * length(src) OR length(tgt) > 4.0 * length(src) ELSE length(tgt) > 400 END
       UNION ALL SELECT 'sequence_drift' FROM t WHERE bt % 3 = 0 UNION ALL SELECT 'empty_text' FROM t WHERE trim(tgt) = '')
     SELECT code, count(*)::BIGINT AS n FROM f GROUP BY code
     """,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quirework.plans import annotated, passages, relations, served  # noqa: F401
+from quirework.plans import annotated, passages, proposals, relations, reports, served  # noqa: F401
 from quirework.plans.registry import oracle_sql, queries, register
 
 __all__ = ["oracle_sql", "queries", "register"]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirework.functions import text as T
-from quirework.operators import matching, quality, sequence
+from quirework.operators import cleaning, matching, quality, sequence
 from quirework.plans.registry import register
 from quirework.session import table
 from quirework.sources.readers import text_lines
@@ -69,7 +69,7 @@ def short_long_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH t AS (SELECT page_id, html, len(regexp_extract_all(html, '\\*+')) AS runs FROM pages),
     c AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(html, '[\\s\\x{A0}]*\\*+[\\s\\x{A0}]*', '، ', 'g'),
       '(?:، *){2,}', '، ', 'g'), '[\\s\\x{A0}]+،', '،', 'g') AS tidy FROM t)
-    SELECT page_id, runs::BIGINT AS runs, sha1(CASE WHEN runs > 0 THEN trim(tidy) ELSE html END) AS digest FROM c
+    SELECT page_id, runs::BIGINT AS runs, sha1(CASE WHEN runs > 0 THEN regexp_replace(regexp_replace(tidy, '^[\\s\\x{A0}]+', ''), '[\\s\\x{A0}]+$', '') ELSE html END) AS digest FROM c
     """,
 )
 def clean_star_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,23 +109,54 @@ def artifact_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.artifact_counts(table(spark, sf_dir, "documents"), "text", _PATTERNS, "lang")
 
 
-@register(
-    "cleaning_report",
-    """
-    WITH l AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents),
-    c AS (SELECT count(*) AS n_lines, sum(len(regexp_extract_all(line, '\\*+'))) AS stars,
-      sum(len(regexp_extract_all(line, 'ـ'))) AS tatweel, count(*) FILTER (WHERE trim(line) = '') AS blank FROM l)
-    SELECT 'blank' AS counter, blank::BIGINT AS n FROM c UNION ALL SELECT 'lines', n_lines::BIGINT FROM c
-    UNION ALL SELECT 'stars', stars::BIGINT FROM c UNION ALL SELECT 'tatweel', tatweel::BIGINT FROM c
-    """,
-)
+def _cleaning_oracle() -> str:
+    """The cleaning as a chain of subqueries, one for each step."""
+    q = lambda x: x.replace("'", "''")
+    old = [(n, p, new) for n, p, new in [*cleaning.FIRST_STEPS, ("stars_replaced", None, None), *cleaning.STEPS]]
+    sql = f"""s0 AS (SELECT doc_id, n, CASE WHEN m <> '' THEN regexp_extract(line, '^(#{{1,6}}){T.SPACE}+(.+?){T.SPACE}*$', 2) ELSE line END AS t0 FROM
+      (SELECT *, regexp_extract(line, '^(#{{1,6}}){T.SPACE}+(.+?){T.SPACE}*$', 1) AS m FROM l)),
+    b0 AS (SELECT doc_id, n, regexp_matches(t0, '{T.BIDI}')::BIGINT AS c0, regexp_replace(t0, '{T.BIDI}', '', 'g') AS t FROM s0)"""
+    last, columns = "b0", [("bidi_controls_removed", "c0")]
+    for k, (name, pattern, new) in enumerate(old, 1):
+        if pattern is None:
+            tidy = f"regexp_replace(regexp_replace(regexp_replace(t, '{T.SPACE}*\\*+{T.SPACE}*', '، ', 'g'), '(?:،{T.SPACE}*){{2,}}', '، ', 'g'), '{T.SPACE}+،', '،', 'g')"
+            strip = f"regexp_replace(regexp_replace({tidy}, '^{T.SPACE}+', ''), '{T.SPACE}+$', '')"
+            count, text = "len(regexp_extract_all(t, '\\*+'))", f"CASE WHEN NOT contains(t, '*') THEN t WHEN regexp_matches(t, '^{T.SPACE}*\\*+{T.SPACE}*$') THEN '' ELSE {strip} END"
+        else:
+            p = q(pattern.replace("\\s", T.SPACE))
+            count, text = f"len(regexp_extract_all(t, '{p}'))", f"regexp_replace(t, '{p}', '{new.replace('$', chr(92))}', 'g')"
+        sql += f",\n    b{k} AS (SELECT * EXCLUDE (t), {count} AS c{k}, {text} AS t FROM {last})"
+        last = f"b{k}"
+        columns.append((name, f"c{k}"))
+    sql += f",\n    d AS (SELECT *, regexp_matches(t, '{T.RUNTIME_ERROR}') AS dropped FROM {last})"
+    names = list(dict.fromkeys(n for n, _ in columns))
+    parts = [f"SELECT '{n}' AS counter, sum({' + '.join(c for m, c in columns if m == n)})::BIGINT AS n FROM d" for n in names]
+    parts += ["SELECT 'drop_runtime_error_lines', count(*) FILTER (WHERE dropped)::BIGINT FROM d", "SELECT 'lines', count(*)::BIGINT FROM d"]
+    always = ", ".join(f"'{n}'" for n in ["lines", *cleaning.ALWAYS])
+    return f"""
+    WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM documents),
+    {sql}
+    SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE n > 0 OR counter IN ({always})"""
+
+
+@register("cleaning_report", _cleaning_oracle())
 def cleaning_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counters of the line cleaning, summed over all lines; visited counters stay at 0."""
-    lines = text_lines(table(spark, sf_dir, "documents")).withColumn("c", T.clean_line(F.col("line"))["counts"])
-    wide = lines.agg(
-        F.count("*").alias("lines"), F.sum(F.col("c")["stars"]).alias("stars"), F.sum(F.col("c")["tatweel"]).alias("tatweel"), F.count_if(F.trim("line") == "").alias("blank")
+    return cleaning.change_report(cleaning.clean_lines(text_lines(table(spark, sf_dir, "documents"))))
+
+
+@register(
+    "suspicious_lines",
+    "WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents) SELECT doc_id, line_no::BIGINT AS line_no, pattern, digest FROM ("
+    + " UNION ALL ".join(
+        f"SELECT doc_id, line_no, '{n}' AS pattern, sha1(substring(line, 1, 220)) AS digest FROM l WHERE regexp_matches(line, '{p.replace('[' + chr(92) + 's', '[' + T.SPACE[1:-1])}')" for n, p in cleaning.SUSPICIOUS
     )
-    return wide.unpivot([], ["blank", "lines", "stars", "tatweel"], "counter", "n")
+    + ")",
+)
+def suspicious_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every suspicious pattern of every line; a report would stop at 250 rows a work."""
+    found = cleaning.suspicious(text_lines(table(spark, sf_dir, "documents")), "doc_id", "line_no", "line", limit=None)
+    return found.select("doc_id", "line_no", "pattern", F.sha1("text").alias("digest"))
 
 
 @register("duplicate_texts", "SELECT sha1(text) AS digest, count(*)::BIGINT AS n, min(doc_id)::BIGINT AS first_id FROM documents GROUP BY text HAVING count(*) > 1")
@@ -170,7 +201,7 @@ def sequence_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
       UNION ALL SELECT doc_id, 'star_leftover', 'warn' FROM documents WHERE contains(text, '*')
       UNION ALL SELECT doc_id, 'brace_marker', 'warn' FROM documents WHERE regexp_matches(text, '[{}]')
       UNION ALL SELECT doc_id, 'missing_text', 'fail' FROM documents WHERE text IS NULL OR regexp_matches(text, '^\\s*$')
-      UNION ALL SELECT doc_id, 'numeric_only', 'warn' FROM documents WHERE regexp_matches(text, '^[0-9\\s.,:;()\\[\\]{}/\\\\|*_+=~-]+$')
+      UNION ALL SELECT doc_id, 'numeric_only', 'warn' FROM documents WHERE regexp_matches(replace(text, ' ', ''), '^[0-9.()،؛:؟!\\-ـ]+$')
       UNION ALL SELECT doc_id, 'missing_lang', 'warn' FROM documents WHERE coalesce(trim(lang), '') = ''
       UNION ALL SELECT doc_id, 'missing_source', 'warn' FROM documents WHERE coalesce(trim(source), '') = ''
     ) GROUP BY code, severity
@@ -188,7 +219,7 @@ def quality_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH f AS (
       SELECT lang, 'info' AS s FROM documents WHERE length(text) < 12 UNION ALL SELECT lang, 'info' FROM documents WHERE length(text) > 3000
       UNION ALL SELECT lang, 'warn' FROM documents WHERE contains(text, '*') UNION ALL SELECT lang, 'warn' FROM documents WHERE regexp_matches(text, '[{}]')
-      UNION ALL SELECT lang, 'warn' FROM documents WHERE regexp_matches(text, '^[0-9\\s.,:;()\\[\\]{}/\\\\|*_+=~-]+$'))
+      UNION ALL SELECT lang, 'warn' FROM documents WHERE regexp_matches(replace(text, ' ', ''), '^[0-9.()،؛:؟!\\-ـ]+$'))
     SELECT lang, count(*) FILTER (WHERE s = 'info')::BIGINT AS n_info, count(*) FILTER (WHERE s = 'warn')::BIGINT AS n_warn, 0::BIGINT AS n_fail,
       CASE WHEN count(*) FILTER (WHERE s = 'warn') > 0 THEN 'warn' ELSE 'ok' END AS status FROM f GROUP BY lang
     """,

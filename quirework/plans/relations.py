@@ -147,15 +147,14 @@ def todo_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     WITH t AS (SELECT conv_id, turn, role, text, lead(role) OVER w AS nr, lead(text) OVER w AS nt FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
     SELECT conv_id, turn, length(nt)::BIGINT AS n_answer, length(text)::BIGINT AS n_question FROM t
-    WHERE role = 'user' AND nr = 'assistant' AND length(text) > 0 AND (length(nt) > 2.8 * length(text) OR length(nt) < 0.35 * length(text))
+    WHERE role = 'user' AND nr = 'assistant' AND CASE WHEN length(text) >= 80 THEN length(nt) > 4.0 * length(text) OR length(nt) < 0.25 * length(text) ELSE length(nt) > 400 END
     """,
 )
 def length_ratio_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answers much longer or shorter than their question."""
     each = Window.partitionBy("conv_id").orderBy("turn")
     rows = table(spark, sf_dir, "conversations").withColumn("nr", F.lead("role").over(each)).withColumn("nt", F.lead("text").over(each))
-    ratio = T.length_ratio(F.col("nt"), F.col("text"))
-    odd = rows.where((F.col("role") == "user") & (F.col("nr") == "assistant") & (F.length("text") > 0) & ((ratio > 2.8) | (ratio < 0.35)))
+    odd = rows.where((F.col("role") == "user") & (F.col("nr") == "assistant") & T.length_outlier(F.col("nt"), F.col("text")))
     return odd.select("conv_id", "turn", F.length("nt").cast("long").alias("n_answer"), F.length("text").cast("long").alias("n_question"))
 
 
