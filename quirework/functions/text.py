@@ -91,6 +91,11 @@ def is_noise(text: Column) -> Column:
     return to_ascii_digits(F.replace(text, F.lit(" "), F.lit(""))).rlike("^[0-9.()،؛:؟!\\-ـ]+$")
 
 
+def is_punctuation(text: Column) -> Column:
+    """Marks and blanks only, once stripped, and at least one."""
+    return strip(text).rlike("^[،,؛;:.}{\\[\\]()ـ*\\- ]+$")
+
+
 def has_page_noise(text: Column, y0: Column, y1: Column, page_height: Column, head: float = 38, foot: float = 36) -> Column:
     """Header or footer block: empty, near an edge of the page, or digits only."""
     return (strip(text) == "") | (y0 < head) | (y1 > page_height - foot) | is_noise(text)

@@ -128,9 +128,3 @@ def key_check(keys: Column, allowed: list[str], required: list[str]) -> Column:
         F.array_sort(F.array_except(keys, F.array(*map(F.lit, allowed)))).alias("unknown"),
         F.array_sort(F.array_except(F.array(*map(F.lit, required)), keys)).alias("missing"),
     )
-
-
-def claim_allowed(old_status: Column, new_status: Column, changed: Column) -> Column:
-    """Claiming a task: from open to claimed or in review, changing only the four fields of a claim."""
-    fields = F.array(*map(F.lit, ("status", "assigned_to", "claimed_at", "updated_at")))
-    return (old_status == "open") & new_status.isin("claimed", "in_review") & (F.size(F.array_except(changed, fields)) == 0)

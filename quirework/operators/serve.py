@@ -43,3 +43,36 @@ def share_of_total(rows: DataFrame, key: str) -> DataFrame:
     n = rows.groupBy(key).agg(F.count("*").alias("n"))
     total = n.agg(F.sum("n").alias("total")).scalar()
     return n.select(key, "n", (F.col("n") / total).alias("share"))
+
+
+def thread(rows: DataFrame, *order: Column, limit: int = 50, **equal: object) -> DataFrame:
+    """Rows of given fields in order: comments on a target, log entries of an actor or a target."""
+    found = rows
+    for name, value in equal.items():
+        found = found.where(F.col(name) == value)
+    return found.orderBy(*order).limit(limit)
+
+
+def passages(
+    rows: DataFrame,
+    equal: dict[str, object],
+    key: str,
+    cursor: object | None = None,
+    limit: int = 50,
+    semantic: DataFrame | None = None,
+    translations: DataFrame | None = None,
+) -> DataFrame:
+    """A page of passages of given fields; what to include is joined to the page, not to the table."""
+    found = rows
+    for name, value in equal.items():
+        found = found.where(F.col(name) == value)
+    page = page_after(found, key, cursor, limit)
+    for more in (semantic, translations):
+        if more is not None:
+            page = page.join(more, key, "left")
+    return page
+
+
+def edition_citation(refs: Column, edition: Column, default: Column) -> Column:
+    """The entry of an edition in a map of references; of the work's default edition where none is asked for."""
+    return F.try_element_at(refs, F.coalesce(edition, default))
