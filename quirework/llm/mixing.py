@@ -6,8 +6,9 @@ documents of a source by (u / (1 - u)) / (p / (1 - p)), u uniform by hash of the
 that fits into the words left to the target is taken, one that does not is passed over, until none fits.
 
 Defined results: null text has size 0 and is never taken; a null source is a source of its own, ordered last; repeated
-rows are documents of their own; an empty table gives an empty result; sources of size 0 get target 0. Columns of the
-input besides id, text and source are ignored.
+rows are documents of their own; documents of equal rank are taken in order of id, size and row; a text of any length is
+one document; an empty table gives an empty result; sources of size 0 get target 0. Columns of the input besides id, text
+and source are ignored.
 """
 
 from __future__ import annotations

@@ -1,6 +1,6 @@
 """Quality rules: counts of a text, and a hashed n-gram logistic regression with calibrated probabilities.
 
-The model reads word n-grams (one and two words) and character n-grams (three bytes), hashed to a fixed number of
+The model reads word n-grams (one and two words) and character n-grams (three code points), hashed to a fixed number of
 places and weighed by their share of the text. It is fitted on a bounded sample of labelled rows (``sample`` rows, those
 with the smallest hash of their id), calibrated by Platt scaling on a fold of that sample kept out of the fit, and
 applied to all whole texts in Arrow batches. A text is kept when its probability of being good reaches ``threshold``.

@@ -21,7 +21,8 @@ and the parts are summed per pair.
 
 Defined results: null, empty and blank texts have no n-grams, size 0 and are their own component; a text of fewer than n
 words has its whole sequence as its one n-gram; a null id takes part and is never the smallest of a component that has
-another; repeated rows are equal sets; an empty table gives an empty result; other columns are ignored.
+another; repeated rows are equal sets; a text of any length is one set, held whole by one task while it is cut; n-grams
+and sets are equal if 64 bits of their hashes are; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

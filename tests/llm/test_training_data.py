@@ -149,6 +149,40 @@ def test_op2_trust_and_distrust_travel_over_links(spark):
     assert got == {1: "allow", 2: "allow", 3: "block", 4: "block", 5: "allow"}
 
 
+def test_op2_ranks_equal_plain_propagation(spark):
+    chain = [(k, f"http://h{k}.net/", f'<a href="//H{k + 1}.net/x">a</a> <a href="https://h{k % 7}.net">b</a>') for k in range(30)]
+    pages = [*chain, (100, "http://good.org/a", '<a href=http://h0.net/>'), (101, "http://h29.net/b", '<a href="http://bad.com/de/1">'), (102, "http://bad.com/de/1", None), (103, "http://x.good.org/", ""), (104, "http://a.b.c.net/", "")]
+    got = {r["host"]: (r["trust"], r["distrust"]) for r in link_verdicts(spark.createDataFrame(pages, "page_id long, url string, html string"), tolerance=1e-9).collect()}
+    host = lambda u: u.split("//")[1].split("/")[0].lower()
+    weight = Counter()
+    for _, url, html in pages:
+        for x in re.findall(r"""href="?(?:https?:)?//([^/?#"'\s<>]+)""", html or ""):
+            weight[host(url), x.lower()] += 1
+    for a, b in (("x.good.org", "good.org"), ("a.b.c.net", "b.c.net")):
+        if a.count(".") >= 3 or b.count(".") >= 2:
+            weight[a, b] += 1
+            weight[b, a] += 1
+    weight = Counter({(a, b): n for (a, b), n in weight.items() if a != b})
+
+    def ranks(edges, seeds):
+        out = Counter()
+        for (a, _), n in edges.items():
+            out[a] += n
+        now = dict(seeds)
+        for _ in range(300):
+            nxt = Counter({h: 0.15 * s for h, s in seeds.items()})
+            for (a, b), n in edges.items():
+                nxt[b] += 0.85 * now.get(a, 0) * n / out[a]
+            now = nxt
+        return now
+
+    trust = ranks(weight, {"good.org": 0.5, "x.good.org": 0.5})
+    distrust = ranks({(b, a): n for (a, b), n in weight.items()}, {"bad.com": 1.0})
+    for h, (t, d) in got.items():
+        assert math.isclose(t, trust.get(h, 0), abs_tol=1e-8) and math.isclose(d, distrust.get(h, 0), abs_tol=1e-8)
+    assert got["h20.net"][0] > 0 and got["h0.net"][1] > 0
+
+
 def test_op3_base_counts(docs, result):
     rows = {r["doc_id"]: r for r in result("op3_quality_rules")}
     for d, text in docs:
