@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from quirework.functions import text as T
+
 
 @F.pandas_udf(DoubleType())
 def matching_ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -18,20 +20,44 @@ def matching_ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[p
         yield pd.Series([SequenceMatcher(None, x, y).ratio() if x and y else 0.0 for x, y in zip(a, b)])
 
 
-def title_score(key: Column, candidate: Column) -> Column:
-    """How well a block's key fits a title's: equal 1, containment by the surplus, else the matching ratio."""
-    extra = (F.length(candidate) - F.length(key)).cast("double")
-    held = 1 - F.least(F.lit(0.35), extra / F.greatest(F.length(key), F.lit(1)) * 0.12)
+#: Titles of one family match as a whole only; the numbers that end a line of an index.
+EXACT_FAMILY = "الصلاة "
+INDEX_SUFFIX = r"\s+[0-9٠-٩]+(?:\.[0-9٠-٩]+)+\s*$"
+
+
+def title_score(title: Column, text: Column, index_suffix: str = INDEX_SUFFIX) -> Column:
+    """How well a block's text fits a title, 0 to 1.
+
+    By their keys: containment loses by the surplus, being contained gives 0.88, else the matching ratio counts. Texts that
+    are or begin with the title count as such; leading dots and index numbers cost, similar lengths gain. Short titles
+    within longer texts, and near misses of the family whose titles all resemble each other, count for nothing.
+    """
+    title_key, key, bare, wanted = T.match_key(title), T.match_key(text), T.strip(text), T.strip(title)
+    n, m = F.length(title_key), F.length(key)
+    begins, numbered = bare.startswith(wanted), bare.rlike(index_suffix)
+    held = 1 - F.least(F.lit(0.35), (m - n) / F.greatest(n, F.lit(1)) * 0.12)
+    inside, around = F.contains(key, title_key), F.contains(title_key, key) & (m >= 8)
+    base = F.when(inside, held).when(around, 0.88).otherwise(matching_ratio(title_key, key))
+    named = F.when(bare == wanted, 1.0).when(begins & ~numbered, F.greatest(base, F.lit(0.99))).otherwise(base)
+    moved = named - F.when(bare.startswith("."), 0.35).otherwise(0.0) - F.when(numbered, 0.55).otherwise(0.0) + F.when(m <= n + 8, 0.08).otherwise(0.0)
     return (
-        F.when((key == "") | (candidate == ""), 0.0)
-        .when(key == candidate, 1.0)
-        .when(candidate.startswith(key), F.greatest(held, F.lit(0.9)))
-        .when(F.contains(candidate, key), held)
-        .when(F.contains(key, candidate), 0.88)
-        .otherwise(matching_ratio(key, candidate))
+        F.when((title_key == "") | (key == ""), 0.0)
+        .when(wanted.startswith(EXACT_FAMILY), F.when(bare == wanted, 1.0).when(begins & ~numbered, 0.99).otherwise(0.0))
+        .when((n <= 14) & inside & (m > n + 6), 0.0)
+        .otherwise(F.greatest(F.lit(0.0), F.least(moved, F.lit(1.0))))
     )
 
 
+def inline_title(texts: DataFrame, titles: DataFrame, page: str = "page") -> DataFrame:
+    """``texts`` (page, block_no, text) with the longest title (page, toc_index, title) of their page that they hold: at
+    their beginning, or anywhere for the family that matches as a whole. (page, block_no, toc_index, start, end)"""
+    met = texts.join(titles.withColumn("title", T.strip(F.col("title"))).where("title <> ''"), page)
+    start = F.instr(F.col("text"), F.col("title")) - 1
+    found = met.withColumn("start", start).where((F.col("start") == 0) | ((F.col("start") > 0) & F.col("title").startswith(EXACT_FAMILY)))
+    best = found.groupBy(page, "block_no").agg(F.max(F.struct(F.length("title").alias("n"), (-F.col("toc_index")).alias("first"), "start")).alias("b"))
+    return best.select(page, "block_no", (-F.col("b.first")).alias("toc_index"), "b.start", (F.col("b.start") + F.col("b.n")).alias("end"))
+
+
 def assign_titles(scored: DataFrame, least: float = 0.62) -> DataFrame:
     """Greedy assignment per page (page, toc_index, block_no, score): in title order, each takes its best unused block.
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirework.functions import text as T
@@ -107,11 +109,9 @@ def merged_passes(passes: DataFrame, key: str) -> DataFrame:
 def chunks(rows: DataFrame, key: str, text: str, limit: int = 1000) -> DataFrame:
     """(key, chunk_no, start, chunk): texts cut at blanks into pieces of ``limit`` characters at most (longer words are cut)."""
     pieces = F.regexp_extract_all(F.col(text), F.lit(f"(?s)(.{{1,{limit - 1}}}(?:{T.SPACE}|$)|.{{1,{limit}}})"), 1)
-    cut = rows.select(key, F.posexplode(F.transform(F.sequence(F.lit(1), F.size(pieces)), lambda i: F.struct(
-        F.coalesce(F.aggregate(F.slice(pieces, F.lit(1), i - 1), F.lit(0), lambda a, p: a + F.length(p)), F.lit(0)).alias("start"),
-        F.get(pieces, i - 1).alias("chunk"),
-    ))).alias("chunk_no", "c"), F.size(pieces).alias("_n"))
-    return cut.where("_n > 0").select(key, "chunk_no", "c.start", "c.chunk")
+    cut = rows.select(key, F.posexplode(pieces).alias("chunk_no", "chunk"))
+    before = Window.partitionBy(key).orderBy("chunk_no").rowsBetween(Window.unboundedPreceding, -1)
+    return cut.withColumn("start", F.coalesce(F.sum(F.length("chunk")).over(before), F.lit(0))).select(key, "chunk_no", "start", "chunk")
 
 
 def grounded(docs: DataFrame, quotes: DataFrame, doc_key: str = "doc_id", quote_key: str = "item_id", text: str = "text") -> DataFrame:
@@ -125,20 +125,23 @@ def grounded(docs: DataFrame, quotes: DataFrame, doc_key: str = "doc_id", quote_
     blanks = r"\s+"
     words = F.split(F.col(text), blanks)
     keyed = quotes.where(F.col(text).rlike(r"\S")).select(quote_key, F.col(text).alias("_quote"), F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0))).alias("_inner"))
-    keyed = keyed.select(quote_key, "_quote", F.array_join(F.slice("_inner", 1, lead), " ").alias("_lead"), F.least(F.size("_inner"), F.lit(lead)).alias("_size"))
+    keyed = keyed.select(quote_key, "_quote", F.xxhash64(F.slice("_inner", 1, lead)).alias("_lead"), F.least(F.size("_inner"), F.lit(lead)).alias("_size"))
     sizes = sorted(r["_size"] for r in keyed.select("_size").distinct().collect() if r["_size"])
 
     def windows(n: int) -> Column:
         at = F.sequence(F.lit(1), F.greatest(F.size("_ws") - n + 1, F.lit(1)))
-        return F.transform(at, lambda i: F.array_join(F.slice("_ws", i, n), " "))
+        return F.transform(at, lambda i: F.xxhash64(F.slice("_ws", i, n)))
 
     grams = [windows(n) for n in sizes]
-    bare = docs.select(doc_key).crossJoin(keyed.where("_size = 0").select(quote_key, "_quote"))
-    pairs = bare
+    met = []
     if grams:
         probes = docs.select(doc_key, F.split(F.col(text), blanks).alias("_ws")).select(doc_key, F.explode(F.array_distinct(F.concat(*grams))).alias("_lead"))
-        pairs = probes.join(keyed.where("_size > 0"), "_lead").select(doc_key, quote_key, "_quote").unionByName(bare)
-    pairs = pairs.distinct()
+        met.append(probes.join(keyed.where("_size > 0"), "_lead").select(doc_key, quote_key, "_quote").distinct())
+    short = keyed.where("_size = 0").select(quote_key, "_quote")
+    if not met or not short.isEmpty():  # a stated set of short quotes, searched in every text
+        held = docs.join(short.select("_quote").distinct(), F.contains(F.col(text), F.col("_quote")))
+        met.append(held.select(doc_key, "_quote").join(short, "_quote").select(doc_key, quote_key, "_quote"))
+    pairs = reduce(DataFrame.unionByName, met)
     found = pairs.join(docs.select(doc_key, F.col(text).alias("_text")), doc_key)
     start = F.instr(F.col("_text"), F.col("_quote"))
     return found.where(start > 0).select(doc_key, quote_key, (start - 1).cast("long").alias("start"), (start - 1 + F.length("_quote")).cast("long").alias("end"))

@@ -28,42 +28,46 @@ def passage_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence.segments(lines, "doc_id", "line_no", "line", "^([A-Z][a-z]*)[^.]*[.]$", "^#{1,6} ").select("doc_id", "segment_id", F.sha1("text").alias("digest"))
 
 
-_HEADINGS = "(1,1,1,'A'),(1,2,2,'B'),(1,3,3,'C'),(1,4,1,'D'),(2,1,1,'A'),(2,2,3,'B'),(2,3,3,'C'),(2,4,2,'E')"
+_LEVEL = "CASE role WHEN 'system' THEN 1 WHEN 'user' THEN 2 ELSE 3 + turn % 2 END"
 
 
 @register(
     "section_paths",
     f"""
-    WITH RECURSIVE h(work, n, level, title) AS (VALUES {_HEADINGS}),
-    p AS (SELECT work, n, [title] AS path FROM h WHERE n = 1 UNION ALL
-      SELECT h.work, h.n, list_append(p.path[1:h.level - 1], h.title) FROM p JOIN h ON h.work = p.work AND h.n = p.n + 1)
-    SELECT work::BIGINT AS work, n::BIGINT AS n, array_to_string(path, ' > ') AS section_path FROM p
+    WITH RECURSIVE h AS (SELECT conv_id, turn, {_LEVEL} AS level, substring(text, 1, 12) AS title, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations),
+    p AS (SELECT conv_id, turn, n, [title] AS path FROM h WHERE n = 1 UNION ALL
+      SELECT h.conv_id, h.turn, h.n, list_append(p.path[1:h.level - 1], h.title) FROM p JOIN h ON h.conv_id = p.conv_id AND h.n = p.n + 1)
+    SELECT conv_id, turn, array_to_string(path, ' > ') AS section_path FROM p
     """,
 )
 def section_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Heading stack over a fixture with skipped levels."""
-    rows = spark.sql(f"SELECT cast(work AS bigint) work, cast(n AS bigint) n, level, title FROM VALUES {_HEADINGS} AS h(work, n, level, title)")
-    return sequence.section_paths(rows, "work", "n", "level", "title").select("work", "n", F.array_join("section_path", " > ").alias("section_path"))
+    """Heading stack of every conversation, its turns being headings by role; levels skip."""
+    rows = table(spark, sf_dir, "conversations").selectExpr("conv_id", "turn", f"cast({_LEVEL} AS int) AS level", "substring(text, 1, 12) AS title")
+    return sequence.section_paths(rows, "conv_id", "turn", "level", "title").select("conv_id", "turn", F.array_join("section_path", " > ").alias("section_path"))
 
 
-_SPANS = "(1,0,10),(1,5,12),(1,10,15),(1,14,20),(2,3,4),(2,3,9),(2,4,6),(3,0,1)"
+_OVERLAPPING = ("[0-9]{2,}[^ ]*", "[^ ]*[0-9]{3,}", "[A-Z]{2,}[^a-z]*")
+_OFFSETS = """SELECT doc_id, {k} AS k, list_sum(list_transform(b[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(w[1:i - 1], lambda x: length(x))), 0) AS a, length(w[i]) AS n
+  FROM (SELECT doc_id, w, b, unnest(range(1, len(w) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(text, '{p}') AS w, string_split_regex(text, '{p}') AS b FROM documents WHERE regexp_matches(text, '{p}')))"""
 
 
 @register(
     "non_overlap_spans",
     f"""
-    WITH RECURSIVE s(id, a, b) AS (VALUES {_SPANS}), o AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY a, b) AS rn FROM s),
+    WITH RECURSIVE s AS (SELECT DISTINCT doc_id AS id, a, a + n AS b FROM ({' UNION ALL '.join(_OFFSETS.format(k=k, p=p) for k, p in enumerate(_OVERLAPPING))})),
+    o AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY a, b) AS rn FROM s),
     k AS (SELECT id, a, b, rn, b AS cursor, true AS kept FROM o WHERE rn = 1 UNION ALL
       SELECT o.id, o.a, o.b, o.rn, CASE WHEN o.a >= k.cursor THEN o.b ELSE k.cursor END, o.a >= k.cursor FROM k JOIN o ON o.id = k.id AND o.rn = k.rn + 1)
-    SELECT id::BIGINT AS id, a::BIGINT AS span_start, b::BIGINT AS span_end FROM k WHERE kept
+    SELECT id AS doc_id, a::BIGINT AS span_start, b::BIGINT AS span_end FROM k WHERE kept
     """,
 )
 def non_overlap_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Greedy sweep over spans: each is kept if it begins where the last one ended, or later."""
-    rows = spark.sql(f"SELECT cast(id AS bigint) id, a, b FROM VALUES {_SPANS} AS s(id, a, b)")
-    each = rows.groupBy("id").agg(F.collect_list(F.struct(F.col("a").alias("start"), F.col("b").alias("end"))).alias("s"))
-    kept = each.select("id", F.explode(spans.non_overlapping(F.col("s"))).alias("k"))
-    return kept.select("id", F.col("k.start").cast("long").alias("span_start"), F.col("k.end").cast("long").alias("span_end"))
+    """Spans of three patterns in every text, swept: each is kept if it begins where the last one ended, or later."""
+    docs = table(spark, sf_dir, "documents").where("text is not null")
+    found = F.concat(*(spans.spans_of(F.col("text"), p, "any") for p in _OVERLAPPING))
+    each = docs.select("doc_id", F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("s")).where(F.size("s") > 0)
+    kept = each.select("doc_id", F.explode(spans.non_overlapping(F.array_distinct("s"))).alias("k"))
+    return kept.select("doc_id", F.col("k.start").cast("long").alias("span_start"), F.col("k.end").cast("long").alias("span_end"))
 
 
 @register(
@@ -97,19 +101,16 @@ def span_grounding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "text_chunks",
-    """
-    SELECT doc_id, length(text)::BIGINT AS n_chars, true AS whole FROM documents WHERE length(text) > 0
+    f"""
+    WITH c AS (SELECT doc_id, regexp_extract_all(text, '(?s)(.{{1,399}}(?:{T.SPACE}|$)|.{{1,400}})') AS p FROM documents WHERE text IS NOT NULL),
+    e AS (SELECT doc_id, p, unnest(range(1, len(p) + 1)) AS i FROM c)
+    SELECT doc_id, (i - 1)::BIGINT AS chunk_no, coalesce(list_sum(list_transform(p[1:i - 1], lambda x: length(x))), 0)::BIGINT AS start, sha1(p[i]) AS digest FROM e
     """,
 )
 def text_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunks of 400 characters at most, put together again: they hold each text whole, in order."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    cut = spans.chunks(docs, "doc_id", "text", 400)
-    again = cut.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("chunk_no", "start", "chunk"))).alias("c"))
-    joined = again.join(docs, "doc_id")
-    text = F.array_join(F.transform("c", lambda x: x["chunk"]), "")
-    fits = F.forall("c", lambda x: (F.length(x["chunk"]) <= 400) & (F.substring("text", x["start"] + 1, F.length(x["chunk"])) == x["chunk"]))
-    return joined.select("doc_id", F.length(text).cast("long").alias("n_chars"), (fits & (text == F.col("text"))).alias("whole"))
+    """Chunks of 400 characters at most, cut at blanks, with their place."""
+    cut = spans.chunks(table(spark, sf_dir, "documents").select("doc_id", "text").where("text is not null"), "doc_id", "text", 400)
+    return cut.select("doc_id", F.col("chunk_no").cast("long").alias("chunk_no"), F.col("start").cast("long").alias("start"), F.sha1("chunk").alias("digest"))
 
 
 @register(
@@ -186,14 +187,21 @@ def translation_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return editions.translation_findings(answers, passages).groupBy("code").agg(F.count("*").alias("n"))
 
 
+def heading_blocks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(titles, blocks) of all pages: the headings, and all blocks, headings among them altered by their page's id."""
+    blocks = page_blocks(table(spark, sf_dir, "pages")).withColumnRenamed("page_id", "page")
+    titles = blocks.where("tag = 'h1'").select("page", F.col("block_no").alias("toc_index"), F.col("text").alias("title"))
+    k, text = F.col("page") % 5, F.col("text")
+    altered = F.when(k == 1, F.concat(F.lit(". "), text)).when(k == 2, F.concat(text, F.lit(" 1.2"))).when(k == 3, F.concat(F.lit("On "), text)).when(k == 4, F.regexp_replace(text, "a", "o")).otherwise(text)
+    return titles, blocks.select("page", "block_no", F.when(F.col("tag") == "h1", altered).otherwise(text).alias("text"))
+
+
 @register("page_headings")
 def page_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Headings of pages matched with the blocks that resemble them, greedily and by page (no SQL: alignment ratio)."""
-    blocks = page_blocks(table(spark, sf_dir, "pages")).withColumn("key", T.match_key(F.col("text")))
-    titles = blocks.where("tag = 'h1'").select(F.col("page_id").alias("page"), F.col("block_no").alias("toc_index"), F.col("key").alias("title"))
-    others = blocks.where("tag <> 'h1'").select(F.col("page_id").alias("page"), "block_no", "key")
-    scored = titles.join(others, "page").withColumn("score", fuzzy.title_score(F.col("title"), F.col("key")))
-    return fuzzy.assign_titles(scored.select("page", "toc_index", "block_no", "score"), least=0.3)
+    """Titles of pages matched with the blocks that resemble them, greedily and by page (no SQL: alignment ratio)."""
+    titles, blocks = heading_blocks(spark, sf_dir)
+    scored = titles.join(blocks, "page").withColumn("score", fuzzy.title_score(F.col("title"), F.col("text")))
+    return fuzzy.assign_titles(scored.select("page", "toc_index", "block_no", "score"))
 
 
 @register("fuzzy_grounding")

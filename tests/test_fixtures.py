@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import re
+from difflib import SequenceMatcher
 
 import pytest
 from pyspark.sql import Window
@@ -10,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quirework.functions import text as T
-from quirework.operators import annotations, cleaning, editions, matching, quality, records, report, selection, sequence, source_spans
+from quirework.operators import annotations, cleaning, editions, fuzzy, matching, quality, records, report, selection, sequence, source_spans
+from quirework.plans import annotated
 from quirework.sources import readers
 
 
@@ -246,3 +249,43 @@ def test_selection(spark):
 def test_report_of_an_empty_corpus(spark):
     passages = spark.createDataFrame([], "work_id string, id string, sequence long, lang string, text string, review_status string, source_blocks array<struct<pdf_page:int,block_id:string,bbox:array<double>>>")
     assert report.report(report.passages_report(passages)).count() == 0
+
+
+def test_page_headings_equal_plain_scores(spark, small):
+    """Keys, scores and the greedy choice written plainly, on pages of ASCII text."""
+    titles, blocks = annotated.heading_blocks(spark, small)
+    held = {}
+    for r in blocks.collect():
+        held.setdefault(r["page"], []).append((r["block_no"], r["text"]))
+    key = lambda t: re.sub(r"[^\w]", "", t)
+
+    def score(title, text):
+        a, b = key(title), key(text)
+        if not a or not b or len(a) <= 14 and a in b and len(b) > len(a) + 6:
+            return 0.0
+        s = 1 - min(0.35, (len(b) - len(a)) / len(a) * 0.12) if a in b else 0.88 if b in a and len(b) >= 8 else SequenceMatcher(None, a, b).ratio()
+        numbered = bool(re.search(r"\s[0-9]+(\.[0-9]+)+\s*$", text.strip()))
+        if text.strip() == title.strip():
+            s = 1.0
+        elif text.strip().startswith(title.strip()) and not numbered:
+            s = max(s, 0.99)
+        return max(0.0, min(1.0, s - 0.35 * text.strip().startswith(".") - 0.55 * numbered + 0.08 * (len(b) <= len(a) + 8)))
+
+    want = {}
+    for r in titles.orderBy("page", "toc_index").collect():
+        used = {b for (p, _), (b, _) in want.items() if p == r["page"]}
+        scored = [(-score(r["title"], t), b) for b, t in held[r["page"]] if b not in used]
+        if scored and -min(scored)[0] >= 0.62:
+            want[r["page"], r["toc_index"]] = (min(scored)[1], -min(scored)[0])
+    got = {(r["page"], r["toc_index"]): (r["block_no"], r["score"]) for r in annotated.page_headings(spark, small).collect()}
+    assert got.keys() == want.keys() and len(got) > 10
+    assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-9 for k in got)
+
+
+def test_titles_of_the_exact_family_and_inline(spark):
+    score = fuzzy.title_score(F.col("a"), F.col("b"))
+    assert [value(spark, score, a="الصلاة الأولى", b=b) for b in ("الصلاة الأولى", "الصلاة الأولى وشرحها", "الصلاة الثانية", "الصلاة الأولى ١.٢")] == [1.0, 0.99, 0.0, 0.0]
+    texts = spark.createDataFrame([(1, 1, "Intro here"), (1, 2, "see الصلاة الأولى now"), (1, 3, "an Intro")], "page int, block_no int, text string")
+    titles = spark.createDataFrame([(1, 1, "Intro"), (1, 2, "Intro here"), (1, 3, "الصلاة الأولى")], "page int, toc_index int, title string")
+    got = {r["block_no"]: (r["toc_index"], r["start"], r["end"]) for r in fuzzy.inline_title(texts, titles).collect()}
+    assert got == {1: (2, 0, 10), 2: (3, 4, 17)}
