@@ -471,9 +471,13 @@ AWKWARD = [(1, "a b c d e f", "en", "s", 11, 7), (1, "a b c d e f", "en", "s", 1
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, label int"
 
 
+#: Names that the operators use inside, as columns of the input.
+CLASHING = "node token size place set at_row h key rank hashes levels good fold base terms entities doc_hash line_no draw copies target held_out score n_words part own context _id _hash _base".split()
+
+
 @pytest.mark.parametrize("rows", [AWKWARD, []], ids=["awkward", "empty"])
-def test_awkward_and_empty_tables(spark, rows):
-    documents = spark.createDataFrame(rows, SCHEMA)
+def test_awkward_and_empty_tables(spark, rows, tmp_path):
+    documents = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit(c) for c in CLASHING})
     labels = spark.createDataFrame([(1, 1, 0), (4, 0, 1), (None, 1, 1), (9, None, None)][: len(rows)], "doc_id long, quality int, toxic int")
     items = spark.createDataFrame([(1, "a b c d e f"), (2, None), (3, "")][: len(rows)], "item_id long, text string")
     n = len(rows)
@@ -482,6 +486,11 @@ def test_awkward_and_empty_tables(spark, rows):
     assert jaccard_components(documents).count() == n
     assert toxicity_scores(documents, labels).count() == n
     assert personal_spans(documents).count() == n
+    assert class_lm.class_scores(documents).count() == n
+    scored = perplexity_filter(documents, labels).collect()
+    assert len(scored) == n and sum(r["perplexity"] is None for r in scored) == sum(not words(x[1]) for x in rows)
+    pages = documents.selectExpr("doc_id AS page_id", "concat('http://a.net/', text) AS url", "text AS html", "node", "rank", "`set`")
+    assert link_verdicts(pages).count() == n
     assert containment_pairs(documents, items).count() == (1 if n else 0)
     kept = decontaminate(documents, items)
     assert kept.columns == documents.columns and kept.count() == max(0, n - 2)
@@ -490,3 +499,25 @@ def test_awkward_and_empty_tables(spark, rows):
     assert once.columns == documents.columns and once.count() == max(0, n - 1)
     lines = dedup_documents(documents)
     assert lines.columns == documents.columns and lines.count() == n
+    clean = sanitise(documents)
+    assert clean.columns == documents.columns and clean.count() == n
+    for name, table in (("documents", documents.drop(*CLASHING)), ("labels", labels), ("benchmark", items)):
+        table.write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() <= n
+
+
+def test_ties_are_settled_alike_in_every_order(spark):
+    rows = [(k, "one two three four five six seven", "en", "s") for k in range(6)] + [(10 + k, f"one two three four five six x{k}", "en", "s") for k in range(6)]
+    schema = "doc_id long, text string, lang string, source string"
+    a, b = (spark.createDataFrame(x, schema).repartition(k) for x, k in ((rows, 1), (rows[::-1], 3)))
+    same = lambda f: [sorted(map(repr, f(x).collect())) for x in (a, b)]
+    for f in (
+        lambda d: pareto_mix(d).select("doc_id", "copies"),
+        lambda d: jaccard_components(d, n=3, percent=50),
+        lambda d: removed_lines(d).select("doc_id", "line_no", "exact"),
+        lambda d: class_lm.class_scores(d).selectExpr("doc_id", "round(score, 6)"),
+        lambda d: personal_spans(d).select("doc_id", "terms"),
+    ):
+        first, second = same(f)
+        assert first == second and first
+    assert {r["doc_id"] for r in removed_lines(a).where("exact").collect()} == {1, 2, 3, 4, 5}
