@@ -69,9 +69,13 @@ def match_key(text: Column) -> Column:
 
 
 def truncate(text: Column, limit: int, suffix: str = "…") -> Column:
-    """Normalized text of ``limit`` characters at most before the suffix takes the last one's place."""
-    flat = normalize_space(text)
-    return F.when(F.length(flat) <= limit, flat).otherwise(F.concat(F.rtrim(F.substring(flat, 1, limit - 1)), F.lit(suffix)))
+    """Normalized text of ``limit`` characters at most before the suffix takes the last one's place.
+
+    Mostly the beginning of a text is enough to tell; the whole is normalized only where it is not.
+    """
+    flat, head = normalize_space(text), normalize_space(F.substring(text, 1, 8 * limit))
+    cut = lambda x: F.concat(F.rtrim(F.substring(x, 1, limit - 1)), F.lit(suffix))
+    return F.when(F.length(head) > limit, cut(head)).when(F.length(flat) <= limit, flat).otherwise(cut(flat))
 
 
 def replace_stars(text: Column) -> tuple[Column, Column]:

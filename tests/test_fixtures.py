@@ -289,3 +289,27 @@ def test_titles_of_the_exact_family_and_inline(spark):
     titles = spark.createDataFrame([(1, 1, "Intro"), (1, 2, "Intro here"), (1, 3, "الصلاة الأولى")], "page int, toc_index int, title string")
     got = {r["block_no"]: (r["toc_index"], r["start"], r["end"]) for r in fuzzy.inline_title(texts, titles).collect()}
     assert got == {1: (2, 0, 10), 2: (3, 4, 17)}
+
+
+def test_fuzzy_grounding_holds_what_it_promises(spark, small):
+    """Every turn has a row; exact places hold the quote, fuzzy ones three quarters of its words in order, and dense."""
+    turns = {(r["conv_id"], r["turn"]): r["text"] for r in spark.read.parquet(f"{small}/conversations.parquet").collect()}
+    rows = annotated.fuzzy_grounding(spark, small).collect()
+    assert {(r["conv_id"], r["turn"]) for r in rows} == set(turns)
+    seen = set()
+    for r in rows:
+        text = turns[r["conv_id"], r["turn"]] or ""
+        quote = re.sub(r"^([^ ]+) [^ ]+", r"\1 changed", re.match(r"[^.]*", text)[0])
+        seen.add(r["status"])
+        if r["status"] == "exact":
+            assert quote and text[r["start"] : r["end"]] == quote
+        elif r["status"] == "fuzzy":
+            place, words = text[r["start"] : r["end"]].lower().split(), quote.lower().split()
+            common = [[0] * (len(words) + 1) for _ in range(len(place) + 1)]
+            for i, a in enumerate(place):
+                for j, b in enumerate(words):
+                    common[i + 1][j + 1] = common[i][j] + 1 if a == b else max(common[i][j + 1], common[i + 1][j])
+            assert common[-1][-1] >= 0.75 * len(words) and 3 * len(words) >= len(place)
+        else:
+            assert quote not in text or not quote
+    assert {"fuzzy", "none"} <= seen
