@@ -169,7 +169,7 @@ def _neighbours(sent, clustered):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, wanted = sent.value, clustered.value
         size = classes.size
-        for batch in slices(batches, limit=16 << 20):
+        for batch in slices(batches, limit=4 << 20):
             w = tokens.words(batch.column("text"))
             ids = classes.of(w)
             at = np.arange(len(ids)) + w.row

@@ -73,7 +73,7 @@ def crc_remainder(id_col: Column, modulus: int) -> Column:
     return F.crc32(id_col.cast("string").cast("binary")) % modulus
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that the text in each holds about ``limit`` bytes (one row at least)."""
     for batch in batches:
         if not batch.num_rows:
