@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quirework.operators.sequence import placed
 from quirework.operators.source_spans import QUOTE_PHRASES
 
 #: Signals that make a passage a candidate for enrichment, with the reason.
@@ -82,16 +83,15 @@ def candidate_reason(text: Column, role: Column, section: Column) -> Column:
 
 def candidates(rows: DataFrame, reason: Column, order: str, limit: int, offset: int = 0) -> DataFrame:
     """``limit`` rows from ``offset`` on, with their reason: those with one in order, then every n-th of all rows that is
-    not among them. At most ``limit + offset`` rows of either kind are ever held."""
+    not among them. Order is by a number. At most ``limit + offset`` rows of either kind are ever held."""
     need = limit + offset
     first = rows.withColumn("reason", reason).where("reason is not null").orderBy(order).limit(need)
     first = first.withColumn("_rank", F.row_number().over(Window.orderBy(order)))
     total = rows.agg(F.count("*")).scalar()
     step = F.greatest(F.floor(total / F.lit(max(need, 1))), F.lit(1))
-    # positions of every step-th row: rank within the order, counted by the number of earlier rows
-    placed = rows.withColumn("_place", F.row_number().over(Window.orderBy(order)) - 1).where(F.col("_place") % step == 0)
-    spread = placed.join(first.select(order), order, "left_anti").orderBy(order).limit(need)
-    spread = spread.withColumn("reason", F.lit("sequence spread sample")).withColumn("_rank", F.row_number().over(Window.orderBy(order)) + need).drop("_place")
+    every = placed(rows, order).where(F.col("place") % step == 0).select(order)
+    spread = every.join(first.select(order), order, "left_anti").orderBy(order).limit(need).join(rows, order)
+    spread = spread.withColumn("reason", F.lit("sequence spread sample")).withColumn("_rank", F.row_number().over(Window.orderBy(order)) + need).select(*first.columns)
     return first.unionByName(spread).orderBy("_rank").limit(need).orderBy("_rank").offset(offset).drop("_rank")
 
 

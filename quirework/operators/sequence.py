@@ -111,3 +111,38 @@ def spread_sample(rows: DataFrame, order: str, limit: int) -> DataFrame:
     low, high = rows.agg(F.min(order).alias("v")).scalar(), rows.agg(F.max(order).alias("v")).scalar()
     cell = F.floor((F.col(order) - low) * limit / (high - low + 1))
     return keep_first(rows.withColumn("_cell", cell), ["_cell"], order).drop("_cell")
+
+
+#: What opens a passage, and how far a block stands from the one before or from the margin.
+PASSAGE_OPENERS = ["(فائدة", ")فائدة", "فائدة", "(أما بعد", ")أما بعد", "قال ", "وفي "]
+GAP, INDENT = 18, 150
+
+
+def new_passage(text: Column, y0: Column, previous_y1: Column, previous_x0: Column) -> Column:
+    """Whether a block opens a passage: none before it, a gap above it, an indented block before it, or an opener."""
+    opener = F.coalesce(*(F.when(text.startswith(o), True) for o in PASSAGE_OPENERS), F.lit(False))
+    return previous_x0.isNull() | F.coalesce(y0 - previous_y1 > GAP, F.lit(False)) | (previous_x0 > INDENT) | opener
+
+
+def placed(rows: DataFrame, order: str, name: str = "place") -> DataFrame:
+    """(order, place): the position of every number in ascending order, from 0; equal numbers have positions of their own.
+
+    Numbers are counted by ranges of 2**16 first, so each is placed within its range and no task sorts them all.
+    """
+    cells = rows.where(F.col(order).isNotNull()).select(order, F.floor(F.col(order) / (1 << 16)).alias("_cell"))
+    sizes = cells.groupBy("_cell").agg(F.count("*").alias("_n"))
+    before = sizes.withColumn("_from", F.coalesce(F.sum("_n").over(Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    within = F.row_number().over(Window.partitionBy("_cell").orderBy(order)) - 1
+    return cells.withColumn("_at", within).join(before, "_cell").select(order, (F.col("_from") + F.col("_at")).alias(name))
+
+
+def spread_fill(rows: DataFrame, chosen: DataFrame, order: str, limit: int) -> DataFrame:
+    """``chosen`` numbers and, until there are ``limit``, every n-th row's number that is not among them: n is the number of
+    rows over one more than what is missing, and the first n-th row is not the first row."""
+    have = chosen.select(order).distinct()
+    missing = limit - have.count()
+    if missing <= 0:
+        return have
+    step = max(rows.count() // (missing + 1), 1)
+    more = placed(rows, order).where((F.col("place") > 0) & (F.col("place") % step == 0)).select(order)
+    return have.unionByName(more.join(have, order, "left_anti").orderBy(order).limit(missing))

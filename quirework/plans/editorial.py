@@ -126,7 +126,7 @@ def enrichment_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fifty passages worth enriching after the first ten, filled up by an even spread."""
     rows = table(spark, sf_dir, "documents").select("doc_id", "text")
     role = F.when(F.col("doc_id") % 40 == 0, "matn").otherwise("body")
-    text = F.when((F.length("text") > 2500) & (F.col("doc_id") % 4 != 0), F.regexp_replace(F.substring("text", 1, 0), "", "")).otherwise(F.col("text"))
+    text = F.when((F.length("text") > 2500) & (F.col("doc_id") % 4 != 0), "").otherwise(F.col("text"))
     seen = F.when(F.contains("text", F.lit("} ")), F.lit("} ")).otherwise(text)
     return selection.candidates(rows, selection.candidate_reason(seen, role, F.lit("")), "doc_id", 50, 10).select("doc_id", "reason")
 

@@ -313,3 +313,25 @@ def test_fuzzy_grounding_holds_what_it_promises(spark, small):
         else:
             assert quote not in text or not quote
     assert {"fuzzy", "none"} <= seen
+
+
+def test_new_passages_by_gap_and_indent(spark):
+    opens = sequence.new_passage(F.col("t"), F.col("y0"), F.col("y1"), F.col("x0"))
+    row = lambda t, y0, y1, x0: spark.createDataFrame([(t, y0, y1, x0)], "t string, y0 double, y1 double, x0 double").select(opens.alias("v")).first()["v"]
+    assert [row("a", 118.0, 100.0, 10.0), row("a", 118.1, 100.0, 10.0)] == [False, True]
+    assert [row("a", 101.0, 100.0, 150.0), row("a", 101.0, 100.0, 150.1)] == [False, True]
+    assert row("قال x", 101.0, 100.0, 10.0) and row("a", None, None, None) and not row("a", 20.0, 700.0, 10.0)
+
+
+def test_places_and_even_filling(spark):
+    rows = spark.createDataFrame([(x,) for x in (5, 70_000, 3, 200_000, 5, 70_001)], "n long")
+    assert sorted((r["n"], r["place"]) for r in sequence.placed(rows, "n").collect()) == [(3, 0), (5, 1), (5, 2), (70_000, 3), (70_001, 4), (200_000, 5)]
+    ten = spark.range(10).withColumnRenamed("id", "n")
+    # two are missing: every third row, the first not counted
+    assert sorted(r["n"] for r in sequence.spread_fill(ten, ten.where("n = 3"), "n", 3).collect()) == [3, 6, 9]
+    assert [r["n"] for r in sequence.spread_fill(ten, ten.where("n = 3"), "n", 1).collect()] == [3]
+
+
+def test_entities_in_a_text_without_spaces(spark):
+    rows = spark.createDataFrame([("東京都で山田が会社株式会社を", q) for q in ("東京都", "山田", "会社株式会社")], "text string, quote string")
+    assert [(r["start"], r["end"], r["status"]) for r in fuzzy.align(rows).collect()] == [(0, 3, "exact"), (4, 6, "exact"), (7, 13, "exact")]
