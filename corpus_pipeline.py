@@ -23,7 +23,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that repeat an earlier one, at five-word shingles and a similarity of 0.8, go from their texts."""
+    """Lines whose set of words is like an earlier line's, at a similarity of 0.8, go from their texts."""
     return dedup_documents(docs)
 
 
