@@ -1,8 +1,8 @@
 """Personal data: spans found by form, and terms that reveal them, by information-theoretic sanitisation.
 
 Spans by form are emails, IPv4 addresses, card numbers (13 to 19 digits that pass Luhn) and phone numbers (9 to 15
-digits). Protected entities are each found value, and each kind as a whole. The corpus then says how strongly a term t (a
-word outside the spans, of more than two letters or digits) reveals an entity e:
+digits). Protected entities are each found value, each kind as a whole, and personal data of any kind. The corpus then says
+how strongly a term t (a word outside the spans, of more than two letters or digits) reveals an entity e:
 
     PMI(t; e) = log2(N * df(t, e) / (df(t) * df(e))),  IC(e) = log2(N / df(e))
 
@@ -138,7 +138,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch.column("text").to_pylist():
             spans = form_spans(text)
             base = [f"{kind}:{a}:{b}" for kind, a, b in spans]
-            entities = sorted({kind for kind, _, _ in spans} | {f"{kind}:{_value(kind, text[a:b])}" for kind, a, b in spans})
+            entities = sorted({kind for kind, _, _ in spans} | {f"{kind}:{_value(kind, text[a:b])}" for kind, a, b in spans} | ({"any"} if spans else set()))
             counts = [sum(s[0] == kind for s in spans) for kind in KINDS]
             rows.append((counts, base, hashlib.sha256(",".join(base).encode()).hexdigest(), entities, _terms(text, spans) if spans else []))
         yield pa.RecordBatch.from_arrays(

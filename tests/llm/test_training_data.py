@@ -362,7 +362,7 @@ def telling(rows, support, disclosure):
         spans = form_spans(text or "")
         ws = [(bare(m[0]), *m.span()) for m in re.finditer(r"[^\x20\x09-\x0D]+", text or "")]
         free = [(i, w) for i, (w, a, b) in enumerate(ws) if len(w.encode()) > 2 and not any(x < b and a < y for _, x, y in spans)]
-        entities = {k for k, _, _ in spans} | {(k, re.sub(r"\D", "", text[a:b]) if k in ("card", "phone") else text[a:b].lower()) for k, a, b in spans}
+        entities = ({"any"} if spans else set()) | {k for k, _, _ in spans} | {(k, re.sub(r"\D", "", text[a:b]) if k in ("card", "phone") else text[a:b].lower()) for k, a, b in spans}
         held.append((entities, ws, free))
     n, df_t, df_e, joint, contexts = len(rows), Counter(), Counter(), Counter(), {}
     for entities, ws, free in held:
