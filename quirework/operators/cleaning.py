@@ -57,6 +57,15 @@ SUSPICIOUS = [
     ("bidi_control", T.BIDI),
     ("broken_initial_alef", r"ا[أإآ]ل"),
 ]
+#: What a line must show for any step to change it: most lines are read by this pattern only.
+_TOUCHED = "|".join(
+    [
+        T.BIDI,
+        "[\\x{A0}᧦ـ*،؛؟\\x{0610}-\\x{06ED}]",
+        r"\s{2,}|\s[:.!)）]|[\(（]\s|^\s|\s$|-\)|:\)",
+        "(?i:runtime|microsoft|subscript|/tafseer/)",
+    ]
+)
 #: Rules that a profile may add.
 PRINT_MARKERS, DROP_ERRORS = "fix_legacy_print_markers", "drop_runtime_error_lines"
 #: Counters that a report shows at 0 too; the others only where they are above.
@@ -85,12 +94,13 @@ def clean_lines(rows: DataFrame, line: str = "line", rules: tuple[str, ...] = (D
     mark = F.regexp_extract(F.col(line), _blanks(HEADING), 1)
     out = rows.withColumn("_mark", mark)
     out = out.withColumn("_text", F.when(F.col("_mark") != "", F.regexp_extract(F.col(line), _blanks(HEADING), 2)).otherwise(F.col(line)))
-    text, names = F.col("_text"), []
+    out = out.withColumn("_touched", F.col("_text").rlike(_blanks(_TOUCHED)))
+    text, touched, names = F.col("_text"), F.col("_touched"), []
 
     def step(counter: str, count: Column, new: Column) -> None:
         nonlocal out
         names.append((counter, f"_n{len(names)}"))
-        out = out.withColumns({names[-1][1]: count.cast("long"), "_text": new})
+        out = out.withColumns({names[-1][1]: F.when(touched, count.cast("long")).otherwise(0), "_text": F.when(touched, new).otherwise(text)})
 
     step("bidi_controls_removed", text.rlike(T.BIDI), F.regexp_replace(text, T.BIDI, ""))
     for counter, pattern, new in FIRST_STEPS:
@@ -101,7 +111,7 @@ def clean_lines(rows: DataFrame, line: str = "line", rules: tuple[str, ...] = (D
         step(counter, F.regexp_count(text, F.lit(_blanks(pattern))), F.regexp_replace(text, _blanks(pattern), new))
     for rule in rules:
         if rule == PRINT_MARKERS:
-            out = out.withColumn("_fixed", fix_print_markers(text))
+            out = out.withColumn("_fixed", F.when(touched, fix_print_markers(text)).otherwise(text))
             step(rule, text != F.col("_fixed"), F.col("_fixed"))
             out = out.drop("_fixed")
         elif rule == DROP_ERRORS:
