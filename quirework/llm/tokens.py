@@ -18,6 +18,10 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
+#: Separators where words are runs of ASCII letters, digits and all other characters from U+0080 on.
+PUNCTUATION = np.zeros(256, bool)
+PUNCTUATION[:128] = True
+PUNCTUATION[48:58] = PUNCTUATION[65:91] = PUNCTUATION[97:123] = False
 _U = np.uint64
 
 
@@ -78,9 +82,9 @@ class Words:
         return np.concatenate([[0], np.cumsum(self.counts)])
 
 
-def spans(text: Text) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def spans(text: Text, separators: np.ndarray = _BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(row, start, end, inside) of all words; inside marks the bytes that belong to words."""
-    inside = ~_BLANK[text.data]
+    inside = ~separators[text.data]
     n = len(inside)
     before = np.zeros(n, bool)
     if n:
@@ -136,14 +140,19 @@ def hashed(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return out
 
 
-def words(column: pa.Array, fold: bool = True) -> Words:
+def words(column: pa.Array, fold: bool = True, separators: np.ndarray = _BLANK) -> Words:
     """All words of a text column; ``fold`` lower-cases A-Z before hashing."""
     text = Text.of(column)
-    row, start, end, _ = spans(text)
+    row, start, end, _ = spans(text, separators)
     data = _FOLD[text.data] if fold else text.data
     return Words(text, hashed(data, start, end), row, start, end)
 
 
+def folded(data: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z lower-cased."""
+    return _FOLD[data]
+
+
 def hash_words(values: list[str], fold: bool = True) -> np.ndarray:
     """Hashes of single words, as ``words`` would give them."""
     return words(pa.array(values, pa.string()), fold).hash if values else np.zeros(0, np.uint64)
