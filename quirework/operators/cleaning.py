@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirework.functions import text as T
+from quirework.operators.sequence import first_k
 
 #: Headings; steps in order, as (counter, pattern, replacement); ``\s`` stands for every Unicode blank.
 HEADING = r"^(#{1,6})\s+(.+?)\s*$"
@@ -140,6 +141,7 @@ def suspicious(rows: DataFrame, work: str, line_no: str, line: str, limit: int |
     hits = F.array_compact(F.array(*(F.when(F.col(line).rlike(_blanks(p)), F.lit(name)) for name, p in SUSPICIOUS)))
     found = rows.select(work, line_no, F.substring(line, 1, 220).alias("text"), hits.alias("hits")).where(F.size("hits") > 0)
     if limit is not None:
+        found = first_k(found, [work], [line_no], max(limit, 1))  # each line has a hit, so no other line counts
         before = Window.partitionBy(work).orderBy(line_no).rowsBetween(Window.unboundedPreceding, -1)
         found = found.withColumn("_before", F.coalesce(F.sum(F.size("hits")).over(before), F.lit(0))).where(F.col("_before") < limit)
     return found.select(work, line_no, F.explode("hits").alias("pattern"), "text")

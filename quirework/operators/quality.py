@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quirework.functions import text as T
+from quirework.operators.sequence import first_k
 
 SEVERITIES = ("info", "warn", "fail")
 
@@ -69,6 +70,17 @@ def artifact_counts(rows: DataFrame, text: str, patterns: dict[str, str], *keys:
     return wide.unpivot(list(keys), list(patterns), "pattern", "hits").where("hits > 0")
 
 
+def artifact_samples(lines: DataFrame, work: str, line_no: str, line: str, patterns: dict[str, str], limit: int = 25) -> DataFrame:
+    """(work, line_no, pattern, text): the first ``limit`` hits of each work, by line and then by the patterns' order.
+
+    A line counts once for each pattern it shows; no task holds more of a work than the limit asks for.
+    """
+    hits = F.array_compact(F.array(*(F.when(F.col(line).rlike(p), F.struct(F.lit(k).alias("at"), F.lit(name).alias("pattern"))) for k, (name, p) in enumerate(patterns.items()))))
+    found = lines.select(work, line_no, F.explode(hits).alias("h"), F.col(line).alias("text")).select(work, line_no, "h.at", "h.pattern", "text")
+    first = first_k(found, [work], [line_no, "at"], limit)
+    return first.select(work, line_no, "pattern", T.truncate(F.col("text"), 180).alias("text"))
+
+
 def length_profile(rows: DataFrame, text: str, *keys: str) -> DataFrame:
     """Count, extremes, mean and nearest-rank percentiles of text lengths."""
     n = F.length(text)

@@ -106,6 +106,18 @@ def keep_first(rows: DataFrame, keys: list[str], *order: str) -> DataFrame:
     return best.select(*(F.col(f"_r.{c}").alias(c) for c in names))
 
 
+def first_k(rows: DataFrame, keys: list[str], order: list[str], k: int, fan: int = 64) -> DataFrame:
+    """The first ``k`` rows of each key by ``order``, which must tell a key's rows apart.
+
+    Rank filters are limits to Spark: each task passes on ``k`` rows of a key at most. A key's rows are ranked in ``fan``
+    parts first, so at any size one task gets ``fan * k`` rows of a key, never the whole key.
+    """
+    part = F.pmod(F.xxhash64(*order), F.lit(fan))
+    rank = lambda by: F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    some = rows.withColumn("_part", part).withColumn("_rank", rank([*keys, "_part"])).where(F.col("_rank") <= k)
+    return some.withColumn("_rank", rank(keys)).where(F.col("_rank") <= k).drop("_part", "_rank")
+
+
 def spread_sample(rows: DataFrame, order: str, limit: int) -> DataFrame:
     """About ``limit`` rows, evenly spaced over the ordered numbers: the first of each of ``limit`` equal ranges."""
     low, high = rows.agg(F.min(order).alias("v")).scalar(), rows.agg(F.max(order).alias("v")).scalar()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,3 +35,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """
     spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shared_path(spark: SparkSession, what: str) -> str:
+    """A new folder below the one that all executors share; only a single-JVM session may fall back to a local one."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found and (not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{found or 'file:///tmp/checkpoints'}/quirework/{what}-{uuid.uuid4().hex}"
