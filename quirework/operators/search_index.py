@@ -34,10 +34,11 @@ class SearchIndex:
     key: str
     text: str
     buckets: int
+    key_type: str
 
     def postings(self, terms: list[str] | None = None) -> DataFrame:
         """All postings, or those of some terms: by partition, then by the terms' ranges in the files."""
-        found = self.spark.read.parquet(f"{self.path}/postings")
+        found = self.spark.read.schema(f"term string, key {self.key_type}, n long, first int, bucket int").parquet(f"{self.path}/postings")
         if terms is None:
             return found
         wanted = self.spark.range(1).select(F.explode(F.array(*(term_bucket(F.lit(t), self.buckets) for t in terms))).alias("b"))
@@ -89,4 +90,4 @@ def write_index(rows: DataFrame, path: str, key: str, text: str, buckets: int =
     posted = posted.select(bucket, "term", "key", "n", "first")
     posted.repartitionByRange("bucket", "term", "key").sortWithinPartitions("bucket", "term", "key").write.partitionBy("bucket").parquet(f"{path}/postings")
     rows.repartitionByRange(key).sortWithinPartitions(key).write.parquet(f"{path}/rows")
-    return SearchIndex(spark, path, key, text, buckets)
+    return SearchIndex(spark, path, key, text, buckets, dict(rows.dtypes)[key])
