@@ -156,6 +156,22 @@ def _functions(auto: Automaton, kinds: np.ndarray, begin: np.ndarray, end: np.nd
     return row, start, length, fresh, state, units
 
 
+def _locate(auto: Automaton, kinds: np.ndarray, lanes: tuple, entry: np.ndarray, ranges: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """For some ranges, the byte after their ``wanted``-th unit, which must end within them; ``entry`` is each range's state.
+
+    The first lane that reaches the number holds the cut; all those lanes are read again together.
+    """
+    row, start, length, fresh, state, units = lanes
+    at = np.arange(len(row))
+    into, passed = state[at, entry[row]], units[at, entry[row]]
+    last = np.append(np.flatnonzero(fresh)[1:], len(row)) - 1
+    before = np.concatenate([[0], np.cumsum(passed[last])])
+    lane = np.searchsorted(passed + before[row], wanted + before[ranges])
+    first = fresh[lane]
+    state_there, units_there = np.where(first, entry[ranges], into[lane - 1]), np.where(first, 0, passed[lane - 1])
+    return start[lane] + walk(auto, kinds, start[lane], length[lane], state_there, wanted - units_there)
+
+
 def _characters(data: np.ndarray) -> np.ndarray:
     """Characters (code points) before each byte, and of all."""
     return np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
@@ -169,7 +185,8 @@ def _cut_short(auto: Automaton):
             text = Text.of(batch.column("text"))
             kinds, before = auto.kind[text.data], _characters(text.data)
             begin, end = text.offsets[:-1], text.offsets[1:]
-            row, start, length, fresh, state, units = _functions(auto, kinds, begin, end)
+            lanes = _functions(auto, kinds, begin, end)
+            row, _, _, fresh, state, units = lanes
             last = np.append(np.flatnonzero(fresh)[1:], len(row)) - 1
             ended, final = units[last, 0], state[last, 0]
             n = ended + auto.tail[final]
@@ -178,13 +195,7 @@ def _cut_short(auto: Automaton):
             for wanted in (np.minimum(*draws), np.maximum(*draws)):
                 at = np.where(wanted > ended, end, begin)
                 inside = np.flatnonzero((wanted > 0) & (wanted <= ended))
-                # lanes are sorted by (row, units so far): the first that reaches the wanted number holds the cut
-                total = np.concatenate([[0], np.cumsum(ended)])
-                lane = np.searchsorted(units[:, 0] + total[row], wanted[inside] + total[inside])
-                first = fresh[lane]
-                entry = np.where(first, 0, state[lane - 1, 0])
-                passed = np.where(first, 0, units[lane - 1, 0])
-                at[inside] = start[lane] + walk(auto, kinds, start[lane], length[lane], entry, wanted[inside] - passed)
+                at[inside] = _locate(auto, kinds, lanes, np.zeros(len(n), np.int64), inside, wanted[inside])
                 cuts.append(before[at] - before[begin])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text"), pa.array(n), pa.array(auto.marked[final]), *map(pa.array, cuts)],
@@ -267,17 +278,20 @@ def _cut_long(auto: Automaton, chunk: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            cuts = {"first": [], "second": []}
-            for k in range(batch.num_rows):
-                data = np.frombuffer(batch.column("text")[k].as_buffer(), np.uint8)
-                for name, out in cuts.items():
-                    cut = batch.column(name)[k].as_py()
-                    if cut["part"] >= 0:
-                        part = data[cut["part"] * chunk : (cut["part"] + 1) * chunk]
-                        whole = (np.array([x]) for x in (0, len(part), cut["state"], cut["left"]))
-                        read = int(walk(auto, auto.kind[part], *whole)[0])
-                        cut["chars"] += int(((part[:read] & 0xC0) != 0x80).sum())
-                    out.append(cut["chars"])
+            cuts = {}
+            for name in ("first", "second"):
+                part, entry, left, chars = (batch.column(name).field(k).to_numpy().copy() for k in range(4))
+                inside = np.flatnonzero(part >= 0)
+                held = [np.frombuffer(batch.column("text")[k].as_buffer(), np.uint8)[part[k] * chunk : (part[k] + 1) * chunk] for k in inside.tolist()]
+                if held:
+                    data = np.concatenate(held)
+                    ends = np.cumsum([len(x) for x in held])
+                    begin = ends - [len(x) for x in held]
+                    kinds, before = auto.kind[data], _characters(data)
+                    lanes = _functions(auto, kinds, begin, ends)
+                    found = _locate(auto, kinds, lanes, entry[inside], np.arange(len(inside)), left[inside])
+                    chars[inside] += before[found] - before[begin]
+                cuts[name] = chars
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("doc_id", "text", "n", "marked")), *(pa.array(x, pa.int64()) for x in cuts.values())],
                 names=["doc_id", "text", "n", "marked", "first", "second"],
