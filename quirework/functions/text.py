@@ -5,6 +5,7 @@ Character classes are spelt out: Java's ``\\s`` and ``\\w`` cover ASCII only, an
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -23,6 +24,12 @@ STOPS = "،؛:؟.!"
 RUNTIME_ERROR = "(?i)runtime\\s+(?:VBScript|Script)|Microsoft.*error|Subscript.*out\\s+of\\s+range|/Tafseer/"
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is used: inside lambdas an expression is computed anew for
+    every element, and no optimiser takes it out."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def replace_all(text: Column, steps: list[tuple[str, str]]) -> Column:
     """Regular expression replacements, one after the other; their order matters."""
     return reduce(lambda col, step: F.regexp_replace(col, step[0], step[1]), steps, text)

@@ -25,19 +25,31 @@ EXACT_FAMILY = "الصلاة "
 INDEX_SUFFIX = r"\s+[0-9٠-٩]+(?:\.[0-9٠-٩]+)+\s*$"
 
 
-def title_score(title: Column, text: Column, index_suffix: str = INDEX_SUFFIX) -> Column:
-    """How well a block's text fits a title, 0 to 1.
+def title_facts(title: Column) -> Column:
+    """What scores need to know of a title: struct(key, bare)."""
+    return F.struct(T.match_key(title).alias("key"), T.strip(title).alias("bare"))
 
-    By their keys: containment loses by the surplus, being contained gives 0.88, else the matching ratio counts. Texts that
-    are or begin with the title count as such; leading dots and index numbers cost, similar lengths gain. Short titles
-    within longer texts, and near misses of the family whose titles all resemble each other, count for nothing.
-    """
-    title_key, key, bare, wanted = T.match_key(title), T.match_key(text), T.strip(text), T.strip(title)
+
+def text_facts(text: Column, index_suffix: str = INDEX_SUFFIX) -> Column:
+    """What scores need to know of a block's text: struct(key, bare, numbered)."""
+    bare = T.strip(text)
+    return F.struct(T.match_key(text).alias("key"), bare.alias("bare"), bare.rlike(index_suffix).alias("numbered"))
+
+
+def _needs_ratio(title: Column, text: Column) -> Column:
+    """Whether nothing but the matching ratio decides."""
+    decided = (title["key"] == "") | (text["key"] == "") | title["bare"].startswith(EXACT_FAMILY)
+    around = F.contains(title["key"], text["key"]) & (F.length(text["key"]) >= 8)
+    return ~(decided | F.contains(text["key"], title["key"]) | around)
+
+
+def _score(title: Column, text: Column, ratio: Column) -> Column:
+    title_key, wanted, key, bare, numbered = title["key"], title["bare"], text["key"], text["bare"], text["numbered"]
     n, m = F.length(title_key), F.length(key)
-    begins, numbered = bare.startswith(wanted), bare.rlike(index_suffix)
+    begins = bare.startswith(wanted)
     held = 1 - F.least(F.lit(0.35), (m - n) / F.greatest(n, F.lit(1)) * 0.12)
     inside, around = F.contains(key, title_key), F.contains(title_key, key) & (m >= 8)
-    base = F.when(inside, held).when(around, 0.88).otherwise(matching_ratio(title_key, key))
+    base = F.when(inside, held).when(around, 0.88).otherwise(ratio)
     named = F.when(bare == wanted, 1.0).when(begins & ~numbered, F.greatest(base, F.lit(0.99))).otherwise(base)
     moved = named - F.when(bare.startswith("."), 0.35).otherwise(0.0) - F.when(numbered, 0.55).otherwise(0.0) + F.when(m <= n + 8, 0.08).otherwise(0.0)
     return (
@@ -48,6 +60,34 @@ def title_score(title: Column, text: Column, index_suffix: str = INDEX_SUFFIX) -
     )
 
 
+def title_score(title: Column, text: Column, index_suffix: str = INDEX_SUFFIX) -> Column:
+    """How well a block's text fits a title, 0 to 1.
+
+    By their keys: containment loses by the surplus, being contained gives 0.88, else the matching ratio counts. Texts that
+    are or begin with the title count as such; leading dots and index numbers cost, similar lengths gain. Short titles
+    within longer texts, and near misses of the family whose titles all resemble each other, count for nothing.
+    """
+    a, b = title_facts(title), text_facts(text, index_suffix)
+    return _score(a, b, matching_ratio(a["key"], b["key"]))
+
+
+def scored_titles(titles: DataFrame, blocks: DataFrame, page: str = "page", least: float = 0.0) -> DataFrame:
+    """Every title (page, toc_index, title) with every block (page, block_no, text) of its page, and ``score``.
+
+    Keys are made once for each title and block, and only pairs that nothing else decides are aligned. With ``least``, pairs
+    whose lengths alone keep them below it aren't either: their score is too low by then, but it would be below ``least``.
+    """
+    a = titles.select(page, "toc_index", title_facts(F.col("title")).alias("_title"))
+    b = blocks.select(page, "block_no", text_facts(F.col("text")).alias("_text"))
+    met = a.join(b, page)
+    n, m = F.length("_title.key"), F.length("_text.key")
+    near = 2 * F.least(n, m) >= (least - 0.08) * (n + m)
+    open_ = _needs_ratio(F.col("_title"), F.col("_text")) & (near | F.col("_text.bare").startswith(F.col("_title.bare")))
+    ratio = matching_ratio(F.when(open_, F.col("_title.key")), F.when(open_, F.col("_text.key")))
+    scored = met.withColumn("_ratio", ratio)
+    return scored.select(page, "toc_index", "block_no", _score(F.col("_title"), F.col("_text"), F.col("_ratio")).alias("score"))
+
+
 def inline_title(texts: DataFrame, titles: DataFrame, page: str = "page") -> DataFrame:
     """``texts`` (page, block_no, text) with the longest title (page, toc_index, title) of their page that they hold: at
     their beginning, or anywhere for the family that matches as a whole. (page, block_no, toc_index, start, end)"""

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quirework.functions import text as T
+
 _TYPES = {"string": "^STRING", "number": "^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)", "list": "^ARRAY", "map": "^OBJECT", "bool": "^BOOLEAN", "timestamp": "^(STRING|TIMESTAMP)"}
 
 
@@ -130,9 +132,12 @@ BOOK = (
 
 def _broken(v: Column, f: Field) -> Column:
     """The reason for which a field is wrong, or null. ``v``: the document as a variant."""
-    value = F.try_variant_get(v, f"$.{f.name}", "variant")
-    kind, text = F.schema_of_variant(value), F.try_variant_get(v, f"$.{f.name}", "string")
-    absent = value.isNull()
+    held = F.struct(F.try_variant_get(v, f"$.{f.name}", "variant").alias("value"), F.try_variant_get(v, f"$.{f.name}", "string").alias("text"))
+    typed = lambda x: F.struct(x["value"].isNull().alias("absent"), F.schema_of_variant(x["value"]).alias("kind"), x["text"].alias("text"))
+    return T.bind(held, lambda x: T.bind(typed(x), lambda t: _reason(v, f, t["absent"], t["kind"], t["text"])))
+
+
+def _reason(v: Column, f: Field, absent: Column, kind: Column, text: Column) -> Column:
     null = F.coalesce(kind == "VOID", F.lit(False)) & F.lit(f.kind != "list")
     wrong = ~F.coalesce(kind.rlike(_TYPES[f.kind]), F.lit(False))
     if f.kind == "timestamp":
@@ -152,7 +157,10 @@ def _broken(v: Column, f: Field) -> Column:
 
 def violations(raw: Column, fields: tuple[Field, ...]) -> Column:
     """array<string> of what a JSON document breaks: unknown keys, missing or wrong fields; empty when it is valid."""
-    v = F.try_parse_json(raw)
+    return T.bind(F.try_parse_json(raw), lambda v: _violations(v, fields))
+
+
+def _violations(v: Column, fields: tuple[Field, ...]) -> Column:
     keys = F.coalesce(F.map_keys(F.try_variant_get(v, "$", "map<string,variant>")), F.array().cast("array<string>"))
     unknown = F.transform(F.array_sort(F.array_except(keys, F.array(*(F.lit(f.name) for f in fields)))), lambda k: F.concat(F.lit("unknown:"), k))
     broken = F.array_compact(F.array(*(_broken(v, f) for f in fields)))

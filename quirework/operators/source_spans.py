@@ -41,7 +41,27 @@ def _when(test: Column, span: Column) -> Column:
 def source_spans(text: Column, section: Column | None = None, most: int = 18) -> Column:
     """array<struct(span_id, start, end, kind, reason, text)>: short whole passage, braced quotations, openers (not within 80
     characters of a braced one), reports, prayers, sentences with a quoting phrase, poem. Equal ranges count once."""
-    braced = F.transform(spans_of(text, T.SPACE.join(BRACED.split(r"\s")), "ayah"), lambda s: stripped(text, s["start"] + 1, s["end"] - 1))
+    marks = F.transform(spans_of(text, T.SPACE.join(BRACED.split(r"\s")), "ayah"), lambda s: stripped(text, s["start"] + 1, s["end"] - 1))
+    found = T.bind(marks, lambda braced: _candidates(text, braced, section))
+    bounded = F.transform(found, lambda s: F.struct(stripped(text, s["start"], s["end"]).alias("b"), s["kind"].alias("kind"), s["reason"].alias("reason")))
+    real = F.filter(bounded, lambda s: s["b"]["text"] != "")
+    before = lambda held, s, i: F.exists(F.slice(held, F.lit(1), i), lambda o: (o["b"]["start"] == s["b"]["start"]) & (o["b"]["end"] == s["b"]["end"]))
+    fresh = T.bind(real, lambda held: F.filter(held, lambda s, i: ~before(held, s, i)))
+    return F.transform(
+        F.slice(fresh, 1, most),
+        lambda s, i: F.struct(
+            F.concat(F.lit("S"), (i + 1).cast("string")).alias("span_id"),
+            s["b"]["start"].alias("start"),
+            s["b"]["end"].alias("end"),
+            s["kind"].alias("kind"),
+            s["reason"].alias("reason"),
+            s["b"]["text"].alias("text"),
+        ),
+    )
+
+
+def _candidates(text: Column, braced: Column, section: Column | None) -> Column:
+    """All spans in the order of the rules, with blanks at their ends and equal ones among them."""
     opened = []
     for opener in SPAN_OPENERS:
         at = F.instr(text, F.lit(opener)) - 1
@@ -57,7 +77,7 @@ def source_spans(text: Column, section: Column | None = None, most: int = 18) ->
     bare = T.strip(text)
     short = F.when(F.coalesce(*(F.when(bare.startswith(o), True) for o in SHORT_OPENERS), F.lit(False)), "matn").otherwise("body")
     poem = F.lit(False) if section is None else F.contains(section, F.lit(POEM_SECTION)) & F.contains(text, F.lit("\n"))
-    whole = F.concat(
+    return F.concat(
         _when(F.length(bare) <= 260, _found(F.lit(0), F.length(text), short, "short_whole_passage")),
         F.transform(braced, lambda s: _found(s["start"], s["end"], "ayah", "brace_quran_candidate")),
         *opened,
@@ -66,20 +86,6 @@ def source_spans(text: Column, section: Column | None = None, most: int = 18) ->
         *quoted,
         _when(poem, _found(F.lit(0), F.least(F.length(text), F.lit(1200)), "poem", "poetry_section")),
     )
-    bounded = F.transform(whole, lambda s: F.struct(stripped(text, s["start"], s["end"]).alias("b"), s["kind"].alias("kind"), s["reason"].alias("reason")))
-    real = F.filter(bounded, lambda s: s["b"]["text"] != "")
-    fresh = F.filter(real, lambda s, i: ~F.exists(F.slice(real, F.lit(1), i), lambda o: (o["b"]["start"] == s["b"]["start"]) & (o["b"]["end"] == s["b"]["end"])))
-    return F.transform(
-        F.slice(fresh, 1, most),
-        lambda s, i: F.struct(
-            F.concat(F.lit("S"), (i + 1).cast("string")).alias("span_id"),
-            s["b"]["start"].alias("start"),
-            s["b"]["end"].alias("end"),
-            s["kind"].alias("kind"),
-            s["reason"].alias("reason"),
-            s["b"]["text"].alias("text"),
-        ),
-    )
 
 
 def _near(at: Column, reach: int = 80):
@@ -100,7 +106,7 @@ def normalized_segments(text: Column, segments: Column, spans: Column) -> Column
     Scripture is always for review; a span that does not exist, and words that the passage does not hold, are errors.
     """
 
-    def shape(s: Column) -> Column:
+    def shape(s: Column, spans: Column) -> Column:
         named = F.coalesce(s["span_id"], F.lit("")) != ""
         span = F.get(F.filter(spans, lambda x: x["span_id"] == s["span_id"]), F.lit(0))
         words = F.when(named, F.coalesce(span["text"], F.lit(""))).otherwise(F.coalesce(s["text"], F.lit("")))
@@ -120,4 +126,4 @@ def normalized_segments(text: Column, segments: Column, spans: Column) -> Column
             F.when(error.isNotNull(), error).when(named & (given != "") & (given != words), "segment_text_ignored_for_span_id").alias("warning"),
         )
 
-    return F.transform(segments, shape)
+    return T.bind(spans, lambda held: F.transform(segments, lambda s: shape(s, held)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,27 +11,46 @@ from pyspark.sql import functions as F
 from quirework.functions import text as T
 
 
+#: Elements that a fold gathers before it begins a new list, so that no long list is copied at every step.
+_BLOCK = 64
+
+
+def _fold(n: Column, start: Column, kind: str, step: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
+    """The elements that ``step(state, i)`` gives for i from 0 to n - 1, each with the next state: (state, array of elements).
+
+    Lists are gathered in blocks and put together at the end, so the work grows with n.
+    """
+    none = F.array().cast(f"array<{kind}>")
+
+    def one(acc: Column, i: Column) -> Column:
+        state, found = step(acc["at"], i)
+        return F.struct(state.alias("at"), F.concat(acc["out"], found).alias("out"))
+
+    def block(acc: Column, b: Column) -> Column:
+        inner = F.aggregate(F.sequence(b * _BLOCK, F.least(b * _BLOCK + (_BLOCK - 1), n - 1)), F.struct(acc["at"].alias("at"), none.alias("out")), one)
+        return T.bind(inner, lambda r: F.struct(r["at"].alias("at"), F.concat(acc["out"], F.array(r["out"])).alias("out")))
+
+    nothing = F.array().cast(f"array<array<{kind}>>")
+    blocks = F.sequence(F.lit(0), F.floor((n - 1) / _BLOCK).cast("int"))
+    return F.when(n <= 0, none).otherwise(F.aggregate(blocks, F.struct(start.alias("at"), nothing.alias("out")), block, lambda acc: F.flatten(acc["out"])))
+
+
 def spans_of(text: Column, pattern: str, kind: str) -> Column:
     """array<struct(start, end, kind, text)> of all matches.
 
     Splitting at the matches gives the pieces between them, so the offsets are running sums of lengths.
     """
-    found = F.regexp_extract_all(text, F.lit(f"({pattern})"), 1)
-    between = F.split(text, pattern, -1)
-
-    def step(acc: Column, i: Column) -> Column:
-        start = acc["at"] + F.length(F.get(between, i))
-        word = F.get(found, i)
-        end = start + F.length(word)
-        return F.struct(
-            end.alias("at"),
-            F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), F.lit(kind).alias("kind"), word.alias("text")))).alias("out"),
-        )
 
-    none = F.array().cast("array<struct<start:int,end:int,kind:string,text:string>>")
-    return F.when(F.size(found) == 0, none).otherwise(
-        F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
-    )
+    def placed(found: Column, between: Column) -> Column:
+        def step(at: Column, i: Column) -> tuple[Column, Column]:
+            word, start = F.get(found, i), at + F.length(F.get(between, i))
+            end = start + F.length(word)
+            return end, F.array(F.struct(start.alias("start"), end.alias("end"), F.lit(kind).alias("kind"), word.alias("text")))
+
+        return _fold(F.size(found), F.lit(0), "struct<start:int,end:int,kind:string,text:string>", step)
+
+    pieces = F.split(text, pattern, -1)
+    return T.bind(F.regexp_extract_all(text, F.lit(f"({pattern})"), 1), lambda found: T.bind(pieces, lambda between: placed(found, between)))
 
 
 def stripped(text: Column, start: Column, end: Column) -> Column:
@@ -49,18 +69,18 @@ def sentence_window(text: Column, start: Column, end: Column, stops: str = ".!?
     return F.struct(first.alias("start"), F.least(end + right, first + limit).alias("end"))
 
 
-def non_overlapping(spans: Column) -> Column:
-    """Spans in order of (start, end), each kept if it begins at or after the end of the last one kept."""
-    def step(acc: Column, s: Column) -> Column:
-        free = s["start"] >= acc["at"]
-        return F.struct(
-            F.when(free, s["end"]).otherwise(acc["at"]).alias("at"),
-            F.when(free, F.concat(acc["kept"], F.array(s))).otherwise(acc["kept"]).alias("kept"),
-        )
+def non_overlapping(spans: Column, kind: str = "struct<start:int,end:int>") -> Column:
+    """Spans (of type ``kind``) in order of (start, end), each kept if it begins at or after the end of the last one kept."""
+
+    def swept(ordered: Column) -> Column:
+        def step(at: Column, i: Column) -> tuple[Column, Column]:
+            span = F.get(ordered, i)
+            free = span["start"] >= at
+            return F.when(free, span["end"]).otherwise(at), F.when(free, F.array(span)).otherwise(F.array().cast(f"array<{kind}>"))
+
+        return _fold(F.size(ordered), F.lit(0), kind, step)
 
-    # the empty array takes the type of the spans
-    none = F.filter(spans, lambda s: F.lit(False))
-    return F.aggregate(F.array_sort(spans), F.struct(F.lit(0).alias("at"), none.alias("kept")), step, lambda acc: acc["kept"])
+    return T.bind(F.array_sort(spans), swept)
 
 
 def valid_spans(text: Column, spans: Column, kinds: list[str]) -> Column:

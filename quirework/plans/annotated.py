@@ -90,13 +90,12 @@ def pattern_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     "span_grounding",
     """
     SELECT doc_id, item_id, (instr(d.text, b.text) - 1)::BIGINT AS start, (instr(d.text, b.text) - 1 + length(b.text))::BIGINT AS "end"
-    FROM documents d JOIN benchmark b ON contains(d.text, b.text) WHERE len(string_split(b.text, ' ')) >= 6
+    FROM documents d JOIN benchmark b ON contains(d.text, b.text) WHERE regexp_matches(b.text, '\\S')
     """,
 )
 def span_grounding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where benchmark items of six words or more stand in documents, word for word."""
-    items = table(spark, sf_dir, "benchmark").where(F.size(F.split("text", " ")) >= 6)
-    return spans.grounded(table(spark, sf_dir, "documents").select("doc_id", "text"), items)
+    """Where benchmark items stand in documents, word for word."""
+    return spans.grounded(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
 
 
 @register(
@@ -200,8 +199,7 @@ def heading_blocks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 def page_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Titles of pages matched with the blocks that resemble them, greedily and by page (no SQL: alignment ratio)."""
     titles, blocks = heading_blocks(spark, sf_dir)
-    scored = titles.join(blocks, "page").withColumn("score", fuzzy.title_score(F.col("title"), F.col("text")))
-    return fuzzy.assign_titles(scored.select("page", "toc_index", "block_no", "score"))
+    return fuzzy.assign_titles(fuzzy.scored_titles(titles, blocks, least=0.62))
 
 
 @register("fuzzy_grounding")

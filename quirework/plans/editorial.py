@@ -67,25 +67,31 @@ def task_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PIECES = ["قال رسول الله هذا قول طويل يكفي للشرط.", "اللهم صل وسلم على من نحب دائما؛", "} كلام بين الأقواس هنا {", "قال الله كلاما وهذا آخره."]
 
 
+_BRACED = "} كلام آخر بين الأقواس {"
+
+
 def _quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with a sentence of one kind of span after them, by their id."""
-    docs = table(spark, sf_dir, "documents").where("text is not null")
+    """Documents with a sentence of one kind of span after them, by their id, and every eighth with a braced one before."""
+    before = F.when(F.col("doc_id") % 8 == 5, F.lit(_BRACED + "\n")).otherwise("")
+    docs = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.concat(before, "text").alias("text"))
     return docs.select("doc_id", F.concat("text", F.lit("\n"), F.get(F.array(*map(F.lit, _PIECES)), (F.col("doc_id") % 4).cast("int"))).alias("text"), F.length("text").alias("n"))
 
 
 @register(
     "source_spans",
     f"""
-    WITH d AS (SELECT doc_id, doc_id % 4 AS k, text, length(text) AS n, text || chr(10) || list_value({', '.join(repr(x) for x in _PIECES)})[doc_id % 4 + 1] AS t FROM documents WHERE text IS NOT NULL),
+    WITH f AS (SELECT doc_id, CASE WHEN doc_id % 8 = 5 THEN '{_BRACED}' || chr(10) || text ELSE text END AS text FROM documents WHERE text IS NOT NULL),
+    d AS (SELECT doc_id, doc_id % 4 AS k, text, length(text) AS n, text || chr(10) || list_value({', '.join(repr(x) for x in _PIECES)})[doc_id % 4 + 1] AS t FROM f),
     b AS (SELECT *, regexp_replace(regexp_replace(t, '^{T.SPACE}+', ''), '{T.SPACE}+$', '') AS bare FROM d),
     s AS (SELECT doc_id, 0 AS o, 'short_whole_passage' AS reason, length(t) - length(regexp_replace(t, '^{T.SPACE}+', '')) AS a, length(t) AS b FROM b WHERE length(bare) <= 260
-      UNION ALL SELECT doc_id, 1, CASE k WHEN 0 THEN 'hadith_opener' WHEN 1 THEN 'dua_opener' WHEN 2 THEN 'brace_quran_candidate' ELSE 'quran_signal:قال الله' END, n + 1 + CASE k WHEN 2 THEN 2 ELSE 0 END, length(t) - CASE k WHEN 2 THEN 2 ELSE 0 END FROM b)
+      UNION ALL SELECT doc_id, 1, 'brace_quran_candidate', 2, {len(_BRACED) - 2} FROM b WHERE doc_id % 8 = 5
+      UNION ALL SELECT doc_id, 2, CASE k WHEN 0 THEN 'hadith_opener' WHEN 1 THEN 'dua_opener' WHEN 2 THEN 'brace_quran_candidate' ELSE 'quran_signal:قال الله' END, n + 1 + CASE k WHEN 2 THEN 2 ELSE 0 END, length(t) - CASE k WHEN 2 THEN 2 ELSE 0 END FROM b)
     SELECT doc_id, 'S' || row_number() OVER (PARTITION BY doc_id ORDER BY o) AS span_id, reason, a::BIGINT AS span_start, b::BIGINT AS span_end FROM (SELECT DISTINCT ON (doc_id, a, b) * FROM s ORDER BY o)
     """,
 )
 def source_spans_(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans that a proposal on a passage may point at, numbered as found."""
-    found = _quoted(spark, sf_dir).where(~F.col("text").rlike("[{}].*\n")).select("doc_id", F.explode(source_spans.source_spans(F.col("text"))).alias("s"))
+    found = _quoted(spark, sf_dir).select("doc_id", F.explode(source_spans.source_spans(F.col("text"))).alias("s"))
     return found.select("doc_id", "s.span_id", "s.reason", F.col("s.start").cast("long").alias("span_start"), F.col("s.end").cast("long").alias("span_end"))
 
 
