@@ -45,11 +45,16 @@ def _listed(rows: list[list[tuple] | None], kind: pa.StructType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(columns, fields=list(kind)), mask=pa.array(missing))
 
 
+def split(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, token) of each token of one text."""
+    return [(*m.span(), m[0]) for m in _TOKEN.finditer(text)]
+
+
 @F.arrow_udf(_PLACES)
 def tokens_at(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """The tokens of each text with their places; null for null."""
     for batch in batches:
-        yield _listed([None if t is None else [(*m.span(), m[0]) for m in _TOKEN.finditer(t)] for t in batch.to_pylist()], _PLACED)
+        yield _listed([None if t is None else split(t) for t in batch.to_pylist()], _PLACED)
 
 
 #: Phrases that one automaton may hold: what is sent to every executor.

@@ -19,13 +19,16 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import reduce
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from quirework.functions.tokens import tokens_at
+from quirework.functions.tokens import split, tokens_at
 
 #: How much longer than its item an alignment may be is 1 / density; what is read around a chain, in parts of the item.
 _MARGIN = 0.25
@@ -109,10 +112,24 @@ def _alignment(coverage: float, density: float, lesser: float):
     return run
 
 
-def _windows(words: Column, k: int) -> Column:
-    """Hashes of all runs of ``k`` tokens."""
-    last = F.size(words) - k
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(words, i + 1, F.lit(k))))).otherwise(F.array().cast("array<bigint>"))
+def _windows(k: int):
+    """The hashes of all runs of ``k`` tokens of a text, as a function of the text."""
+
+    @F.arrow_udf(ArrayType(LongType()))
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            ends, out = [0], []
+            for text in batch.to_pylist():
+                h = np.array([xxhash.xxh3_64_intdigest(t.lower()) for _, _, t in split(text or "")], np.uint64)
+                n = max(0, len(h) - k + 1)
+                rolled = np.zeros(n, np.uint64)
+                for x in range(k):
+                    rolled = (rolled ^ (rolled >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + h[x : x + n]
+                out.append(rolled.view(np.int64))
+                ends.append(ends[-1] + n)
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *out])))
+
+    return run
 
 
 def align_items(
@@ -129,20 +146,21 @@ def align_items(
 ) -> DataFrame:
     """(doc, item, start, end, status, matched, coverage): the best alignment of each item with each text that has one."""
     low = lambda at: F.transform(at, lambda t: F.lower(t["text"]))
-    asked = items.select(F.col(item_key).alias("_item"), low(tokens_at(F.col(text))).alias("_words")).where(F.size("_words") > 0)
+    asked = items.select(F.col(item_key).alias("_item"), F.col(text).alias("_text"), low(tokens_at(F.col(text))).alias("_words")).where(F.size("_words") > 0)
     asked = asked.select("*", F.size("_words").alias("_m"), F.least(F.size("_words"), F.lit(k)).alias("_k"))
     sizes = sorted(r["_k"] for r in asked.select("_k").distinct().collect())  # k numbers at most
     if not sizes:
         kinds = dict(docs.dtypes) | dict(items.dtypes)
         return docs.sparkSession.createDataFrame([], f"{doc_key} {kinds[doc_key]}, {item_key} {kinds[item_key]}, start long, end long, status string, matched int, coverage double")
-    each = lambda size: F.transform(_windows(F.col("_words"), size), lambda h, i: F.struct(F.lit(size).alias("k"), h.alias("h"), i.alias("at")))
-    listed = lambda rows, *more: rows.select(*more, F.explode(F.concat(*(each(s) for s in sizes))).alias("w"))
-    seed = listed(asked, "_item", "_m", "_k").where("w.k = _k").select("_item", "_m", "_k", F.col("w.h").alias("h"), F.col("w.at").alias("i"))
-    read = docs.select(F.col(doc_key).alias("_doc"), low(tokens_at(F.col(text))).alias("_words")).where(F.size("_words") > 0)
-    probe = listed(read, "_doc").select("_doc", F.col("w.k").alias("_k"), F.col("w.h").alias("h"), F.col("w.at").alias("j"))
+    met = []
+    for size in sizes:
+        seed = asked.where(F.col("_k") == size).select("_item", "_m", "_k", F.posexplode(_windows(size)("_text")).alias("i", "h"))
+        probe = docs.select(F.col(doc_key).alias("_doc"), F.posexplode(_windows(size)(text)).alias("j", "h"))
+        met.append(probe.join(seed, "h"))
+    anchored = reduce(DataFrame.unionByName, met)
     reach = F.ceil(F.col("_m") / density + 2 * _MARGIN * F.col("_m")).cast("int")
     stretch = F.floor(F.col("j") / reach)
-    anchors = probe.join(seed, ["_k", "h"]).select("_doc", "_item", "_m", "_k", "i", "j", F.explode(F.array(stretch, stretch - 1)).alias("s"))
+    anchors = anchored.select("_doc", "_item", "_m", "_k", "i", "j", F.explode(F.array(stretch, stretch - 1)).alias("s"))
     needed = F.ceil(seeds * (F.col("_m") - F.col("_k") + 1) - 1e-9)
     grouped = anchors.groupBy("_doc", "_item", "_m", "_k", "s").agg(F.collect_list(F.struct("i", "j")).alias("a")).where(F.size("a") >= needed)
     chained = grouped.withColumn("c", _chain("a")).where(F.col("c.size") >= needed)
@@ -152,9 +170,9 @@ def align_items(
     begin = F.greatest(F.col("first_j") - F.col("first_i") - margin, F.lit(0))
     until = F.col("last_j") + F.col("_m") - F.col("last_i") + margin
     around = place.select("_doc", "_item", "_m", F.col("_words").alias("_asked"), begin.alias("_begin"), until.alias("_until"))
-    text_of = docs.select(F.col(doc_key).alias("_doc"), tokens_at(F.col(text)).alias("_at"))
-    met = around.join(text_of, "_doc").withColumn("_near", F.slice("_at", F.col("_begin") + 1, F.col("_until") - F.col("_begin")))
-    aligned = met.withColumn("x", _alignment(coverage, density, lesser)(F.col("_asked"), low(F.col("_near")))).where("x is not null")
+    read = around.join(docs.select(F.col(doc_key).alias("_doc"), F.col(text).alias("_text")), "_doc").withColumn("_at", tokens_at("_text"))
+    near = read.withColumn("_near", F.slice("_at", F.col("_begin") + 1, F.col("_until") - F.col("_begin")))
+    aligned = near.withColumn("x", _alignment(coverage, density, lesser)(F.col("_asked"), low(F.col("_near")))).where("x is not null")
     return aligned.select(
         F.col("_doc").alias(doc_key),
         F.col("_item").alias(item_key),

@@ -34,6 +34,15 @@ TRANSLATION_FIELDS = [
 ]
 PASSAGE_FIELDS = ["id", "work_id", "sequence", "lang", "text", "review_status"]
 ARTIFACTS = {"shamela": "Shamela", "contents": "المحتويات", "bad_allah_glyph": "᧦", "bidi_control": T.BIDI}
+#: What a clean manuscript must not show any more.
+CLEAN_ARTIFACTS = {
+    "bad_allah_glyph": "᧦",
+    "bidi_control": T.BIDI,
+    "legacy_print_marker": "(?:^|[\\s،.؛:])-?ط\\([،.]?\\)?-?".replace("[\\s", f"[{T.SPACE}"),
+    "runtime_error": T.RUNTIME_ERROR,
+    "star_leftover": "\\*",
+    "tatweel_leftover": "ـ",
+}
 SEVERITY = {
     "unknown_status": "warn",
     "missing_schema_version": "warn",
@@ -110,6 +119,18 @@ def works_report(works: DataFrame, manuscripts: DataFrame, cleaned: DataFrame) -
     ]
 
 
+def json_errors(rows: DataFrame, code: str = "json_errors") -> DataFrame:
+    """Works with lines that are no JSON, and how many: ``rows`` as ``sources.lines.jsonl_rows`` gives them, with work_id."""
+    return rows.where("error is not null").groupBy("work_id").agg(F.count("*").alias("n")).select("work_id", F.lit(code).alias("code"), "n")
+
+
+def clean_artifacts(lines: DataFrame) -> DataFrame:
+    """Works whose clean manuscript (work_id, line) still shows artifacts, and how many."""
+    hits = reduce(lambda a, b: a + b, (F.regexp_count("line", F.lit(p)) for p in CLEAN_ARTIFACTS.values()))
+    n = lines.groupBy("work_id").agg(F.sum(hits).alias("n")).where("n > 0")
+    return n.select("work_id", F.lit("clean_artifacts_left").alias("code"), "n")
+
+
 def malformed_block(block: Column) -> Column:
     """A block of a passage without an id, or whose box has not four numbers."""
     return is_blank(block["block_id"]) | block["bbox"].isNull() | (F.size(block["bbox"]) != 4)
@@ -207,3 +228,14 @@ def index(found: DataFrame, works: DataFrame, passages: DataFrame, headings: Dat
     out = works.select("work_id").join(sizes, "work_id", "left").join(titles, "work_id", "left").join(ended, "work_id", "left")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
     return out.select("work_id", F.coalesce("worst", F.lit("ok")).alias("status"), zero("passages"), zero("headings"), "len_min", "len_max", zero("n_fail"), zero("n_warn"), zero("n_info"))
+
+
+def work_index(found: DataFrame, works: DataFrame, counts: dict[str, DataFrame]) -> DataFrame:
+    """One row a work: status, number of findings, and a column for each entry of ``counts``, a table (work_id, n) of which
+    the n of a work are summed; a work without any has 0. Every entry is aggregated first, so nothing multiplies."""
+    out = works.select("work_id").join(status(found.where("severity <> 'metric'"), "work_id"), "work_id", "left")
+    out = out.select("work_id", F.coalesce("status", F.lit("ok")).alias("status"), F.coalesce(F.col("n_fail") + F.col("n_warn") + F.col("n_info"), F.lit(0)).alias("findings"))
+    for name, rows in counts.items():
+        n = rows.groupBy("work_id").agg(F.sum("n").cast("long").alias("_n"))
+        out = out.join(n, "work_id", "left").withColumn(name, F.coalesce("_n", F.lit(0))).drop("_n")
+    return out

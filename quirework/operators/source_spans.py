@@ -6,6 +6,8 @@ passage's own words whatever a model returned.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,11 +18,10 @@ from quirework.operators.spans import sentence_window, spans_of, stripped
 #: Patterns and openers of spans, in the order in which they are looked for.
 BRACED = r"[}]\s*[^{}]{8,700}?\s*[{]"
 SPAN_OPENERS = ["قال تعالى", "قوله تعالى", "فقال تعالى", "قال اللّٰه", "قال الله"]
-REPORT = (
-    "(?:قال رسول اللّٰه|قال رسول الله|وقال صلى اللّٰه عليه وسلم|وقال صلى الله عليه وسلم|وكان صلى اللّٰه عليه وسلم يقول|وكان صلى الله عليه وسلم يقول)"
-    r"[^.؟؛\n]{12,900}(?:[.؟؛]|$)"
-)
-PRAYER = r"(?:اللهم|اللَّهُمَّ)[^.؟؛*\n]{10,900}(?:[.؟؛*]|$)"
+REPORT_BEGINS = ["قال رسول اللّٰه", "قال رسول الله", "وقال صلى اللّٰه عليه وسلم", "وقال صلى الله عليه وسلم", "وكان صلى اللّٰه عليه وسلم يقول", "وكان صلى الله عليه وسلم يقول"]
+REPORT_REST = r"[^.؟؛\n]{12,900}(?:[.؟؛]|$)"
+PRAYER_BEGINS = ["اللهم", "اللَّهُمَّ"]
+PRAYER_REST = r"[^.؟؛*\n]{10,900}(?:[.؟؛*]|$)"
 QUOTE_PHRASES = ["قال القسطلاني", "قال السخاوي", "قال الشيخ", "قال ابن حجر", "قال النووي", "نقل الشيخ", "نقل العلامة", "نقل القسطلاني", "ونقل"]
 SHORT_OPENERS = ["بسم", "اللهم", "اللَّهُمَّ"]
 POEM_SECTION = "قصيدة"
@@ -28,6 +29,10 @@ POEM_SECTION = "قصيدة"
 _FOUND = "array<struct<start:int,end:int,kind:string,reason:string>>"
 
 
+def _any(words: list[str]) -> str:
+    return f"(?:{'|'.join(words)})"
+
+
 def _found(start: Column, end: Column, kind: Column | str, reason: Column | str) -> Column:
     word = lambda x: F.lit(x) if isinstance(x, str) else x
     return F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), word(kind).alias("kind"), word(reason).alias("reason"))
@@ -67,13 +72,15 @@ def _candidates(text: Column, braced: Column, section: Column | None) -> Column:
         at = F.instr(text, F.lit(opener)) - 1
         rest = F.substring(text, at + len(opener) + 1, F.length(text))
         reach = F.length(F.regexp_extract(rest, "^[^.؟؛\n*]*[.؟؛]?", 0))
-        opened.append(_when((at >= 0) & ~F.exists(braced, _near(at)), _found(at, F.least(at + len(opener) + reach, at + 700), "ayah", f"quran_signal:{opener}")))
-    by_pattern = lambda p, kind, reason: F.transform(spans_of(text, p, kind), lambda s: _found(s["start"], s["end"], kind, reason))
+        opened.append(_when(F.contains(text, F.lit(opener)) & ~F.exists(braced, _near(at)), _found(at, F.least(at + len(opener) + reach, at + 700), "ayah", f"quran_signal:{opener}")))
+    # a quick search for what a pattern begins with, before the pattern itself is tried everywhere
+    any_of = lambda words: reduce(lambda a, b: a | b, (F.contains(text, F.lit(w)) for w in words))
+    by_pattern = lambda p, begins, kind, reason: F.when(any_of(begins), F.transform(spans_of(text, p, kind), lambda s: _found(s["start"], s["end"], kind, reason))).otherwise(F.array().cast(_FOUND))
     quoted = []
     for phrase in QUOTE_PHRASES:
         at = F.instr(text, F.lit(phrase)) - 1
         window = sentence_window(text, at, at + len(phrase))
-        quoted.append(_when(at >= 0, _found(window["start"], window["end"], "quote", f"quote_source:{phrase}")))
+        quoted.append(_when(F.contains(text, F.lit(phrase)), _found(window["start"], window["end"], "quote", f"quote_source:{phrase}")))
     bare = T.strip(text)
     short = F.when(F.coalesce(*(F.when(bare.startswith(o), True) for o in SHORT_OPENERS), F.lit(False)), "matn").otherwise("body")
     poem = F.lit(False) if section is None else F.contains(section, F.lit(POEM_SECTION)) & F.contains(text, F.lit("\n"))
@@ -81,8 +88,8 @@ def _candidates(text: Column, braced: Column, section: Column | None) -> Column:
         _when(F.length(bare) <= 260, _found(F.lit(0), F.length(text), short, "short_whole_passage")),
         F.transform(braced, lambda s: _found(s["start"], s["end"], "ayah", "brace_quran_candidate")),
         *opened,
-        by_pattern(REPORT, "hadith", "hadith_opener"),
-        by_pattern(PRAYER, "dua", "dua_opener"),
+        by_pattern(f"{_any(REPORT_BEGINS)}{REPORT_REST}", REPORT_BEGINS, "hadith", "hadith_opener"),
+        by_pattern(f"{_any(PRAYER_BEGINS)}{PRAYER_REST}", PRAYER_BEGINS, "dua", "dua_opener"),
         *quoted,
         _when(poem, _found(F.lit(0), F.least(F.length(text), F.lit(1200)), "poem", "poetry_section")),
     )
