@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quirework.session import shared_path
+
 
 def section_paths(headings: DataFrame, key: str, order: str, level: str, title: str) -> DataFrame:
     """(key, order, section_path) of every heading: at level L the path is cut to L - 1 titles and the title added.
@@ -63,20 +65,33 @@ def adjacent_duplicates(rows: DataFrame, key: str, order: str, value: str, reach
     ).drop("_v", "_o")
 
 
+def _ranged(rows: DataFrame, order: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` in ranges of ``order`` (``_cell``), and one row for each range: its rows, least and largest number.
+
+    Ranges are those that Spark deals rows out by, so they hold about as many rows each, however far apart the numbers are;
+    the table is written once, so that they stay what they are.
+    """
+    spark = rows.sparkSession
+    path = shared_path(spark, "ranges")
+    rows.repartitionByRange(order).sortWithinPartitions(order).write.parquet(path)
+    held = spark.read.schema(rows.schema).parquet(path).withColumn("_cell", F.col("_metadata.file_path"))
+    cells = held.groupBy("_cell").agg(F.count("*").alias("_n"), F.min(order).alias("_low"), F.max(order).alias("_high"))
+    return held, cells
+
+
 def sequence_gaps(rows: DataFrame, seq: str, low: int = 1) -> DataFrame:
     """(first_missing, last_missing): runs of numbers from ``low`` to the largest that no row has.
 
-    Each number looks at the next one within its range of 2**16 numbers; the ranges' ends are compared among themselves,
-    so neither a global sort nor the sequence of all numbers is needed.
+    Each number looks at the next one within its range of the data; the ranges' ends are compared among themselves, so
+    neither a global sort nor the sequence of all numbers is needed.
     """
-    width = 1 << 16
-    seen = rows.where(F.col(seq) >= low).select(F.col(seq).cast("long").alias("v")).distinct().withColumn("cell", F.floor(F.col("v") / width))
-    inside = seen.withColumn("next", F.lead("v").over(Window.partitionBy("cell").orderBy("v")))
-    ends = seen.groupBy("cell").agg(F.min("v").alias("first"), F.max("v").alias("v"))
-    # one row per range of numbers: 65,536 times fewer than the ids, so one ordered task is small for any real id space
-    across = ends.withColumn("next", F.lead("first").over(Window.orderBy("cell"))).select("v", "next")
-    head = ends.agg(F.min("first").alias("next")).select(F.lit(low - 1).cast("long").alias("v"), "next")
-    steps = inside.select("v", "next").unionByName(across).unionByName(head)
+    seen = rows.where(F.col(seq) >= low).select(F.col(seq).cast("long").alias("v")).distinct()
+    held, cells = _ranged(seen, "v")
+    inside = held.withColumn("next", F.lead("v").over(Window.partitionBy("_cell").orderBy("v"))).select("v", "next")
+    # one row for each range: as many as tasks that dealt them out
+    across = cells.select(F.col("_high").alias("v"), F.lead("_low").over(Window.orderBy("_low")).alias("next"))
+    head = cells.agg(F.min("_low").alias("next")).select(F.lit(low - 1).cast("long").alias("v"), "next")
+    steps = inside.unionByName(across).unionByName(head)
     return steps.where("next > v + 1").select((F.col("v") + 1).alias("first_missing"), (F.col("next") - 1).alias("last_missing"))
 
 
@@ -139,13 +154,13 @@ def new_passage(text: Column, y0: Column, previous_y1: Column, previous_x0: Colu
 def placed(rows: DataFrame, order: str, name: str = "place") -> DataFrame:
     """(order, place): the position of every number in ascending order, from 0; equal numbers have positions of their own.
 
-    Numbers are counted by ranges of 2**16 first, so each is placed within its range and no task sorts them all.
+    Places are counted within ranges of the data, after all rows of the ranges before.
     """
-    cells = rows.where(F.col(order).isNotNull()).select(order, F.floor(F.col(order) / (1 << 16)).alias("_cell"))
-    sizes = cells.groupBy("_cell").agg(F.count("*").alias("_n"))
-    before = sizes.withColumn("_from", F.coalesce(F.sum("_n").over(Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    within = F.row_number().over(Window.partitionBy("_cell").orderBy(order)) - 1
-    return cells.withColumn("_at", within).join(before, "_cell").select(order, (F.col("_from") + F.col("_at")).alias(name))
+    held, cells = _ranged(rows.where(F.col(order).isNotNull()).select(order), order)
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_low").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = cells.select("_cell", before.alias("_before"))  # one row for each range
+    within = held.withColumn("_own", F.row_number().over(Window.partitionBy("_cell").orderBy(order)) - 1)
+    return within.join(starts, "_cell").withColumn(name, F.col("_before") + F.col("_own")).drop("_cell", "_before", "_own")
 
 
 def spread_fill(rows: DataFrame, chosen: DataFrame, order: str, limit: int) -> DataFrame:

@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from quirework.functions import markup
 from quirework.functions import text as T
-from quirework.operators import cleaning, report, review, sequence, spans
+from quirework.operators import cleaning, report, review, selection, sequence, spans
 from quirework.plans.registry import register
 from quirework.plans.reports import _WORK, _works
 from quirework.session import shared_path, table
 from quirework.sources import lines as numbered
+from quirework.sources import works
 from quirework.sources.readers import text_lines
 
 _PIECES = ["", "بسم الله ", "الفصل ", "ومنها ", "ومن ذلك ", "قال  رسول ", "روى ", "اللهم صل ", "صلى الله ", "كلمة", "الحديث "]
@@ -159,8 +161,9 @@ _COUNTS = ["passages", "raw_headings", "clean_headings", "clean_artifacts", "cle
 )
 def work_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row a work with the index's metrics, each from a table of its own."""
-    works, docs = _works(spark, sf_dir), table(spark, sf_dir, "documents").withColumn("work_id", F.expr(_WORK))
-    found = report.report(report.works_report(works, works.select("work_id", F.explode(F.array(F.lit("raw"), F.lit("clean"))).alias("layer")), works))
+    all_works, docs = _works(spark, sf_dir), table(spark, sf_dir, "documents").withColumn("work_id", F.expr(_WORK))
+    layers = all_works.select("work_id", F.explode(F.array(F.lit("raw"), F.lit("clean"))).alias("layer"))
+    found = report.report(report.works_report(all_works, layers, all_works))
     rows = lambda test, n=F.lit(1): docs.where(test).select("work_id", n.alias("n"))
     counts = {
         "passages": rows("true"),
@@ -168,14 +171,14 @@ def work_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         "clean_headings": rows("doc_id % 4 = 1 AND doc_id % 8 <> 1"),
         "clean_artifacts": rows("true", F.coalesce(T.count_pattern(F.col("text"), "*", literal=True), F.lit(0))),
         "clean_suspicious": rows("contains(text, '{')"),
-        "page_maps": works.select("work_id", (F.col("no") % 3).alias("n")),
+        "page_maps": all_works.select("work_id", (F.col("no") % 3).alias("n")),
         "page_refs": rows("doc_id % 6 <> 2"),
         "citations": rows("doc_id % 6 = 3"),
         "translations": rows("doc_id % 10 < 7"),
         "toc_missing": rows("doc_id % 23 = 1"),
         "source_pages": docs.select("work_id", F.floor(F.col("doc_id") / 4).alias("page")).distinct().select("work_id", F.lit(1).alias("n")),
     }
-    return report.work_index(found, works, {name: counts[name] for name in _COUNTS})
+    return report.work_index(found, all_works, {name: counts[name] for name in _COUNTS})
 
 
 @register(
@@ -296,3 +299,73 @@ def first_suspicious(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = lines.select("k.lang", (F.col("k.doc_id") * (1 << 20) + F.col("line_no")).alias("line_no"), "line")
     found = cleaning.suspicious(placed, "lang", "line_no", "line", limit=40).where(F.col("pattern").isin("star_leftover", "latin_word", "brace_marker"))
     return found.groupBy("lang").agg(F.countDistinct("line_no").alias("lines"), F.count("*").alias("hits"), F.max("line_no").alias("last_line"))
+
+
+_SIGNALS = ["", "قال تعالى", "قال رسول الله", "قال النووي", "", "كلمة"]
+_ROLES = ["body", "matn", "quote", "body", "body", "body", "poem", "body", "ayat", "body", "body"]
+
+
+@register(
+    "candidate_reasons",
+    f"""
+    WITH d AS (SELECT doc_id, {_sql_list(_SIGNALS)}[doc_id % 6 + 1] || ' ' || coalesce(text, '') AS t, {_sql_list(_ROLES)}[doc_id % 11 + 1] AS r, CASE WHEN doc_id % 13 = 3 THEN 'القصيدة' ELSE '' END AS s FROM documents),
+    c AS (SELECT doc_id, CASE WHEN r <> 'body' THEN 'heuristic role=' || r WHEN contains(t, 'قال تعالى') THEN 'contains Qur''an-like signal' WHEN contains(t, 'قال رسول الله') THEN 'contains hadith/transmission signal'
+      WHEN contains(t, 'قال النووي') THEN 'contains quote/source attribution signal' WHEN contains(s, 'القصيدة') THEN 'poetry/qasidah context' WHEN length(t) > 2500 THEN 'long passage may need split/table/editorial treatment' ELSE 'none' END AS reason FROM d)
+    SELECT reason, count(*)::BIGINT AS n, sum(doc_id)::BIGINT AS ids FROM c GROUP BY reason
+    """,
+)
+def candidate_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All branches of what makes a passage worth enriching, counted."""
+    pick = lambda values, n: F.get(F.array(*map(F.lit, values)), (F.col("doc_id") % n).cast("int"))
+    text = F.concat(pick(_SIGNALS, 6), F.lit(" "), F.coalesce("text", F.lit("")))
+    section = F.when(F.col("doc_id") % 13 == 3, "القصيدة").otherwise("")
+    reason = selection.candidate_reason(F.col("text"), F.col("role"), F.col("section"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"), pick(_ROLES, 11).alias("role"), section.alias("section"))
+    return rows.groupBy(F.coalesce(reason, F.lit("none")).alias("reason")).agg(F.count("*").alias("n"), F.sum("doc_id").alias("ids"))
+
+
+@register(
+    "spread_fill",
+    """
+    WITH n AS (SELECT count(*) AS n FROM documents), c AS (SELECT doc_id FROM documents WHERE doc_id % 100 = 7 ORDER BY doc_id LIMIT 5), m AS (SELECT 25 - count(*) AS missing FROM c),
+    p AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS place FROM documents),
+    f AS (SELECT doc_id FROM p, n, m WHERE place > 0 AND place % greatest(n // (missing + 1), 1) = 0 AND doc_id NOT IN (SELECT doc_id FROM c) ORDER BY doc_id)
+    SELECT doc_id FROM c UNION ALL SELECT doc_id FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS r FROM f), m WHERE r <= missing
+    """,
+)
+def spread_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five chosen documents, filled up to 25 by every n-th row (a sampling operator)."""
+    rows = table(spark, sf_dir, "documents").select("doc_id")
+    return sequence.spread_fill(rows, rows.where("doc_id % 100 = 7").orderBy("doc_id").limit(5), "doc_id", 25)
+
+
+@register(
+    "missing_keys",
+    """
+    WITH d AS (SELECT doc_id, list_filter([CASE WHEN doc_id % 5 = 1 THEN 'work_id' END, CASE WHEN doc_id % 7 = 2 THEN 'text' END, CASE WHEN doc_id % 11 = 3 THEN 'source_blocks' END], lambda x: x IS NOT NULL) AS m FROM documents WHERE doc_id % 13 <> 4)
+    SELECT array_to_string(m, ',') AS missing, count(*)::BIGINT AS n FROM d WHERE len(m) > 0 GROUP BY m UNION ALL SELECT 'no object', count(*)::BIGINT FROM documents WHERE doc_id % 13 = 4 HAVING count(*) > 0
+    """,
+)
+def missing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that passages as JSON lack; a key with null is none of them."""
+    without = lambda name, n, k: F.when(F.col("doc_id") % n != k, F.lit(name))
+    names = F.array_compact(F.array(F.lit("id"), without("work_id", 5, 1), F.lit("sequence"), without("text", 7, 2), F.lit("section_path"), without("source_blocks", 11, 3)))
+    values = F.transform(names, lambda n: F.when(n == "sequence", F.lit(None).cast("string")).otherwise(F.lit("x")))
+    raw = F.when(F.col("doc_id") % 13 == 4, "[1, 2]").otherwise(F.to_json(F.map_from_arrays(names, values), {"ignoreNullFields": "false"}))
+    missing = works.missing_keys(F.col("raw"))
+    said = table(spark, sf_dir, "documents").select(raw.alias("raw")).select(F.coalesce(F.array_join(missing, ","), F.lit("no object")).alias("missing"))
+    return said.where("missing <> ''").groupBy("missing").agg(F.count("*").alias("n"))
+
+
+@register(
+    "escaped_texts",
+    r"""
+    SELECT doc_id, sha1(regexp_replace(text, '([\\#\[\]$*_`@<>])', '\\\1', 'g')) AS typeset, sha1(replace(replace(text, '\', '\\'), '"', '\"')) AS quoted,
+      sha1(replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;')) AS html, sha1(replace(coalesce(text, ''), '```', '` ` `')) AS fenced FROM documents
+    """,
+)
+def escaped_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of texts as they would be written into four kinds of output."""
+    text = F.col("text")
+    forms = {"typeset": markup.typeset_text(text), "quoted": markup.typeset_string(text), "html": markup.html(text), "fenced": markup.fenced(text)}
+    return table(spark, sf_dir, "documents").select("doc_id", *(F.sha1(c).alias(n) for n, c in forms.items()))

@@ -11,9 +11,10 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from quirework.functions import markup
 from quirework.operators import calls
 from quirework.plans import services
-from quirework.sources import extracted, lines
+from quirework.sources import extracted, lines, works
 from quirework.sources.versions import Conflict, IdsDiffer, VersionedTable
 
 
@@ -223,3 +224,43 @@ def test_polling_goes_on_after_a_stop(spark, tmp_path):
     query.stop()
     want = {(b, f"{b}-{k}", f"answer {k}", None) for b in ("a", "b") for k in range(2)} | {("never", "", None, "batch timed out")}
     assert held() == want and spark.read.parquet(sink).count() == 5
+
+
+def test_work_folders_and_configuration(spark, tmp_path):
+    for name in ("a/book.yml", "b/book.yml", "a/editions/print/page-map.json", "b/editions/web/page-map.json", "b/translations/en/passages.jsonl"):
+        path = tmp_path / "books" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("id: x\nmodel: old\n  nested: no\n# note: no\n")
+    root = f"{tmp_path}/books"
+    assert sorted((r["work"], r["k"]) for r in works.work_files(spark, root, "book.yml", "k").collect()) == [("a", None), ("b", None)]
+    assert sorted((r["work"], r["k"]) for r in works.work_files(spark, root, "editions/*/page-map.json", "k").collect()) == [("a", "print"), ("b", "web")]
+    assert [(r["work"], r["k"]) for r in works.work_files(spark, root, "translations/*/passages.jsonl", "k").collect()] == [("b", "en")]
+    assert works.work_files(spark, root, "none/*.x", "k").collect() == []
+    held = works.read_config(spark, f"{root}/a/book.yml")
+    new, changed = works.upserted_config(held, {"id": "y", "model": "new", "lang": "en", "empty": None}, forced=("model",))
+    assert {r["key"]: r["value"] for r in new.collect()} == {"id": "x", "model": "new", "lang": "en", "empty": None} and changed == 3
+    again, changed = works.upserted_config(new, {"id": "y", "model": "new", "lang": "de", "empty": None}, forced=("model",))
+    assert changed == 0 and again.count() == 4
+    assert works.read_config(spark, f"{root}/none").collect() == []
+    schema = StructType.fromDDL("id string, n int")
+    assert [tuple(r) for r in works.read_json_or_empty(spark, f"{root}/none.json", schema).collect()] == [(None, None)]
+
+
+def test_front_matter_and_documents(spark, tmp_path):
+    rows = spark.createDataFrame([("w", "T", None), ("v", None, "deep")], "work_id string, title string, heading_profile string")
+    lines_of = {}
+    for r in works.front_matter(rows).orderBy("at").collect():
+        lines_of.setdefault(r["work_id"], []).append(r["line"])
+    assert lines_of["w"][:3] == ["---", "work_id: w", "title_ar: T"] and lines_of["w"][-2:] == ["---", ""] and len(lines_of["w"]) == 8
+    assert lines_of["v"][2] == "title_ar: " and "heading_profile: deep" in lines_of["v"]
+    works.write_document(rows.where("work_id = 'v'"), f"{tmp_path}/doc")
+    text = "\n".join(r["value"] for r in spark.read.text(f"{tmp_path}/doc").collect())
+    assert json.loads(text) == {"work_id": "v", "title": None, "heading_profile": "deep"} and text.count("\n") >= 3
+    with pytest.raises(ValueError):
+        works.write_document(rows, f"{tmp_path}/other")
+
+
+def test_margins(spark):
+    rows = spark.createDataFrame([("", 100.0, 120.0), ("text", 37.0, 50.0), ("text", 100.0, 565.0), ("12 Sha mela.org", 100.0, 120.0), ("١ 2", 100.0, 120.0), ("text 2", 100.0, 120.0), ("text", 38.0, 564.0)], "t string, y0 double, y1 double")
+    got = [r["m"] for r in rows.select(markup.is_margin(F.col("t"), F.col("y0"), F.col("y1"), F.lit(600.0)).alias("m")).collect()]
+    assert got == [True, True, True, True, True, False, False]
