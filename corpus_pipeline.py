@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quirework.llm.decontamination import decontaminate
 from quirework.llm.line_dedup import dedup_documents
 from quirework.llm.mixing import pareto_mix
-from quirework.llm.shared import stage
+from quirework.llm.shared import release, stage
 from quirework.llm.toxicity import reject_toxic
 from quirework.llm.vertical_join import drop_near_duplicates
 from quirework.session import table
@@ -55,9 +55,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages in turn. A stage's table is deleted once the next one is written; the last one before the mix stays, as
+    the result is read from it."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for k, (name, apply) in enumerate(STAGES):
         docs = apply(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
             docs = stage(docs, f"pipeline-{name}")
+            if before is not None:
+                release(before)
+            before = docs
     return docs
