@@ -76,3 +76,33 @@ def passages(
 def edition_citation(refs: Column, edition: Column, default: Column) -> Column:
     """The entry of an edition in a map of references; of the work's default edition where none is asked for."""
     return F.try_element_at(refs, F.coalesce(edition, default))
+
+
+def listed(rows: DataFrame, key: str, status: str | None = None, cursor: object | None = None, limit: int = 50) -> DataFrame:
+    """A page of works or editions in key order; ``status`` lists the states wanted, parted by commas."""
+    states = [s.strip() for s in (status or "").split(",") if s.strip()]
+    found = rows.where(F.col("status").isin(*states)) if states else rows
+    return page_after(found, key, cursor, limit)
+
+
+def annotated_passages(rows: DataFrame, semantic: DataFrame, key: str, kind: str | None = None, role: str | None = None, section: str | None = None, cursor: object | None = None, limit: int = 50) -> DataFrame:
+    """A page of passages (key, section_path, …) of a section and of a kind and role, which ``semantic`` (key, kind, role)
+    gives them. Only the annotations that fit meet the passages; without a kind or role all passages are listed."""
+    found = rows if section is None else rows.where(F.array_contains("section_path", section))
+    wanted = semantic.select(key, "kind", "role")
+    for name, value in (("kind", kind), ("role", role)):
+        if value is not None:
+            wanted = wanted.where(F.col(name) == value)
+    if cursor is not None:  # before the join, so that it reaches both scans
+        found, wanted = found.where(F.col(key) > cursor), wanted.where(F.col(key) > cursor)
+    how = "left" if kind is None and role is None else "inner"
+    return found.join(wanted, key, how).orderBy(key).limit(min(limit, 200))
+
+
+#: Fields that no query filters or orders by, by collection.
+UNINDEXED = {"reviewTasks": ["text_preview", "source"], "revisions": ["base_value", "proposed_value"], "comments": ["body"], "auditLogs": ["metadata"]}
+
+
+def light(rows: DataFrame, collection: str) -> DataFrame:
+    """``rows`` without the large fields of their collection: a board then reads none of their bytes."""
+    return rows.drop(*UNINDEXED.get(collection, []))

@@ -89,3 +89,47 @@ def rag_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.concat_ws(":", "doc_id", "lang").alias("chunk_id"), F.sha1("text").alias("digest"))
     turns = table(spark, sf_dir, "conversations").where("role = 'assistant'")
     return docs.unionByName(turns.select(F.format_string("c%d.%d:en", "conv_id", "turn").alias("chunk_id"), F.sha1("text").alias("digest")))
+
+
+_BOOK = "CASE (no % 4) WHEN 0 THEN 'draft' WHEN 1 THEN 'reviewed' WHEN 2 THEN 'published' ELSE 'raw_extraction' END"
+
+
+@register(
+    "books_of_states",
+    f"""
+    WITH w AS (SELECT DISTINCT source AS id, CAST(coalesce(nullif(regexp_extract(source, '[0-9]+'), ''), '0') AS INTEGER) AS no FROM documents WHERE source IS NOT NULL)
+    SELECT id, {_BOOK} AS status FROM w WHERE {_BOOK} IN ('draft', 'published') ORDER BY id LIMIT 50
+    """,
+)
+def books_of_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Works in one of two states, in order."""
+    no = "cast(coalesce(nullif(regexp_extract(id, '[0-9]+', 0), ''), '0') AS int) AS no"
+    works = table(spark, sf_dir, "documents").where("source is not null").select(F.col("source").alias("id")).distinct().selectExpr("id", no).selectExpr("id", f"{_BOOK} AS status")
+    return serve.listed(works, "id", status="draft, published")
+
+
+@register(
+    "passages_of_kind",
+    """
+    SELECT d.doc_id AS id, d.lang, 'quote' AS kind, CASE WHEN d.doc_id % 2 = 0 THEN 'matn' ELSE 'body' END AS role FROM documents d JOIN labels l USING (doc_id)
+    WHERE l.toxic = 1 AND d.doc_id % 2 = 0 AND d.doc_id > 20 AND d.source IS NOT NULL ORDER BY d.doc_id LIMIT 50
+    """,
+)
+def passages_of_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of a kind and a role after a cursor, within any section."""
+    docs = table(spark, sf_dir, "documents").where("source is not null").selectExpr("doc_id AS id", "lang", "array('all', source) AS section_path")
+    marks = table(spark, sf_dir, "labels").selectExpr("doc_id AS id", "CASE toxic WHEN 1 THEN 'quote' WHEN 0 THEN 'body' END AS kind", "CASE WHEN doc_id % 2 = 0 THEN 'matn' ELSE 'body' END AS role")
+    return serve.annotated_passages(docs, marks, "id", kind="quote", role="matn", section="all", cursor=20).select("id", "lang", "kind", "role")
+
+
+@register(
+    "work_tasks",
+    f"""
+    SELECT event_id, status, prio FROM (SELECT event_id, user_id, ts, {_STATUS} AS status, (event_id % 4)::BIGINT AS prio FROM events) WHERE user_id % 10 = 3 AND status = 'open' ORDER BY prio, ts DESC, event_id LIMIT 50
+    """,
+)
+def work_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open tasks of a work by rank, then latest first; their large fields are not read."""
+    rows = table(spark, sf_dir, "events").select("event_id", "ts", (F.col("user_id") % 10).alias("work_id"), F.expr(_STATUS).alias("status"), (F.col("event_id") % 4).alias("prio"), F.col("props").alias("source"), F.col("event_type").alias("text_preview"))
+    tasks = serve.light(rows, "reviewTasks")
+    return serve.board(tasks, ["open"], F.col("prio"), F.desc("ts"), F.col("event_id"), work_id=3).select("event_id", "status", "prio")

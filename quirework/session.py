@@ -24,7 +24,9 @@ def build_session(app: str = "quirework", master: str | None = None, **conf: str
     }
     for key, value in {**settings, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+    return spark
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
