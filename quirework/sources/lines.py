@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from quirework.session import shared_path
 from quirework.sources.readers import exists
 
 #: Splits whose counts (about 100 bytes each) may be sent to all executors; more are joined.
@@ -26,8 +27,10 @@ def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
     splits = read.groupBy("path", "_split").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
     ahead = Window.partitionBy("path").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    placed = splits.withColumn("_ahead", F.coalesce(F.sum("_n").over(ahead), F.lit(0))).drop("_n")
-    few = placed.limit(_SENT + 1).count() <= _SENT
+    held = shared_path(spark, "splits")
+    splits.withColumn("_ahead", F.coalesce(F.sum("_n").over(ahead), F.lit(0))).drop("_n").write.parquet(held)
+    placed = spark.read.schema("path string, _split long, _first long, _ahead long").parquet(held)
+    few = placed.count() <= _SENT
     joined = read.join(F.broadcast(placed) if few else placed, ["path", "_split"])
     return joined.select("path", (F.col("_ahead") + F.col("_id") - F.col("_first") + 1).alias("line_no"), "line")
 
