@@ -13,8 +13,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quirework.llm import kneser_ney, quality_rules, tokens
+from quirework.llm import kneser_ney, mixing, quality_rules, tokens
 from quirework.llm.decontamination import containment_pairs
+from quirework.llm.pii import personal_spans
 from quirework.llm.quality_rules import fit_quality_model
 from quirework.llm.toxicity import toxicity_scores
 from quirework.llm.url_filters import link_verdicts
@@ -180,3 +181,31 @@ def test_clashing_columns_on_every_table_change_nothing(spark, small, tmp_path):
         table.write.parquet(f"{tmp_path}/{name}.parquet")
     want = {(r["doc_id"], r["copies"]) for r in corpus_pipeline.run(spark, small).collect()}
     assert {(r["doc_id"], r["copies"]) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == want and want
+
+
+def test_op9_recalls_planted_terms_and_leaves_common_words(spark):
+    rng = random.Random(8)
+    rows = [(k, prose(rng, 30)) for k in range(400)]
+    for person in range(12):
+        for k in range(8):
+            rows.append((1000 + 10 * person + k, f"{prose(rng, rng.randrange(5, 15))} {prose(rng, 3)[:-1]} Nick{person}name {prose(rng, 4)} p{person}@mail.org {prose(rng, 6)}"))
+    got = {r["doc_id"]: r["terms"] for r in personal_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    planted = hit = wrong = 0
+    for d, text in rows:
+        spans = {(t["start"], t["end"]) for t in got[d]}
+        names = {m.span() for m in re.finditer(r"Nick\d+name", text)}
+        planted, hit, wrong = planted + len(names), hit + len(names & spans), wrong + len(spans - names)
+    assert planted == 96 and hit >= 0.9 * planted and wrong == 0
+
+
+def test_op1_rounds_stay_few_on_heavy_tails(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    sizes = np.minimum(np.maximum(1, rng.lognormal(3.5, 1.6, 4000)).astype(int), 5000)
+    rows = [(int(k), "w " * int(n), f"s{k % 6}") for k, n in enumerate(sizes)]
+    rounds, real = [], mixing.stage
+    monkeypatch.setattr(mixing, "stage", lambda df, what: (rounds.append(what), real(df, what))[1])
+    got = mixing.pareto_mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert rounds.count("mix-round") <= 16
+    for s in {r["source"] for r in got}:
+        of = [r for r in got if r["source"] == s]
+        assert abs(sum(r["taken"] for r in of) - of[0]["target"]) <= 0.01 * of[0]["target"]
