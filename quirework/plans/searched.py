@@ -12,15 +12,22 @@ from quirework.plans.annotated import heading_blocks
 from quirework.plans.passages import _FLAT, _PATTERNS
 from quirework.plans.registry import register
 from quirework.session import shared_path, table
-from quirework.sources.readers import text_lines
+from quirework.sources.readers import exists, text_lines
 
 #: Tokens of scripts that part words, as DuckDB writes them.
 _WORD = "(?:[\\p{L}\\p{N}_]\\p{M}*)+"
 _OUTSIDE = "[^\\p{L}\\p{N}_\\p{M}]"
 
 
+#: Indexes written by this application, by application and input: an index is written once and searched often.
+_WRITTEN: dict[tuple[str, str], SearchIndex] = {}
+
+
 def indexed(spark: SparkSession, sf_dir: str) -> SearchIndex:
-    """The index of all documents, as passages with a kind, a path and a citation."""
+    """The index of all documents, as passages with a kind, a path and a citation; written by whoever asks first."""
+    known = _WRITTEN.get((spark.sparkContext.applicationId, sf_dir))
+    if known is not None and exists(spark, f"{known.path}/rows"):
+        return known
     rows = table(spark, sf_dir, "documents").select(
         "doc_id",
         "text",
@@ -29,7 +36,9 @@ def indexed(spark: SparkSession, sf_dir: str) -> SearchIndex:
         F.concat_ws(" > ", "lang", "source").alias("path"),
         F.concat(F.lit("p. "), (F.floor(F.col("doc_id") / 4) + 1).cast("string")).alias("citation"),
     )
-    return write_index(rows, shared_path(spark, "search-index"), "doc_id", "text")
+    made = write_index(rows, shared_path(spark, "search-index"), "doc_id", "text")
+    _WRITTEN[spark.sparkContext.applicationId, sf_dir] = made
+    return made
 
 
 def _search_oracle(terms: list[str], where: str, limit: int) -> str:
