@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 #: ``poll(batch)`` gives None while the service works, else the answers as (request, answer, error).
@@ -31,7 +32,7 @@ class _Polled(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         for _ in rows:
             pass
-        if not self.open.exists():  # a batch that is submitted again is the same batch
+        if key[0] is not None and not self.open.exists():  # a batch that is submitted again is the same batch
             now = timerValues.getCurrentProcessingTimeInMs()
             self.open.update((now, 0))
             self.handle.registerTimer(now + self.interval)
@@ -57,8 +58,12 @@ class _Polled(StatefulProcessor):
 def polled(submitted: DataFrame, make_poll: Callable[[], Poll], interval: float = 30, timeout: float = 3600, batch: str = "batch") -> DataFrame:
     """(batch, request, answer, error, polls) of a stream of submitted batches, each once it is done or timed out.
 
-    The session needs the settings in ``STATE_STORE``. An answer is given once for each batch, as far as the sink writes a
+    Timers fire with a micro-batch, and a query that has just been started again runs none before there is new data: a tick a
+    second sees to it that there is. The session needs the settings in ``STATE_STORE``. Null batches are left out. An answer is given once for each batch, as far as the sink writes a
     repeated micro-batch once.
     """
+    spark = submitted.sparkSession
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load().select(F.lit(None).cast("string").alias("batch"))
+    asked = submitted.where(F.col(batch).isNotNull()).select(F.col(batch).cast("string").alias("batch")).unionByName(ticks)
     processor = _Polled(make_poll, interval, timeout)
-    return submitted.groupBy(batch).transformWithStateInPandas(processor, ANSWERS, "Append", "ProcessingTime")
+    return asked.groupBy("batch").transformWithStateInPandas(processor, ANSWERS, "Append", "ProcessingTime")

@@ -178,52 +178,60 @@ def test_of_two_writers_one_is_told(spark, tmp_path):
         table.publish(spark.range(1).selectExpr("id", "9 AS by"), 1)
 
 
-def test_polling_goes_on_after_a_stop(spark, tmp_path):
+def polling_query(spark, folder, make_poll, batches, timeout):
     from quirework.streaming import polling
 
     for name, value in polling.STATE_STORE.items():
         spark.conf.set(name, value)
+    source = f"{folder}/in"
+    if not (folder / "in").exists():
+        spark.createDataFrame([(b,) for b in batches], "batch string").write.json(source)
+    found = polling.polled(spark.readStream.schema("batch string").json(source), make_poll, interval=0.5, timeout=timeout)
+    out = found.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
+    return out.trigger(processingTime="1 second").start()
+
+
+def answers(spark, folder):
+    try:
+        return sorted(tuple(r) for r in spark.read.parquet(f"{folder}/out").select("batch", "request", "answer", "error").collect())
+    except PySparkException:
+        return []
+
+
+def wait(query, until, seconds=180):
+    began = time.time()
+    while not until() and time.time() - began < seconds:
+        assert query.exception() is None, query.exception()
+        time.sleep(0.5)
+
+
+def test_polling_goes_on_after_a_stop(spark, tmp_path):
     ready = str(tmp_path / "ready")
 
     def make_poll():
         def poll(batch):
             import os
 
-            if batch == "never" or not os.path.exists(ready):
-                return None
-            return [(f"{batch}-{k}", f"answer {k}", None) for k in range(2)]
+            return [(f"{batch}-{k}", f"answer {k}", None) for k in range(2)] if os.path.exists(ready) else None
 
         return poll
 
-    source, sink, checkpoint = (str(tmp_path / x) for x in ("in", "out", "checkpoint"))
-    spark.createDataFrame([("a",), ("b",), ("never",)], "batch string").write.json(source)
-
-    def start():
-        stream = spark.readStream.schema("batch string").json(source)
-        found = polling.polled(stream, make_poll, interval=0.5, timeout=25)
-        return found.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint).trigger(processingTime="1 second").start()
-
-    def held():
-        try:
-            return {(r["batch"], r["request"], r["answer"], r["error"]) for r in spark.read.parquet(sink).collect()}
-        except PySparkException:
-            return set()
-
-    query = start()
-    began = time.time()
-    while (query.lastProgress is None or query.lastProgress["batchId"] < 3) and time.time() - began < 90:
-        assert query.exception() is None, query.exception()
-        time.sleep(0.5)
+    query = polling_query(spark, tmp_path, make_poll, ["a", "b"], 3600)
+    wait(query, lambda: query.lastProgress is not None and query.lastProgress["batchId"] >= 3)
     query.stop()
-    assert held() == set()
+    assert answers(spark, tmp_path) == []
     open(ready, "w").close()
-    query, began = start(), time.time()
-    while len(held()) < 5 and time.time() - began < 120:
-        assert query.exception() is None, query.exception()
-        time.sleep(1)
+    query = polling_query(spark, tmp_path, make_poll, ["a", "b"], 3600)
+    wait(query, lambda: len(answers(spark, tmp_path)) >= 4)
+    query.stop()
+    assert answers(spark, tmp_path) == [(b, f"{b}-{k}", f"answer {k}", None) for b in ("a", "b") for k in range(2)]
+
+
+def test_polling_gives_up_in_time(spark, tmp_path):
+    query = polling_query(spark, tmp_path, lambda: lambda batch: None, ["never"], 2)
+    wait(query, lambda: answers(spark, tmp_path))
     query.stop()
-    want = {(b, f"{b}-{k}", f"answer {k}", None) for b in ("a", "b") for k in range(2)} | {("never", "", None, "batch timed out")}
-    assert held() == want and spark.read.parquet(sink).count() == 5
+    assert answers(spark, tmp_path) == [("never", "", None, "batch timed out")]
 
 
 def test_work_folders_and_configuration(spark, tmp_path):
