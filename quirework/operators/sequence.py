@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quirework.functions.folds import fold
 from quirework.session import shared_path
 
 
@@ -18,13 +19,17 @@ def section_paths(headings: DataFrame, key: str, order: str, level: str, title:
     One fold over each work's headings in order gives all of its paths; skipped levels lengthen a path by one only.
     """
     each = headings.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(level).alias("l"), F.col(title).alias("t")))).alias("h"))
-    start = F.struct(F.array().cast("array<string>").alias("stack"), F.array().cast("array<struct<o:bigint,path:array<string>>>").alias("out"))
+    kind = "struct<o:bigint,path:array<string>>"
 
-    def step(acc: Column, h: Column) -> Column:
-        stack = F.concat(F.slice(acc["stack"], F.lit(1), F.greatest(h["l"] - 1, F.lit(0)).cast("int")), F.array(h["t"]))
-        return F.struct(stack.alias("stack"), F.concat(acc["out"], F.array(F.struct(h["o"].cast("bigint").alias("o"), stack.alias("path")))).alias("out"))
+    def paths(held: Column) -> Column:
+        def step(stack: Column, i: Column) -> tuple[Column, Column]:
+            h = F.get(held, i)
+            path = F.concat(F.slice(stack, F.lit(1), F.greatest(h["l"] - 1, F.lit(0)).cast("int")), F.array(h["t"]))
+            return path, F.array(F.struct(h["o"].cast("bigint").alias("o"), path.alias("path")))
 
-    folded = each.select(key, F.explode(F.aggregate("h", start, step, lambda acc: acc["out"])).alias("x"))
+        return fold(F.size(held), F.array().cast("array<string>"), kind, step)
+
+    folded = each.select(key, F.explode(paths(F.col("h"))).alias("x"))
     return folded.select(key, F.col("x.o").alias(order), F.col("x.path").alias("section_path"))
 
 

@@ -2,37 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirework.functions import text as T
-
-
-#: Elements that a fold gathers before it begins a new list, so that no long list is copied at every step.
-_BLOCK = 64
-
-
-def _fold(n: Column, start: Column, kind: str, step: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
-    """The elements that ``step(state, i)`` gives for i from 0 to n - 1, each with the next state: (state, array of elements).
-
-    Lists are gathered in blocks and put together at the end, so the work grows with n.
-    """
-    none = F.array().cast(f"array<{kind}>")
-
-    def one(acc: Column, i: Column) -> Column:
-        state, found = step(acc["at"], i)
-        return F.struct(state.alias("at"), F.concat(acc["out"], found).alias("out"))
-
-    def block(acc: Column, b: Column) -> Column:
-        inner = F.aggregate(F.sequence(b * _BLOCK, F.least(b * _BLOCK + (_BLOCK - 1), n - 1)), F.struct(acc["at"].alias("at"), none.alias("out")), one)
-        return T.bind(inner, lambda r: F.struct(r["at"].alias("at"), F.concat(acc["out"], F.array(r["out"])).alias("out")))
-
-    nothing = F.array().cast(f"array<array<{kind}>>")
-    blocks = F.sequence(F.lit(0), F.floor((n - 1) / _BLOCK).cast("int"))
-    return F.when(n <= 0, none).otherwise(F.aggregate(blocks, F.struct(start.alias("at"), nothing.alias("out")), block, lambda acc: F.flatten(acc["out"])))
+from quirework.functions.folds import fold
+from quirework.functions.tokens import MOST_PHRASES, Phrases
 
 
 def spans_of(text: Column, pattern: str, kind: str) -> Column:
@@ -47,7 +24,7 @@ def spans_of(text: Column, pattern: str, kind: str) -> Column:
             end = start + F.length(word)
             return end, F.array(F.struct(start.alias("start"), end.alias("end"), F.lit(kind).alias("kind"), word.alias("text")))
 
-        return _fold(F.size(found), F.lit(0), "struct<start:int,end:int,kind:string,text:string>", step)
+        return fold(F.size(found), F.lit(0), "struct<start:int,end:int,kind:string,text:string>", step)
 
     pieces = F.split(text, pattern, -1)
     return T.bind(F.regexp_extract_all(text, F.lit(f"({pattern})"), 1), lambda found: T.bind(pieces, lambda between: placed(found, between)))
@@ -78,7 +55,7 @@ def non_overlapping(spans: Column, kind: str = "struct<start:int,end:int>") -> C
             free = span["start"] >= at
             return F.when(free, span["end"]).otherwise(at), F.when(free, F.array(span)).otherwise(F.array().cast(f"array<{kind}>"))
 
-        return _fold(F.size(ordered), F.lit(0), kind, step)
+        return fold(F.size(ordered), F.lit(0), kind, step)
 
     return T.bind(F.array_sort(spans), swept)
 
@@ -139,7 +116,8 @@ def grounded(docs: DataFrame, quotes: DataFrame, doc_key: str = "doc_id", quote_
 
     Words are parted by any blanks. A quote's first and last word may be part of longer words in a text, those between
     stand there as they are: quotes and texts meet on the first six of them, or all if there are fewer. Quotes of one or
-    two words have none and are searched in every text; blank quotes give no row.
+    two words have none: an automaton of all of them reads every text once (more than it may hold are searched one by one);
+    blank quotes give no row.
     """
     lead = 6
     blanks = r"\s+"
@@ -158,9 +136,13 @@ def grounded(docs: DataFrame, quotes: DataFrame, doc_key: str = "doc_id", quote_
         probes = docs.select(doc_key, F.split(F.col(text), blanks).alias("_ws")).select(doc_key, F.explode(F.array_distinct(F.concat(*grams))).alias("_lead"))
         met.append(probes.join(keyed.where("_size > 0"), "_lead").select(doc_key, quote_key, "_quote").distinct())
     short = keyed.where("_size = 0").select(quote_key, "_quote")
-    if not met or not short.isEmpty():  # a stated set of short quotes, searched in every text
+    few = [r["_quote"] for r in short.select("_quote").distinct().limit(MOST_PHRASES + 1).collect()]
+    if len(few) > MOST_PHRASES:
         held = docs.join(short.select("_quote").distinct(), F.contains(F.col(text), F.col("_quote")))
         met.append(held.select(doc_key, "_quote").join(short, "_quote").select(doc_key, quote_key, "_quote"))
+    elif few or not met:
+        hits = F.array_distinct(F.transform(Phrases(few, whole=False, fold=False).at(F.col(text)), lambda p: p["text"]))
+        met.append(docs.select(doc_key, F.explode(hits).alias("_quote")).join(short, "_quote").select(doc_key, quote_key, "_quote"))
     pairs = reduce(DataFrame.unionByName, met)
     found = pairs.join(docs.select(doc_key, F.col(text).alias("_text")), doc_key)
     start = F.instr(F.col("_text"), F.col("_quote"))

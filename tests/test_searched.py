@@ -183,3 +183,36 @@ def test_layout_checks(spark):
     }
     noise = spark.createDataFrame([("١٢ (3) ـ",), ("  ",), (None,), ("12 a",)], "t string").select(layout.is_body_noise(F.col("t")).alias("n")).collect()
     assert [r["n"] for r in noise] == [True, True, True, False]
+
+
+def test_folds_longer_than_a_block(spark):
+    from quirework.operators import spans
+
+    text = " ".join(f"w{k}" if k % 3 else str(k) for k in range(700))
+    row = spark.createDataFrame([(text,)], "t string").select(spans.spans_of(F.col("t"), "[0-9]+", "n").alias("s")).first()["s"]
+    assert [(s["start"], s["end"], s["text"]) for s in row] == [(m.start(), m.end(), m[0]) for m in re.finditer("[0-9]+", text)]
+    given = [(k * 7 % 500, k * 7 % 500 + 1 + k % 9) for k in range(300)]
+    kept, last = [], 0
+    for a, b in sorted(given):
+        if a >= last:
+            kept.append((a, b))
+            last = b
+    swept = spark.createDataFrame([(given,)], "s array<struct<start:int,end:int>>").select(spans.non_overlapping(F.col("s")).alias("k")).first()["k"]
+    assert [tuple(s) for s in swept] == kept
+    heads = [("w", k, 1 + k * 5 % 4, f"t{k}") for k in range(200)]
+    stack, want = [], {}
+    for _, k, level, title in heads:
+        stack = [*stack[: level - 1], title]
+        want[k] = list(stack)
+    got = sequence.section_paths(spark.createDataFrame(heads, "work string, at long, level int, title string"), "work", "at", "level", "title").collect()
+    assert {r["at"]: r["section_path"] for r in got} == want
+
+
+def test_short_quotes_are_found_by_one_automaton(spark):
+    from quirework.operators import spans
+
+    docs = [(1, "one two three"), (2, "twofold tw o"), (3, "x  y"), (4, None)]
+    quotes = [(1, "two"), (2, "e tw"), (3, "x y"), (4, " "), (5, "x  y"), (6, "one two three"), (7, "two")]
+    got = spans.grounded(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(quotes, "item_id long, text string")).collect()
+    want = {(d, q, t.index(w), t.index(w) + len(w)) for d, t in docs for q, w in quotes if t and w.strip() and w in t}
+    assert {tuple(r) for r in got} == want
