@@ -24,7 +24,10 @@ SOUND_MARKS = "ーｰ"
 _JAVA = "[" + "".join(f"\\p{{Is{s}}}" for s in UNSPACED) + SOUND_MARKS + "]"
 _PYTHON = "[" + "".join(f"\\p{{{s}}}" for s in UNSPACED) + SOUND_MARKS + "]"
 _PATTERN = "(?={0})\\X|(?:(?!{0})[\\p{{L}}\\p{{N}}_]\\p{{M}}*)+"
-_TOKEN = regex.compile(_PATTERN.format(_PYTHON))
+#: The same tokens, as this module's expressions say them best: one for texts without unspaced letters, which most are.
+_UNSPACED = regex.compile(_PYTHON)
+_SPACED_TOKEN = regex.compile("(?:[\\p{L}\\p{N}_]\\p{M}*)+")
+_ANY_TOKEN = regex.compile(f"(?V1)(?:[[\\p{{L}}\\p{{N}}_]--{_PYTHON}]\\p{{M}}*)+|(?={_PYTHON})\\X")
 _PLACED = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("text", pa.string())])
 _PLACES = ArrayType(StructType([StructField("start", IntegerType()), StructField("end", IntegerType()), StructField("text", StringType())]))
 
@@ -45,16 +48,29 @@ def _listed(rows: list[list[tuple] | None], kind: pa.StructType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(columns, fields=list(kind)), mask=pa.array(missing))
 
 
+def _pattern(text: str) -> regex.Pattern:
+    return _ANY_TOKEN if _UNSPACED.search(text) else _SPACED_TOKEN
+
+
 def split(text: str) -> list[tuple[int, int, str]]:
     """(start, end, token) of each token of one text."""
-    return [(*m.span(), m[0]) for m in _TOKEN.finditer(text)]
+    return [(*m.span(), m[0]) for m in _pattern(text).finditer(text)]
 
 
 @F.arrow_udf(_PLACES)
 def tokens_at(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """The tokens of each text with their places; null for null."""
     for batch in batches:
-        yield _listed([None if t is None else split(t) for t in batch.to_pylist()], _PLACED)
+        # flat lists of numbers and words: millions of small tuples would keep the collector busy
+        starts, stops, words, ends = [], [], [], [0]
+        for text in batch.to_pylist():
+            for m in _pattern(text or "").finditer(text or ""):
+                starts.append(m.start())
+                stops.append(m.end())
+                words.append(m[0])
+            ends.append(len(words))
+        columns = [pa.array(starts, pa.int32()), pa.array(stops, pa.int32()), pa.array(words, pa.string())]
+        yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(columns, fields=list(_PLACED)), mask=batch.is_null())
 
 
 #: Phrases that one automaton may hold: what is sent to every executor.
