@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quirework.operators.sequence import first_k, placed
+from quirework.operators.sequence import placed
 from quirework.operators.source_spans import QUOTE_PHRASES
 
 #: Signals that make a passage a candidate for enrichment, with the reason.
@@ -122,15 +122,18 @@ def first_page(blocks: Column) -> Column:
     return F.get(F.filter(F.transform(blocks, lambda b: b["pdf_page"].try_cast("int")), lambda p: p.isNotNull()), F.lit(0))
 
 
-def model_summary(results: DataFrame, shown: int = 200) -> DataFrame:
-    """(model, tried, succeeded, avg_latency, latencies) of trials (sample_id, model, ok, latency_seconds); the latencies of
-    the first ``shown`` samples are listed."""
-    listed = first_k(results.select("model", "sample_id", "latency_seconds"), ["model"], ["sample_id", "latency_seconds"], shown)
-    each = F.array_sort(F.collect_list(F.struct("sample_id", "latency_seconds")))
-    lists = listed.groupBy("model").agg(F.array_join(F.transform(each, lambda x: x["latency_seconds"].cast("string")), " / ").alias("latencies"))
+def model_summary(results: DataFrame) -> DataFrame:
+    """(model, tried, succeeded, avg_latency, latencies) of trials (sample_id, model, ok, latency_seconds); all latencies are
+    listed, in order of the samples. Ranges of samples are joined into text first, so a model's row gathers texts of ranges."""
+    order = ["model", "sample_id", "latency_seconds"]
+    ranged = results.where("latency_seconds is not null").select(*order).repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    said = lambda each: F.transform(F.array_sort(each), lambda x: x["latency_seconds"].cast("string"))
+    texts = ranged.groupBy("model", "_range").agg(F.array_join(said(F.collect_list(F.struct("sample_id", "latency_seconds"))), " / ").alias("text"))
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_range", "text"))), lambda x: x["text"]), " / ")
+    lists = texts.groupBy(F.col("model").alias("_model")).agg(whole.alias("latencies"))
     counts = results.groupBy("model").agg(
         F.count("*").alias("tried"),
         F.count_if("ok").alias("succeeded"),
         F.round(F.avg(F.when(F.col("ok"), F.col("latency_seconds"))), 1).alias("avg_latency"),
     )
-    return counts.join(lists, "model")
+    return counts.join(lists, F.col("model").eqNullSafe(F.col("_model")), "left").drop("_model")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quirework.functions import text as T
-from quirework.operators import annotations, editions, fuzzy, matching, quality, sequence, spans
+from quirework.operators import annotations, editions, fuzzy, matching, quality, selection, sequence, spans
 from quirework.sources import readers
 from quirework.streaming import ingest
 
@@ -109,3 +109,13 @@ def test_grounded_finds_every_word_for_word_occurrence(spark):
     got = {(r["doc_id"], r["item_id"], r["start"], r["end"]) for r in spans.grounded(docs, items).collect()}
     assert got == {(d, q, t.find(x), t.find(x) + len(x)) for d, t in enumerate(texts) for q, x in enumerate(quotes) if t and x and x in t}
     assert len(got) == 5
+
+
+def test_model_summary_lists_all_latencies_in_order(spark):
+    rows = [(5000 - k, None if k % 7 == 0 else f"m{k % 3}", k % 4 > 0, None if k % 11 == 0 else k % 97) for k in range(5000)]
+    frame = spark.createDataFrame(rows, "sample_id long, model string, ok boolean, latency_seconds long").repartition(7)
+    got = {r["model"]: r for r in selection.model_summary(frame).collect()}
+    for model in (None, "m0", "m1", "m2"):
+        mine = sorted((r for r in rows if r[1] == model), key=lambda r: r[0])
+        assert got.pop(model)["latencies"] == " / ".join(str(r[3]) for r in mine if r[3] is not None)
+    assert not got
