@@ -85,6 +85,43 @@ def test_tokens_of_japanese_thai_and_mixed_text(spark):
     assert thai[-1] == "ok" and "".join(thai[:-1]) == "ภาษาไทย" and len(thai) > 4
 
 
+def test_quick_expressions_give_the_same_tokens():
+    from quirework.functions import tokens as own
+
+    def slow(text):
+        pattern = own._ANY_TOKEN if own._UNSPACED.search(text) else own._SPACED_TOKEN
+        return [(*m.span(), m[0]) for m in pattern.finditer(text)]
+
+    for c in map(chr, [*range(0x300), *range(0x2010, 0x2028), *range(0x3000, 0x3100), *range(0x3400, 0x4DC0, 7), *range(0x4E00, 0xA000, 7)]):
+        for text in (f"a{c}b{c}{c}1_ あ{c}漢{c}カ", f"a{c}b{c}{c}1_ {c}"):
+            assert own.split(text) == slow(text), hex(ord(c))
+    for text in ("e\u0301te\u0301 か\u3099", "あ\u200dい ก\u0e31น", ""):
+        assert own.split(text) == slow(text)
+
+
+def test_workers_cut_bounded_portions_of_a_batch():
+    import pyarrow as pa
+
+    from quirework.functions import tokens as own
+
+    texts = ["Ab あいう ab " * (k % 90) for k in range(4000)] + [None, "", "x y" * 900_000, "é"]
+    for made in (own.tokens_at, own.token_counts):
+        parts = list(made.func(iter([pa.array(texts[:3000]), pa.array(texts[3000:]), pa.array([], pa.string())])))
+        assert len(parts) > 3 and max(len(p.flatten()) for p in parts if len(p) > 1) < own._AT_ONCE
+        rows = [row for p in parts for row in p.to_pylist()]
+        assert len(rows) == len(texts)
+        for text, row in zip(texts, rows):
+            if text is None:
+                assert row is None
+                continue
+            cut = own.split(text)
+            if made is own.tokens_at:
+                assert [(x["start"], x["end"], x["text"]) for x in row] == cut
+            else:
+                words = [w.lower() for _, _, w in cut]
+                assert {x["text"]: (x["n"], x["start"]) for x in row} == {w: (n, cut[words.index(w)][0]) for w, n in Counter(words).items()}
+
+
 def lcs(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
