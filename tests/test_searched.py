@@ -122,6 +122,21 @@ def test_workers_cut_bounded_portions_of_a_batch():
                 assert {x["text"]: (x["n"], x["start"]) for x in row} == {w: (n, cut[words.index(w)][0]) for w, n in Counter(words).items()}
 
 
+def test_rows_of_one_key_are_one_text_and_postings_lie_by_hash(spark):
+    from quirework.session import shared_path
+
+    rows = spark.createDataFrame([(1, "Ab c ab"), (1, "ab d"), (2, "AB"), (2, None)], "k long, text string")
+    index = write_index(rows, shared_path(spark, "test"), "k", "text")
+    assert sorted(map(tuple, index.postings().select("term", "key", "n", "first").collect())) == [("ab", 1, 3, 0), ("ab", 2, 1, 0), ("c", 1, 1, 3), ("d", 1, 1, 3)]
+    assert sorted(map(tuple, index.terms().collect())) == [("ab", 2, 4), ("c", 1, 1), ("d", 1, 1)]
+    wide = write_index(spark.range(3000).selectExpr("id AS k", "concat('all w', id % 400) AS text"), shared_path(spark, "test"), "k", "text")
+    placed = spark.read.parquet(f"{wide.path}/postings").select("hash", F.input_file_name().alias("f")).collect()
+    lists = {}
+    for r in placed:
+        lists.setdefault(r["f"], []).append(r["hash"])
+    assert len(placed) == 6000 and all(x == sorted(x) for x in lists.values())
+
+
 def lcs(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
