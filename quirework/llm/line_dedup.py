@@ -6,13 +6,16 @@ has a token set of Jaccard similarity ``percent`` / 100 or more; lines without w
 1. Words are counted over all lines. Tokens are ordered by rarity: by the logarithm of their count, then by hash. The
    logarithms come from a table by hash that is sized by the number of frequent words, so the order is the same for equal
    tokens everywhere, and no token is shuffled to be ordered.
-2. Lines with equal sets form one class; only the first of a class can stay.
-3. Classes whose prefixes (the s - ceil(t * s) + 1 rarest of s tokens) share a token are candidates, if their lengths,
-   the places of that token and bitmaps of their sets (the popcount of the difference bounds the overlap) allow the
-   similarity. Tokens are joined in ``passes`` ranges one after the other, which bounds the scratch space.
-4. Of the classes that share a token, all are compared with the earliest one first, in some of the ranges. Lines that
-   this settles (copies of one line with changes here and there, mostly) take no part as later lines in the join that
-   follows over all ranges.
+2. Lines with equal sets form one class; only the first of a class can stay. Classes of one line are not shuffled.
+3. Two sets of similarity t share a token of the s - ceil(t * s) + 1 rarest of the larger set's s tokens and of the
+   s - ceil(2t / (1 + t) * s) + 1 rarest of the smaller one's. The former are joined with the latter; pairs are candidates
+   if their lengths, the places of that token and sketches of their sets allow the similarity. A sketch holds the parity
+   of the number of tokens at each of 128 places, so what two sets share cancels out, and the places where two sketches
+   differ are no more than the tokens that only one has. Tokens are joined in ``passes`` ranges one after the other, which
+   bounds the scratch space.
+4. Before, of the classes that share one of their first ``_HUBS`` frequent prefix tokens, all are compared with the earliest
+   one. Lines that this settles (copies of one line with changes here and there, mostly) take no part as later lines in the
+   join that follows over all tokens; two settled lines never meet in it.
 5. Candidates are verified by their exact overlap; of a match, the later line goes.
 
 Defined results: null and empty texts have no lines to remove; rows equal in id and text are one document; a null id
@@ -34,10 +37,14 @@ from quirework.llm.shared import BLANKS, fixed_table, id_mask, release, stage
 
 #: Words seen up to this often are all equally rare.
 _WARM = 16
+#: Prefix tokens of this level (seen 64 times or more) count as frequent; so many of a class ask for a hub.
+_HOT, _HUBS = 6, 4
 
 
 def _words(line: Column) -> Column:
-    return F.array_remove(F.split(F.lower(line), BLANKS), "")
+    lower = F.lower(line)
+    blanks = F.when(line.rlike(r"[\x09-\x0D]"), F.split(lower, BLANKS)).otherwise(F.split(lower, " "))
+    return F.array_remove(blanks, "")
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -64,15 +71,15 @@ def _with_tokens(lines: DataFrame, rarity: tuple[Column, int]) -> DataFrame:
     """``lines`` with their sets as ``set``: tokens in order of rarity, a token being its level and 58 bits of its hash."""
     table, places = rarity
     hashes = F.array_distinct(F.transform(_words(F.col("line")), lambda word: F.xxhash64(word)))
-    level = lambda t: F.get(F.col("levels"), F.pmod(t, F.lit(places)).cast("int")).cast("long")
+    level = lambda t: F.coalesce(F.get(F.col("levels"), F.pmod(t, F.lit(places)).cast("int")), F.lit(0).cast("byte")).cast("long")
     token = lambda t: F.shiftleft(level(t), 58).bitwiseOR(F.shiftrightunsigned(t, 6))
     return lines.withColumn("hashes", hashes).withColumn("levels", table).withColumn("set", F.sort_array(F.transform("hashes", token))).drop("hashes", "levels", "line")
 
 
-def _bitmap(tokens: str, half: int) -> Column:
-    """64 of the 128 places of a set's bitmap."""
+def _sketch(tokens: str, half: int) -> Column:
+    """64 of the 128 places of a set's sketch: the parity of its tokens there."""
     one = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))
-    return F.aggregate(tokens, F.lit(0).cast("long"), lambda held, t: F.when(F.getbit(t, F.lit(6)) == half, held.bitwiseOR(one(t))).otherwise(held))
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda held, t: F.when(F.getbit(t, F.lit(6)) == half, held.bitwiseXOR(one(t))).otherwise(held))
 
 
 def removed_lines(
@@ -80,7 +87,7 @@ def removed_lines(
     id_col: str = "doc_id",
     text_col: str = "text",
     percent: int = 80,
-    passes: int = 3,
+    passes: int = 2,
 ) -> DataFrame:
     """(doc_id, doc_hash, line_no, exact) of every line to remove; ``exact``: an earlier line has the same set."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -93,43 +100,57 @@ def removed_lines(
             F.xxhash64(F.lit(percent), "set").alias("check"),
             size.alias("size"),
             F.slice("set", F.lit(1), size - F.ceil(size * percent / 100).cast("int") + 1).alias("prefix"),
-            _bitmap("set", 0).alias("low"),
-            _bitmap("set", 1).alias("high"),
+            _sketch("set", 0).alias("low"),
+            _sketch("set", 1).alias("high"),
         ),
         "lines",
     )
-    first = [F.first(c).alias(c) for c in ("size", "prefix", "low", "high")]
-    classes = stage(lines.groupBy("node", "check").agg(F.min("place").alias("place"), F.count("*").alias("n"), *first), "classes")
-    held = stage(lines.select("place", "node", "check"), "places")
-    release(lines)
-
-    fits = (
-        (F.col("a.place") != F.col("b.place"))
-        & close(F.col("a.size"), F.col("b.size"), percent)
-        & first_in_common(F.col("a.size"), F.col("a.at"), F.col("b.size"), F.col("b.at"), percent)
-        & ((100 + percent) * (_both("size") - _unequal("low") - _unequal("high")) >= 2 * percent * _both("size"))
-    )
-    starred, rest = [], []
-    for k in range(passes // 2 + 1):  # of the words that copies of a line share, these ranges have some
-        part = _listed(classes, passes, k).repartition("token")  # once for both sides
-        each = F.min(F.struct("place", "size", "at", "low", "high")).alias("x")
-        hubs = part.groupBy("token").agg(each, F.count("*").alias("n")).where("n > 1").select("token", "x.*")
-        pairs = part.alias("a").join(hubs.alias("b").hint("shuffle_hash"), "token").where(fits)
-        starred.append(stage(pairs.select(F.greatest("a.place", "b.place").alias("later"), F.least("a.place", "b.place").alias("earlier")).distinct(), "starred"))
-    gone = _verified(rows, rarity, classes, starred, percent)
-    settled = stage(classes.join(gone.withColumn("gone", F.lit(True)), "node", "left"), "settled")
-    release(classes, gone)
+    several = stage(lines.groupBy("node", "check").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "several")
+    listed = id_mask(several, "node", several.count())
+    again = stage(lines.where(listed(F.col("node"))).join(several, ["node", "check"], "left"), "again")
+    firsts = again.where(F.col("first").isNull() | (F.col("place") == F.col("first"))).drop("first").dropDuplicates(["node", "check"])
+    classes = lines.where(~listed(F.col("node"))).unionByName(stage(firsts, "firsts"))
+
+    hot = F.filter("prefix", lambda t: t >= _HOT << 58)
+    starry = classes.withColumn("hot", hot).where(F.size("hot") > 0)
+    shared = F.posexplode(F.slice("hot", 1, _HUBS)).alias("k", "token")
+    part = starry.select(*_carried(), (F.size("prefix") - F.size("hot")).alias("cold"), shared).withColumn("at", F.col("cold") + F.col("k")).drop("cold", "k").repartition("token")  # once for both sides
+    each = F.min(F.struct(*_PLACE, "size", "at", "low", "high")).alias("x")
+    hubs = part.groupBy("token").agg(each, F.count("*").alias("n")).where("n > 1").select("token", "x.*")
+    starred = part.alias("a").join(hubs.alias("b").hint("shuffle_hash"), "token").where((F.col("a.node") != F.col("b.node")) & _fits(percent))
+    gone = _verified(rows, rarity, classes, [stage(_ordered(starred), "starred")], percent)
+
+    n_gone = gone.count()
+    settled = id_mask(gone, "node", n_gone)
+    checked = stage(classes.where(settled(F.col("node"))).join(gone.select("node", F.lit(True).alias("gone")), "node", "left").withColumn("gone", F.coalesce("gone", F.lit(False))), "checked")
+    flagged = classes.where(~settled(F.col("node"))).withColumn("gone", F.lit(False)).unionByName(checked)
+    fits = ((F.col("a.size") > F.col("b.size")) | ((F.col("a.size") == F.col("b.size")) & (F.col("a.node") > F.col("b.node")))) & _fits(percent)
+    # a settled class as the larger, earlier one meets what is not settled: only its tokens are asked for
+    asked = _listed(checked.where("gone"), 1, 0).select(F.xxhash64("token").alias("h")) if n_gone else None
+    sought = id_mask(asked, "h", asked.count()) if n_gone else None
+    rest = []
     for k in range(passes):
-        part = _listed(settled, passes, k)
-        pairs = part.where("gone is null").alias("a").join(part.alias("b"), "token").where(fits & (F.col("b.place") < F.col("a.place")))
-        rest.append(stage(pairs.select(F.col("a.place").alias("later"), F.col("b.place").alias("earlier")).distinct(), "rest"))
-    more = _verified(rows, rarity, settled, rest, percent)
+        large, small = _listed(flagged.where("not gone"), passes, k), _listed(flagged, passes, k, percent)
+        pairs = large.alias("a").join(small.alias("b").hint("shuffle_hash"), "token").where(fits & (~F.col("b.gone") | _later("a")))
+        rest.append(stage(_ordered(pairs), "rest"))
+        if n_gone:
+            large, small = _listed(checked.where("gone"), passes, k), _listed(flagged.where("not gone"), passes, k, percent).where(sought(F.xxhash64("token")))
+            rest.append(stage(_ordered(large.alias("a").join(small.alias("b").hint("shuffle_hash"), "token").where(fits & _later("b"))), "rest"))
+    more = _verified(rows, rarity, classes, rest, percent)
+    release(lines, checked)
+
+    later = again.where(F.col("place") != F.col("first")).select("place.*", F.lit(True).alias("exact"))
+    matched = gone.unionByName(more).select("place.*", F.lit(False).alias("exact"))
+    return later.unionByName(matched).select("doc_id", "doc_hash", "line_no", "exact").distinct()
+
 
-    ends = stage(settled.join(more.withColumn("more", F.lit(True)), "node", "left").select("node", "check", "place", "n", (F.col("gone").isNotNull() | F.col("more").isNotNull()).alias("matched")), "ends")
-    release(settled, more)
-    later = held.join(ends.where("n > 1").select("node", "check", F.col("place").alias("first")), ["node", "check"]).where(F.col("place") != F.col("first"))
-    matched = ends.where("matched").select("place.*", F.lit(False).alias("exact"))
-    return later.select("place.*", F.lit(True).alias("exact")).unionByName(matched).select("doc_id", "doc_hash", "line_no", "exact").distinct()
+#: Which of two classes is the earlier one.
+_PLACE = ("doc_id", "line_no", "node")
+
+
+def _carried() -> list[Column]:
+    """What the filters need of a class."""
+    return [F.col("place.doc_id"), F.col("place.line_no"), F.col("node"), F.col("size"), F.col("low"), F.col("high")]
 
 
 def _both(c: str) -> Column:
@@ -140,33 +161,57 @@ def _unequal(c: str) -> Column:
     return F.bit_count(F.col(f"a.{c}").bitwiseXOR(F.col(f"b.{c}")))
 
 
-def _listed(classes: DataFrame, passes: int, k: int) -> DataFrame:
-    """The prefix tokens of one range, with what the filters need of their class."""
-    place = F.struct("place.doc_id", "place.line_no", "node").alias("place")
-    kept = classes.select(place, "size", "low", "high", *(["gone"] if "gone" in classes.columns else []), F.posexplode("prefix").alias("at", "token"))
+def _fits(percent: int) -> Column:
+    """Whether lengths, places and sketches of ``a`` and ``b`` allow the similarity."""
+    return (
+        close(F.col("a.size"), F.col("b.size"), percent)
+        & first_in_common(F.col("a.size"), F.col("a.at"), F.col("b.size"), F.col("b.at"), percent)
+        & ((100 + percent) * (_both("size") - _unequal("low") - _unequal("high")) >= 2 * percent * _both("size"))
+    )
+
+
+def _at(side: str) -> Column:
+    return F.struct(*(F.col(f"{side}.{c}").alias(c) for c in _PLACE))
+
+
+def _later(side: str) -> Column:
+    return _at(side) > _at("b" if side == "a" else "a")
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """(later, earlier): the nodes of each pair of ``a`` and ``b``."""
+    a, b = F.col("a.node"), F.col("b.node")
+    return pairs.select(F.when(_later("a"), a).otherwise(b).alias("later"), F.when(_later("a"), b).otherwise(a).alias("earlier")).distinct()
+
+
+def _listed(classes: DataFrame, passes: int, k: int, percent: int | None = None) -> DataFrame:
+    """The prefix tokens of one range, with what the filters need of their class; by ``percent``: as the smaller set."""
+    size = F.col("size")
+    prefix = F.col("prefix") if percent is None else F.slice("prefix", F.lit(1), size - F.ceil(size * (2 * percent) / (100 + percent)).cast("int") + 1)
+    kept = classes.select(*_carried(), "gone", F.posexplode(prefix).alias("at", "token"))
     return kept.where(F.pmod("token", F.lit(passes)) == k)
 
 
 def _verified(rows: DataFrame, rarity: tuple[Column, int], classes: DataFrame, candidates: list[DataFrame], percent: int) -> DataFrame:
-    """(node): the later of each of ``candidates`` (later, earlier) whose sets, read again from the texts, are similar."""
+    """(node, place): the later of each of ``candidates`` (later, earlier) whose sets, read again from the texts, are similar."""
     pairs = stage(functools.reduce(DataFrame.unionByName, candidates).distinct(), "pairs")
     release(*candidates)
-    wanted = pairs.select(F.col("later.node").alias("node")).unionByName(pairs.select(F.col("earlier.node").alias("node"))).distinct()
-    needed = stage(wanted.join(classes, "node").select("node", "place.*"), "needed")
-    count = needed.count()
+    wanted = stage(pairs.select(F.col("later").alias("node")).unionByName(pairs.select(F.col("earlier").alias("node"))).distinct(), "wanted")
+    count = wanted.count()
+    named = id_mask(wanted, "node", count)
+    needed = stage(classes.where(named(F.col("node"))).select("node", "place").join(wanted, "node").select("node", "place.*"), "needed")
     place = F.xxhash64("doc_id", "doc_hash", F.col("line_no").cast("long"))
     of_doc, of_line = id_mask(needed.select(F.xxhash64("doc_id").alias("h")), "h", count), id_mask(needed.select(place.alias("h")), "h", count)
     lines = _lines(rows.where(of_doc(F.xxhash64("doc_id"))), "doc_id", "text").where(of_line(place))
     same = F.col("l.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("l.doc_hash") == F.col("w.doc_hash")) & (F.col("l.line_no") == F.col("w.line_no"))
     texts = lines.alias("l").join(needed.alias("w"), same).select("w.node", "l.line").dropDuplicates(["node"])
     sets = stage(_with_tokens(texts, rarity), "sets")
-    release(needed)
-    a, b = (sets.select(F.col("node").alias(f"{x}_node"), F.col("set").alias(f"{x}_set")) for x in ("later", "earlier"))
-    flat = pairs.select(F.col("later.node").alias("later_node"), F.col("earlier.node").alias("earlier_node"))
-    both = flat.join(a, "later_node").join(b, "earlier_node")
+    a, b = (sets.select(F.col("node").alias(x), F.col("set").alias(f"{x}_set")) for x in ("later", "earlier"))
     shared = F.size(F.array_intersect("later_set", "earlier_set"))
-    out = stage(both.where(enough(shared, F.size("later_set"), F.size("earlier_set"), percent)).select(F.col("later_node").alias("node")).distinct(), "gone")
-    release(pairs, sets)
+    both = pairs.join(a, "later").join(b, "earlier")
+    similar = both.where(enough(shared, F.size("later_set"), F.size("earlier_set"), percent)).select(F.col("later").alias("node")).distinct()
+    out = stage(similar.join(needed.select("node", F.struct("doc_id", "line_no", "doc_hash").alias("place")), "node"), "gone")
+    release(pairs, wanted, needed, sets)
     return out
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -14,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quirework.llm import class_lm, registry, tokens
+from quirework.llm import class_lm, line_dedup, registry, tokens
 from quirework.llm.class_lm import exchange
 from quirework.llm.decontamination import containment_pairs, decontaminate
 from quirework.llm.kneser_ney import perplexity_filter
@@ -434,6 +435,30 @@ def test_op10_families_of_near_equal_lines(spark):
     assert got == superfluous(rows)
 
 
+def test_op10_lines_unlike_the_first_of_a_large_group_meet_few_others(spark, monkeypatch):
+    rng = random.Random(3)
+    base, pool = [f"w{i}" for i in range(73)], [f"p{i}" for i in range(40)]
+
+    def copy(changes):
+        line = list(base)
+        for at in rng.sample(range(73), changes):
+            line[at] = rng.choice(pool)
+        return " ".join(line)
+
+    lines = [" ".join(base), *(copy(2) for _ in range(150)), *(copy(11) for _ in range(60)), *(" ".join([*pool, *(f"u{k}x{i}" for i in range(15))]) for k in range(300))]
+    rows, met, kept = list(enumerate(lines)), [], line_dedup.stage
+
+    def counted(df, what):
+        out = kept(df, what)
+        met.extend([out.count()] if what == "pairs" else [])
+        return out
+
+    monkeypatch.setattr(line_dedup, "stage", counted)
+    got = {(r["doc_id"], r["line_no"]) for r in removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == superfluous(rows) and len(got) >= 150
+    assert sum(met) < 2000, met  # 60 lines and 151 earlier ones make 9060 pairs
+
+
 def test_stages_of_the_pipeline(spark, small):
     documents = spark.read.parquet(f"{small}/documents.parquet")
     labels = spark.read.parquet(f"{small}/labels.parquet")
