@@ -10,9 +10,9 @@ has a token set of Jaccard similarity ``percent`` / 100 or more; lines without w
 3. Two sets of similarity t share a token of the s - ceil(t * s) + 1 rarest of the larger set's s tokens and of the
    s - ceil(2t / (1 + t) * s) + 1 rarest of the smaller one's. The former are joined with the latter; pairs are candidates
    if their lengths, the places of that token and sketches of their sets allow the similarity. A sketch holds the parity
-   of the number of tokens at each of 128 places, so what two sets share cancels out, and the places where two sketches
-   differ are no more than the tokens that only one has. Tokens are joined in ``passes`` ranges one after the other, which
-   bounds the scratch space.
+   of the number of tokens at each of 64 places (128 if both sets have more than ``_LONG`` tokens), so what two sets share
+   cancels out, and the places where two sketches differ are no more than the tokens that only one has. Tokens are joined
+   in ``passes`` ranges one after the other, which bounds the scratch space; both sides of a join read one shuffle.
 4. Before, of the classes that share one of their first ``_HUBS`` frequent prefix tokens, all are compared with the earliest
    one. Lines that this settles (copies of one line with changes here and there, mostly) take no part as later lines in the
    join that follows over all tokens; two settled lines never meet in it.
@@ -38,30 +38,31 @@ from quirework.llm.shared import BLANKS, fixed_table, id_mask, release, stage
 #: Words seen up to this often are all equally rare.
 _WARM = 16
 #: Prefix tokens of this level (seen 64 times or more) count as frequent; so many of a class ask for a hub.
-_HOT, _HUBS = 6, 4
+_HOT, _HUBS = 5, 4
+#: Larger sets have a second half of their sketch.
+_LONG = 64
 
 
 def _words(line: Column) -> Column:
-    lower = F.lower(line)
-    blanks = F.when(line.rlike(r"[\x09-\x0D]"), F.split(lower, BLANKS)).otherwise(F.split(lower, " "))
-    return F.array_remove(blanks, "")
+    """The words of a line, and empty strings where blanks meet or begin or end it."""
+    return F.when(line.rlike(r"[\x09-\x0D]"), F.split(line, BLANKS)).otherwise(F.split(line, " "))
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Every line that has a word."""
+    """Every line that has a word, lower-cased."""
     text = F.col(text_col)
     lines = docs.where(text.isNotNull()).select(
-        F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("doc_hash"), F.posexplode(F.split(text, "\n")).alias("line_no", "line")
+        F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("doc_hash"), F.posexplode(F.split(F.lower(text), "\n")).alias("line_no", "line")
     )
-    return lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+    return lines.where(F.ltrim("line", F.lit(" \t\n\v\f\r")) != "")
 
 
 def _rarity(lines: DataFrame) -> tuple[Column, int]:
     """A table by word hash (the level of the most frequent word of each place) and its number of places."""
-    words = lines.select(F.explode(_words(F.col("line"))).alias("word")).groupBy(F.xxhash64("word").alias("token")).agg(F.count("*").alias("n"))
+    words = lines.select(F.explode(_words(F.col("line"))).alias("word")).where("word <> ''").groupBy(F.xxhash64("word").alias("token")).agg(F.count("*").alias("n"))
     common = stage(words.where(F.col("n") > _WARM), "common")
     places = 1 << min(22, max(10, (4 * common.count()).bit_length()))
-    level = F.least(F.log2("n").cast("int"), F.lit(30))
+    level = F.least((2 * F.log2("n")).cast("int") - 7, F.lit(31))
     table = fixed_table(common.groupBy(F.pmod("token", F.lit(places)).alias("at")).agg(F.max(level).alias("level")), "level", places, "byte")
     release(common)
     return table, places
@@ -70,16 +71,19 @@ def _rarity(lines: DataFrame) -> tuple[Column, int]:
 def _with_tokens(lines: DataFrame, rarity: tuple[Column, int]) -> DataFrame:
     """``lines`` with their sets as ``set``: tokens in order of rarity, a token being its level and 58 bits of its hash."""
     table, places = rarity
-    hashes = F.array_distinct(F.transform(_words(F.col("line")), lambda word: F.xxhash64(word)))
+    hashes = F.array_remove(F.array_distinct(F.transform(_words(F.col("line")), lambda word: F.xxhash64(word))), F.xxhash64(F.lit("")))
     level = lambda t: F.coalesce(F.get(F.col("levels"), F.pmod(t, F.lit(places)).cast("int")), F.lit(0).cast("byte")).cast("long")
     token = lambda t: F.shiftleft(level(t), 58).bitwiseOR(F.shiftrightunsigned(t, 6))
     return lines.withColumn("hashes", hashes).withColumn("levels", table).withColumn("set", F.sort_array(F.transform("hashes", token))).drop("hashes", "levels", "line")
 
 
-def _sketch(tokens: str, half: int) -> Column:
-    """64 of the 128 places of a set's sketch: the parity of its tokens there."""
+def _sketch(tokens: str) -> tuple[Column, Column]:
+    """The parity of a set's tokens at each of 64 places, and of those of a second half in sets of more than ``_LONG``."""
+    none = F.lit(0).cast("long")
     one = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))
-    return F.aggregate(tokens, F.lit(0).cast("long"), lambda held, t: F.when(F.getbit(t, F.lit(6)) == half, held.bitwiseXOR(one(t))).otherwise(held))
+    whole = F.aggregate(tokens, none, lambda held, t: held.bitwiseXOR(one(t)))
+    half = F.aggregate(tokens, none, lambda held, t: F.when(F.getbit(t, F.lit(6)) == 1, held.bitwiseXOR(one(t))).otherwise(held))
+    return whole, F.when(F.size(tokens) > _LONG, half).otherwise(none)
 
 
 def removed_lines(
@@ -93,6 +97,7 @@ def removed_lines(
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rarity = _rarity(_lines(rows, "doc_id", "text"))
     size = F.size("set")
+    whole, half = _sketch("set")
     lines = stage(
         _with_tokens(_lines(rows, "doc_id", "text"), rarity).select(
             F.struct("doc_id", "line_no", "doc_hash").alias("place"),
@@ -100,8 +105,8 @@ def removed_lines(
             F.xxhash64(F.lit(percent), "set").alias("check"),
             size.alias("size"),
             F.slice("set", F.lit(1), size - F.ceil(size * percent / 100).cast("int") + 1).alias("prefix"),
-            _sketch("set", 0).alias("low"),
-            _sketch("set", 1).alias("high"),
+            whole.alias("whole"),
+            half.alias("half"),
         ),
         "lines",
     )
@@ -111,11 +116,11 @@ def removed_lines(
     firsts = again.where(F.col("first").isNull() | (F.col("place") == F.col("first"))).drop("first").dropDuplicates(["node", "check"])
     classes = lines.where(~listed(F.col("node"))).unionByName(stage(firsts, "firsts"))
 
-    hot = F.filter("prefix", lambda t: t >= _HOT << 58)
-    starry = classes.withColumn("hot", hot).where(F.size("hot") > 0)
-    shared = F.posexplode(F.slice("hot", 1, _HUBS)).alias("k", "token")
-    part = starry.select(*_carried(), (F.size("prefix") - F.size("hot")).alias("cold"), shared).withColumn("at", F.col("cold") + F.col("k")).drop("cold", "k").repartition("token")  # once for both sides
-    each = F.min(F.struct(*_PLACE, "size", "at", "low", "high")).alias("x")
+    # a prefix ends with its most frequent tokens
+    starry = classes.where(F.element_at("prefix", -1) >= _HOT << 58).withColumn("cold", F.size(F.filter("prefix", lambda t: t < _HOT << 58)))
+    shared = F.posexplode(F.slice("prefix", F.col("cold") + 1, F.lit(_HUBS))).alias("k", "token")
+    part = starry.select(*_carried(), "cold", shared).withColumn("at", F.col("cold") + F.col("k")).drop("cold", "k").where("node is not null and size is not null and whole is not null").repartition("token")  # once for both sides
+    each = F.min(F.struct(*_PLACE, "size", "at", "whole", "half")).alias("x")
     hubs = part.groupBy("token").agg(each, F.count("*").alias("n")).where("n > 1").select("token", "x.*")
     starred = part.alias("a").join(hubs.alias("b").hint("shuffle_hash"), "token").where((F.col("a.node") != F.col("b.node")) & _fits(percent))
     gone = _verified(rows, rarity, classes, [stage(_ordered(starred), "starred")], percent)
@@ -125,17 +130,17 @@ def removed_lines(
     checked = stage(classes.where(settled(F.col("node"))).join(gone.select("node", F.lit(True).alias("gone")), "node", "left").withColumn("gone", F.coalesce("gone", F.lit(False))), "checked")
     flagged = classes.where(~settled(F.col("node"))).withColumn("gone", F.lit(False)).unionByName(checked)
     fits = ((F.col("a.size") > F.col("b.size")) | ((F.col("a.size") == F.col("b.size")) & (F.col("a.node") > F.col("b.node")))) & _fits(percent)
-    # a settled class as the larger, earlier one meets what is not settled: only its tokens are asked for
-    asked = _listed(checked.where("gone"), 1, 0).select(F.xxhash64("token").alias("h")) if n_gone else None
-    sought = id_mask(asked, "h", asked.count()) if n_gone else None
     rest = []
     for k in range(passes):
-        large, small = _listed(flagged.where("not gone"), passes, k), _listed(flagged, passes, k, percent)
-        pairs = large.alias("a").join(small.alias("b").hint("shuffle_hash"), "token").where(fits & (~F.col("b.gone") | _later("a")))
-        rest.append(stage(_ordered(pairs), "rest"))
-        if n_gone:
-            large, small = _listed(checked.where("gone"), passes, k), _listed(flagged.where("not gone"), passes, k, percent).where(sought(F.xxhash64("token")))
-            rest.append(stage(_ordered(large.alias("a").join(small.alias("b").hint("shuffle_hash"), "token").where(fits & _later("b"))), "rest"))
+        # the filters stay above the shuffle, so that all sides read the same one
+        part = _listed(flagged, passes, k).repartition("token")
+        small = F.col("at") <= F.col("size") - F.ceil(F.col("size") * (2 * percent) / (100 + percent)).cast("int")
+        side = lambda condition: part.where(_above(condition))  # noqa: B023, E731
+        pairs = _ordered(side(~F.col("gone")).alias("a").join(side(small).alias("b").hint("shuffle_hash"), "token").where(fits & (~F.col("b.gone") | _later("a"))))
+        if n_gone:  # a settled class as the larger, earlier one meets what is not settled
+            settled_first = side(F.col("gone")).alias("a").hint("shuffle_hash").join(side(small & ~F.col("gone")).alias("b"), "token").where(fits & _later("b"))
+            pairs = pairs.unionByName(_ordered(settled_first))
+        rest.append(stage(pairs, "rest"))
     more = _verified(rows, rarity, classes, rest, percent)
     release(lines, checked)
 
@@ -150,15 +155,18 @@ _PLACE = ("doc_id", "line_no", "node")
 
 def _carried() -> list[Column]:
     """What the filters need of a class."""
-    return [F.col("place.doc_id"), F.col("place.line_no"), F.col("node"), F.col("size"), F.col("low"), F.col("high")]
+    return [F.col("place.doc_id"), F.col("place.line_no"), F.col("node"), F.col("size"), F.col("whole"), F.col("half")]
 
 
 def _both(c: str) -> Column:
     return F.col(f"a.{c}") + F.col(f"b.{c}")
 
 
-def _unequal(c: str) -> Column:
-    return F.bit_count(F.col(f"a.{c}").bitwiseXOR(F.col(f"b.{c}")))
+def _unequal() -> Column:
+    """The number of places where the sketches of ``a`` and ``b`` differ."""
+    whole, half = (F.col(f"a.{c}").bitwiseXOR(F.col(f"b.{c}")) for c in ("whole", "half"))
+    half = F.when(F.least("a.size", "b.size") > _LONG, half).otherwise(F.lit(0).cast("long"))
+    return F.bit_count(whole.bitwiseXOR(half)) + F.bit_count(half)
 
 
 def _fits(percent: int) -> Column:
@@ -166,7 +174,7 @@ def _fits(percent: int) -> Column:
     return (
         close(F.col("a.size"), F.col("b.size"), percent)
         & first_in_common(F.col("a.size"), F.col("a.at"), F.col("b.size"), F.col("b.at"), percent)
-        & ((100 + percent) * (_both("size") - _unequal("low") - _unequal("high")) >= 2 * percent * _both("size"))
+        & ((100 + percent) * (_both("size") - _unequal()) >= 2 * percent * _both("size"))
     )
 
 
@@ -184,11 +192,14 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.when(_later("a"), a).otherwise(b).alias("later"), F.when(_later("a"), b).otherwise(a).alias("earlier")).distinct()
 
 
-def _listed(classes: DataFrame, passes: int, k: int, percent: int | None = None) -> DataFrame:
-    """The prefix tokens of one range, with what the filters need of their class; by ``percent``: as the smaller set."""
-    size = F.col("size")
-    prefix = F.col("prefix") if percent is None else F.slice("prefix", F.lit(1), size - F.ceil(size * (2 * percent) / (100 + percent)).cast("int") + 1)
-    kept = classes.select(*_carried(), "gone", F.posexplode(prefix).alias("at", "token"))
+def _above(condition: Column) -> Column:
+    """A condition that Spark does not move below a shuffle, as it counts as one that may change."""
+    return F.when(F.spark_partition_id() >= 0, condition)
+
+
+def _listed(classes: DataFrame, passes: int, k: int) -> DataFrame:
+    """The prefix tokens of one range, with what the filters need of their class."""
+    kept = classes.select(*_carried(), "gone", F.posexplode("prefix").alias("at", "token"))
     return kept.where(F.pmod("token", F.lit(passes)) == k)
 
 

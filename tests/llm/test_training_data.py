@@ -459,6 +459,29 @@ def test_op10_lines_unlike_the_first_of_a_large_group_meet_few_others(spark, mon
     assert sum(met) < 2000, met  # 60 lines and 151 earlier ones make 9060 pairs
 
 
+def test_op10_tokens_of_a_range_are_listed_once(spark, monkeypatch):
+    base = [f"w{i}" for i in range(90)]
+    rows = [(i, " ".join([*base[: i % 80], f"x{i}", *base[i % 80 + 1 :]])) for i in range(100)] + [(200 + i, f"own{i} line{i} of {i}") for i in range(20)]
+    calls, listed = [], line_dedup._listed
+    monkeypatch.setattr(line_dedup, "_listed", lambda *args: calls.append(args[2:]) or listed(*args))
+    got = {(r["doc_id"], r["line_no"]) for r in removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == superfluous(rows) and len(got) > 90
+    assert len(calls) == 2, calls  # one list a range, though classes are settled; all sides of its joins read it
+
+
+def test_op10_sets_around_the_length_of_longer_sketches(spark):
+    rng, rows = random.Random(8), []
+    for k in range(40):
+        line = [f"k{k}w{i}" for i in range(rng.randrange(55, 80))]
+        for _ in range(4):
+            changed = rng.sample(line, len(line))
+            for at in rng.sample(range(len(line)), rng.randrange(4, 10)):
+                changed[at] = f"Ä{rng.random()}".upper()
+            rows.append((len(rows), f"{' '.join(changed)}\n \t \n{' '.join(changed[: rng.randrange(50, 65)])}\tΣΑΣ\n"))
+    got = {(r["doc_id"], r["line_no"]) for r in removed_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got == superfluous(rows) and 20 < len(got) < 300
+
+
 def test_stages_of_the_pipeline(spark, small):
     documents = spark.read.parquet(f"{small}/documents.parquet")
     labels = spark.read.parquet(f"{small}/labels.parquet")
